@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination
+from . import decontamination, near_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,7 +21,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("__key")
 
 
-QUERIES: dict[str, Query] = {"op1_decontamination": op1_decontamination}
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicate_classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "links", "keep")
+
+
+QUERIES: dict[str, Query] = {"op1_decontamination": op1_decontamination, "op7_near_dedup": op7_near_dedup}
 
 _SHINGLES = """
   SELECT DISTINCT id, words[i] || ' ' || words[i+1] || ' ' || words[i+2] || ' ' || words[i+3] || ' ' || words[i+4] AS s
