@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, near_dedup
+from . import decontamination, language_id, near_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,7 +25,19 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicate_classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "links", "keep")
 
 
-QUERIES: dict[str, Query] = {"op1_decontamination": op1_decontamination, "op7_near_dedup": op7_near_dedup}
+def remainder(modulus: int) -> Column:
+    """crc32(doc_id as text) mod `modulus`; a null doc_id counts as the empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    refs = language_id.references(docs.where(remainder(3) != 1))
+    marked = language_id.identify(docs, refs, ["doc_id"])
+    return marked.select("doc_id", (remainder(3) == 1).alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
+QUERIES: dict[str, Query] = {"op1_decontamination": op1_decontamination, "op7_near_dedup": op7_near_dedup, "op10_language_id": op10_language_id}
 
 _SHINGLES = """
   SELECT DISTINCT id, words[i] || ' ' || words[i+1] || ' ' || words[i+2] || ' ' || words[i+3] || ' ' || words[i+4] AS s
