@@ -100,25 +100,27 @@ BYTE_VALUE, WORD_BYTE = _byte_classes()
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(64)], np.uint64)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, piece: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, piece: int = 1 << 20, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of several texts, and the row each word stands in.
 
-    A word is a run of ASCII letters, digits and bytes above 127; ASCII upper case counts as lower. Works on pieces of
+    A word is a run of `inside` bytes: ASCII letters, digits and bytes above 127, if not given. ASCII upper case counts as
+    lower. Works on pieces of
     `piece` bytes cut between words, so a long text needs little more memory than its words.
     """
+    inside = WORD_BYTE if inside is None else inside
     hashes, rows, at, n = [], [], 0, len(data)
     ends = offsets[1:]
     while at < n:
         stop = min(n, at + piece)
-        if stop < n and WORD_BYTE[data[stop - 1]] and WORD_BYTE[data[stop]]:
-            back = np.flatnonzero(~WORD_BYTE[data[at:stop]])
+        if stop < n and inside[data[stop - 1]] and inside[data[stop]]:
+            back = np.flatnonzero(~inside[data[at:stop]])
             if len(back):
                 stop = at + int(back[-1]) + 1
             else:  # a word longer than a piece
-                more = np.flatnonzero(~WORD_BYTE[data[stop:]])
+                more = np.flatnonzero(~inside[data[stop:]])
                 stop = stop + int(more[0]) if len(more) else n
         part = data[at:stop]
-        isword = WORD_BYTE[part]
+        isword = inside[part]
         begin = isword.copy()
         begin[1:] &= ~isword[:-1]
         inner = offsets[(offsets > at) & (offsets < stop)] - at  # a text's start also starts a word
@@ -126,9 +128,9 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, piece: int = 1 << 20) ->
         starts = np.flatnonzero(begin)
         if len(starts):
             where = np.cumsum(begin) - 1
-            inside = np.arange(len(part)) - starts[np.maximum(where, 0)]
+            depth = np.arange(len(part)) - starts[np.maximum(where, 0)]
             with np.errstate(over="ignore"):
-                value = BYTE_VALUE[part] * _POWERS[inside & 63] + (inside >> 6).astype(np.uint64) * BYTE_VALUE[part]
+                value = BYTE_VALUE[part] * _POWERS[depth & 63] + (depth >> 6).astype(np.uint64) * BYTE_VALUE[part]
             value[~isword] = 0
             hashes.append(mix(np.add.reduceat(value, starts)))
             rows.append(np.searchsorted(ends, starts + at, "right"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, mixing, near_dedup, sharding
+from . import decontamination, language_id, language_model, mixing, near_dedup, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", (remainder(10) == 0).alias("held_out"))
+    return language_model.score(docs, language_model.train(docs.where(~F.col("held_out"))), ["doc_id", "held_out"])
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(read(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -47,7 +52,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", (remainder(3) == 1).alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
-QUERIES: dict[str, Query] = {"op1_decontamination": op1_decontamination, "op2_mixing": op2_mixing, "op6_sharding": op6_sharding, "op7_near_dedup": op7_near_dedup, "op10_language_id": op10_language_id}
+QUERIES: dict[str, Query] = {"op1_decontamination": op1_decontamination, "op2_mixing": op2_mixing, "op3_lm_scoring": op3_lm_scoring, "op6_sharding": op6_sharding, "op7_near_dedup": op7_near_dedup, "op10_language_id": op10_language_id}
 
 _SHINGLES = """
   SELECT DISTINCT id, words[i] || ' ' || words[i+1] || ' ' || words[i+2] || ' ' || words[i+3] || ' ' || words[i+4] AS s
