@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, language_model, mixing, near_dedup, sharding
+from . import common, decontamination, language_id, language_model, mixing, near_dedup, quality, sharding, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,18 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(docs, language_model.train(docs.where(~F.col("held_out"))), ["doc_id", "held_out"])
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = common.table(quality.measured(read(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"]))
+    held_out = remainder(5) == 0
+    model = quality.train(stats.where(~held_out), read(spark, sf_dir, "labels"))
+    scored = quality.score(stats, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(read(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -52,7 +64,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", (remainder(3) == 1).alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
-QUERIES: dict[str, Query] = {"op1_decontamination": op1_decontamination, "op2_mixing": op2_mixing, "op3_lm_scoring": op3_lm_scoring, "op6_sharding": op6_sharding, "op7_near_dedup": op7_near_dedup, "op10_language_id": op10_language_id}
+QUERIES: dict[str, Query] = {"op1_decontamination": op1_decontamination, "op2_mixing": op2_mixing, "op3_lm_scoring": op3_lm_scoring, "op4_quality": op4_quality, "op5_url_filter": op5_url_filter, "op6_sharding": op6_sharding, "op7_near_dedup": op7_near_dedup, "op10_language_id": op10_language_id}
 
 _SHINGLES = """
   SELECT DISTINCT id, words[i] || ' ' || words[i+1] || ' ' || words[i+2] || ' ' || words[i+3] || ' ' || words[i+4] AS s
