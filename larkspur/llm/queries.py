@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontamination, language_id, language_model, mixing, near_dedup, quality, sharding, url_filter
+from . import common, decontamination, language_id, language_model, mixing, near_dedup, nearest, quality, sharding, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +58,15 @@ def remainder(modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = token_counts.Vocabulary.from_sentencepiece(os.environ.get("LARKSPUR_UNIGRAM_VOCABULARY", "/opt/tokenizers/piece_bpe_32k.model"))
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), vocabulary, ["doc_id"])
+
+
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     refs = language_id.references(docs.where(remainder(3) != 1))
@@ -64,7 +74,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", (remainder(3) == 1).alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
-QUERIES: dict[str, Query] = {"op1_decontamination": op1_decontamination, "op2_mixing": op2_mixing, "op3_lm_scoring": op3_lm_scoring, "op4_quality": op4_quality, "op5_url_filter": op5_url_filter, "op6_sharding": op6_sharding, "op7_near_dedup": op7_near_dedup, "op10_language_id": op10_language_id}
+QUERIES: dict[str, Query] = {"op1_decontamination": op1_decontamination, "op2_mixing": op2_mixing, "op3_lm_scoring": op3_lm_scoring, "op4_quality": op4_quality, "op5_url_filter": op5_url_filter, "op6_sharding": op6_sharding, "op7_near_dedup": op7_near_dedup, "op8_token_counts": op8_token_counts, "op9_nearest": op9_nearest, "op10_language_id": op10_language_id}
 
 _SHINGLES = """
   SELECT DISTINCT id, words[i] || ' ' || words[i+1] || ' ' || words[i+2] || ' ' || words[i+3] || ' ' || words[i+4] AS s
