@@ -1,8 +1,690 @@
-"""Registered queries and their SQL."""
+"""Registered queries: every operator over the test tables, with the same result in SQL for DuckDB."""
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from __future__ import annotations
 
+from collections.abc import Callable
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import payloads as P
+from ..functions import text as T
+from ..functions import vectors as V
+from ..operators import checks, coverage, matching, merging, ranking, retrieval, selection
+from . import corpus
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None) -> Callable[[Query], Query]:
+    """Register a query under its function's name, with its SQL."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def r4(x: Column | str) -> Column:
+    return F.round(x, 4)
+
+
+_LINE_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax"
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "lineitem").withColumn("ord", F.struct(*_LINE_ORDER.split(", ")))
+
+
+# -- matching ----------------------------------------------------------------------------------------------------------
+
+
+@query("""
+WITH p AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 1 ELSE 2 END,
+  l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax) AS rn, l_returnflag, l_extendedprice FROM lineitem)
+SELECT o_orderstatus, count(*) AS orders, count(l_orderkey) AS with_lines, count(*) FILTER (WHERE l_returnflag = 'R') AS primary_returned,
+  count(*) FILTER (WHERE l_orderkey IS NULL) AS without_lines, round(sum(l_extendedprice), 2) AS primary_value
+FROM orders LEFT JOIN (SELECT * FROM p WHERE rn = 1) ON l_orderkey = o_orderkey GROUP BY o_orderstatus""")
+def primary_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First-priority line of each order, then coverage of orders by status."""
+    rank = F.when(F.col("l_returnflag") == "R", 0).when(F.col("l_returnflag") == "A", 1).otherwise(2)
+    first = matching.pick_first(_lines(spark, sf_dir), ["l_orderkey"], [rank, F.col("ord")], ["l_orderkey", "l_returnflag", "l_extendedprice"])
+    both = read(spark, sf_dir, "orders").join(first, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    return both.groupBy("o_orderstatus").agg(F.count("*").alias("orders"), F.count("l_orderkey").alias("with_lines"), F.count_if(F.col("l_returnflag") == "R").alias("primary_returned"), F.count_if(F.col("l_orderkey").isNull()).alias("without_lines"), F.round(F.sum("l_extendedprice"), 2).alias("primary_value"))
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return primary_coverage(spark, sf_dir)
+
+
+@query(f"""
+SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, l_discount, l_extendedprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY CASE WHEN l_discount > 0 THEN 0 ELSE 1 END, {_LINE_ORDER}) AS rn FROM lineitem) WHERE rn = 1""")
+def first_wins_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One line per part and supplier; a discounted one goes before the first."""
+    return matching.first_wins_index(_lines(spark, sf_dir).select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_discount", "l_extendedprice", "ord"), ["l_partkey", "l_suppkey"], "ord", F.col("l_discount") > 0).drop("ord")
+
+
+@query(f"SELECT l_partkey, arg_max(l_orderkey, row({_LINE_ORDER})) AS l_orderkey FROM lineitem GROUP BY l_partkey")
+def last_wins_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last line of each part."""
+    return matching.last_wins_index(_lines(spark, sf_dir).select("l_partkey", "l_orderkey", "ord"), ["l_partkey"], "ord").drop("ord")
+
+
+@query("""
+WITH b AS (SELECT *, replace(p_brand, 'Brand#', '') AS n FROM part),
+i AS (SELECT CASE WHEN p_size % 2 = 0 THEN 'sv' ELSE 'sv0' END || n AS set_id, CASE WHEN p_size % 3 = 0 THEN p_size::varchar ELSE lpad(p_size::varchar, 3, '0') END AS number,
+  min(p_retailprice) AS price FROM b WHERE p_partkey % 4 = 0 GROUP BY 1, 2),
+c AS (SELECT p_partkey, 0 AS pos, 'sv0' || n AS set_id, lpad(p_size::varchar, 3, '0') AS number FROM b UNION ALL SELECT p_partkey, 1, 'sv0' || n, p_size::varchar FROM b
+  UNION ALL SELECT p_partkey, 2, 'sv' || n, lpad(p_size::varchar, 3, '0') FROM b UNION ALL SELECT p_partkey, 3, 'sv' || n, p_size::varchar FROM b)
+SELECT p_partkey, min(pos)::int AS match_pos, arg_min(price, pos) AS price FROM c JOIN i USING (set_id, number) GROUP BY p_partkey""")
+def alias_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts against an index whose keys are written in other ways: the first alias that exists wins."""
+    part = read(spark, sf_dir, "part").withColumn("n", F.replace("p_brand", F.lit("Brand#"), F.lit("")))
+    padded, plain = F.lpad(F.col("p_size").cast("string"), 3, "0"), F.col("p_size").cast("string")
+    index = part.where("p_partkey % 4 = 0").groupBy(F.concat(F.when(F.col("p_size") % 2 == 0, "sv").otherwise("sv0"), "n").alias("set_id"), F.when(F.col("p_size") % 3 == 0, plain).otherwise(padded).alias("number")).agg(F.min("p_retailprice").alias("price"))
+    return matching.alias_join(part, "p_partkey", T.candidate_keys(F.concat(F.lit("sv0"), "n"), padded), index, ["set_id", "number"], ["price"])
+
+
+@query("""
+WITH names AS (SELECT n_nationkey AS k, 'Nation ' || n_nationkey AS name FROM nation),
+live AS (SELECT lower(name) AS l, max(slug) AS slug FROM (SELECT 'nation ' || n_nationkey AS name, 'live-' || n_nationkey AS slug FROM nation WHERE n_nationkey % 3 = 0) GROUP BY 1)
+SELECT k::varchar AS key, coalesce(live.slug, CASE WHEN k % 5 = 0 THEN 'over-' || k END, 'nation-' || k) AS slug FROM names LEFT JOIN live ON lower(name) = l""")
+def map_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names to slugs: live mapping, then override, then a slug of the name."""
+    n = read(spark, sf_dir, "nation")
+    key = F.col("n_nationkey").cast("string")
+    names = n.select(key.alias("key"), F.concat(F.lit("Nation "), key).alias("name"), F.col("n_nationkey").alias("ord"))
+    live = n.where("n_nationkey % 3 = 0").select(F.concat(F.lit("live-"), key).alias("slug"), F.concat(F.lit("NATION "), key).alias("name"), F.col("n_nationkey").alias("ord"))
+    over = n.where("n_nationkey % 5 = 0").select(key.alias("key"), F.concat(F.lit("over-"), key).alias("slug"))
+    return matching.map_names(names, live, over, T.slugify(F.col("name")))
+
+
+@query("""
+SELECT p_brand, arg_min(p_partkey, (CASE WHEN p_size > 45 THEN 0 ELSE 1 END) * 10000000 + p_partkey) AS p_partkey FROM part GROUP BY p_brand""")
+def search_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First candidate of each brand that matches, else the first at all."""
+    return matching.search_match(read(spark, sf_dir, "part").select("p_brand", "p_partkey", "p_size"), "p_brand", F.col("p_size") > 45, "p_partkey", allow_unmatched=True).select("p_brand", "p_partkey")
+
+
+@query("""
+WITH s AS (SELECT c_custkey, coalesce(list_sort(list_distinct(list(o_orderstatus) FILTER (WHERE o_orderstatus IS NOT NULL))), []) AS names
+  FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01') ON o_custkey = c_custkey GROUP BY c_custkey)
+SELECT c_custkey, array_to_string(names, ',') AS source_names, CASE WHEN len(names) = 0 THEN 'missing' ELSE 'O_only' END AS gap_group FROM s WHERE len(names) = 0 OR names = ['O']""")
+def gap_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers without a recent order, and with recent orders of one status only."""
+    orders = read(spark, sf_dir, "orders").where("o_orderdate >= timestamp_ntz '2001-01-01'")
+    sourced = matching.collected_sources(read(spark, sf_dir, "customer"), orders, "c_custkey", "o_custkey", "o_orderstatus")
+    return matching.gap_groups(sourced, "O").select("c_custkey", F.array_join("source_names", ",").alias("source_names"), "gap_group")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01')")
+def gap_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers without a recent order."""
+    recent = read(spark, sf_dir, "orders").where("o_orderdate >= timestamp_ntz '2001-01-01'").select(F.col("o_custkey").alias("c_custkey"))
+    return matching.not_in(read(spark, sf_dir, "customer").select("c_custkey", "c_name"), recent, ["c_custkey"])
+
+
+@query("SELECT DISTINCT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without a label."""
+    return matching.orphans(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), "doc_id", "doc_id", None)
+
+
+@query("""
+SELECT n_nationkey, coalesce(c.n, 0) AS customers, coalesce(s.n, 0) AS suppliers FROM nation
+LEFT JOIN (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1) c ON c_nationkey = n_nationkey LEFT JOIN (SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY 1) s ON s_nationkey = n_nationkey
+WHERE c.n IS NOT NULL OR s.n IS NOT NULL""")
+def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two count tables side by side, 0 where one lacks a key."""
+    n = lambda t, k: read(spark, sf_dir, t).groupBy(F.col(k).alias("n_nationkey")).agg(F.count("*").alias("n"))
+    return matching.reconcile([("customers", n("customer", "c_nationkey")), ("suppliers", n("supplier", "s_nationkey"))], "n_nationkey")
+
+
+# -- selection ---------------------------------------------------------------------------------------------------------
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_totalprice < 20000 THEN 'no_numbers' WHEN o_orderstatus = 'P' THEN 'pending' WHEN o_orderdate < TIMESTAMP '2001-01-01' - INTERVAL 14 DAY THEN 'older' END AS reason FROM orders""")
+def freshness_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why an order is not taken: the first reason that holds; an order of exactly the allowed age is fresh."""
+    stamp = F.date_format(F.col("o_orderdate"), "yyyy/MM/dd")
+    fresh = P.is_fresh(stamp, F.lit("2001-01-01").cast("timestamp"), 14)
+    reason = selection.reason_chain([(F.col("o_totalprice") < 20000, "no_numbers"), (F.col("o_orderstatus") == "P", "pending"), (~fresh, "older")])
+    return read(spark, sf_dir, "orders").select("o_orderkey", reason.alias("reason"))
+
+
+@query(f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, (row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN l_returnflag = 'R' AND l_tax = 0 THEN 0 ELSE 1 END, l_returnflag, {_LINE_ORDER}) = 1)::int AS is_primary FROM lineitem""")
+def primary_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly one primary line an order: an already primary one, else the first by flag."""
+    lines = _lines(spark, sf_dir).withColumn("is_primary", ((F.col("l_returnflag") == "R") & (F.col("l_tax") == 0)).cast("int"))
+    return ranking.promote_primary(lines, "l_orderkey", [F.col("l_returnflag"), F.col("ord")]).select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "is_primary")
+
+
+@query("""
+SELECT event_id, coalesce(CASE WHEN event_type = 'view' THEN 'bulk' END, CASE WHEN value > 50 THEN 'single' END, CASE WHEN user_id % 2 = 0 THEN 'other' END) AS transport FROM events""")
+def fallback_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first provider that has a price names the transport."""
+    price = lambda c: F.when(c, F.struct(F.col("value").alias("market")))
+    _, transport = selection.fallback_choice(price(F.col("event_type") == "view"), price(F.col("value") > 50), price(F.col("user_id") % 2 == 0))
+    named = F.create_map(*map(F.lit, ("ppt_bulk", "bulk", "ppt", "single", "poketrace", "other")))
+    return read(spark, sf_dir, "events").select("event_id", F.try_element_at(named, transport).alias("transport"))
+
+
+# -- coverage and checks -----------------------------------------------------------------------------------------------
+
+
+@query("""
+WITH c AS (SELECT user_id, user_id % 5 AS g, max((event_type = 'click')::int) AS a, max((event_type = 'signup')::int) AS b, max((event_type = 'click' AND value > 90)::int) AS pa, max((event_type = 'signup' AND value > 90)::int) AS pb
+  FROM events WHERE value < 5 OR value > 90 GROUP BY 1, 2)
+SELECT g AS "group", count(*) AS cards_total, count(*) FILTER (a = 1) AS cards_with_click, count(*) FILTER (b = 1) AS cards_with_signup, count(*) FILTER (a = 1 AND b = 1) AS cards_with_both_sources,
+ count(*) FILTER (a = 1 AND b = 0) AS cards_with_click_only, count(*) FILTER (a = 0 AND b = 1) AS cards_with_signup_only, count(*) FILTER (a = 0 AND b = 0) AS cards_without_prices,
+ count(*) FILTER (pa = 1) AS cards_primary_click, count(*) FILTER (pb = 1) AS cards_primary_signup, count(*) FILTER (a = 1) AS click_rows, count(*) FILTER (b = 1) AS signup_rows FROM c GROUP BY g""")
+def coverage_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users by which of two event types they have, per group of users."""
+    e = read(spark, sf_dir, "events").where("value < 5 or value > 90").withColumn("lead", (F.col("value") > 90).cast("int"))
+    return coverage.source_coverage(e, "user_id", F.col("user_id") % 5, "event_type", "lead", "click", "signup")
+
+
+@query("""
+SELECT event_type, count(*) AS cards_tested, count(*) FILTER (value > 20) AS cards_found, count(*) FILTER (value > 50) AS cards_with_price, count(*) FILTER (user_id % 7 = 0) AS set_mapping_failures,
+ count(*) FILTER (user_id % 11 = 0) AS errors, round_even(count(*) FILTER (value > 20) * 100.0::double / count(*), 1) AS coverage_rate, round_even(count(*) FILTER (value > 50) * 100.0::double / count(*), 1) AS price_rate FROM events GROUP BY event_type""")
+def scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters and rates per event type."""
+    v, u = F.col("value"), F.col("user_id")
+    return coverage.scorecard(read(spark, sf_dir, "events"), "event_type", v > 20, v > 50, u % 7 == 0, u % 11 == 0)
+
+
+@query("""
+WITH p AS (SELECT c_mktsegment AS kind, CASE WHEN c_acctbal < 0 THEN 'low' WHEN c_acctbal < 5000 THEN 'middle' ELSE 'high' END AS bucket FROM customer), s AS (SELECT *, bucket || ':' || kind AS stratum FROM p)
+SELECT 'bucket' AS dimension, bucket AS value, count(*) AS n FROM s GROUP BY bucket UNION ALL SELECT 'kind', kind, count(*) FROM s GROUP BY kind UNION ALL SELECT 'stratum', stratum, count(*) FROM s GROUP BY stratum UNION ALL SELECT 'all', '', count(*) FROM s""")
+def population_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by bucket, kind, stratum and in all."""
+    return coverage.population_summary(_strata(spark, sf_dir), "bucket", "kind", "stratum")
+
+
+@query("SELECT count(*) AS keys, sum(n)::bigint AS rows, min(n) AS min_per_key, max(n) AS max_per_key FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey)")
+def nested_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Least and most lines of an order."""
+    return coverage.count_range(read(spark, sf_dir, "lineitem"), ["l_orderkey"])
+
+
+@query("SELECT 'X' AS missing, 'N,R' AS unexpected")
+def distinct_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Return flags against an expected set."""
+    return coverage.set_difference(read(spark, sf_dir, "lineitem"), "l_returnflag", ["A", "X"]).select(F.array_join("missing", ",").alias("missing"), F.array_join("unexpected", ",").alias("unexpected"))
+
+
+@query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
+def dup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys in more than one row."""
+    return checks.duplicate_keys(read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("SELECT l_orderkey, sum((l_returnflag = 'R')::int)::bigint AS primaries FROM lineitem GROUP BY 1 HAVING sum((l_returnflag = 'R')::int) <> 1")
+def one_primary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose primary lines are not exactly one."""
+    lines = read(spark, sf_dir, "lineitem").withColumn("flag", (F.col("l_returnflag") == "R").cast("int"))
+    return checks.not_one_primary(lines, "l_orderkey", "flag")
+
+
+@query("""
+SELECT 'unique(l_orderkey, l_linenumber)' AS "check", (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1))::varchar AS observed, '0' AS expected, false AS passed
+UNION ALL SELECT 'references(doc_id)', '0', '0', true UNION ALL SELECT 'row_count', (SELECT count(*) FROM labels)::varchar, '>= 10', true""")
+def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of checks: unique keys, references, row count."""
+    lines, labels, docs = (read(spark, sf_dir, t) for t in ("lineitem", "labels", "documents"))
+    return checks.union([checks.unique(lines, ["l_orderkey", "l_linenumber"]), checks.references_exist(labels, "doc_id", docs, "doc_id"), checks.min_rows(labels, 10)])
+
+
+@query("SELECT p_brand, count(*) AS gaps, min(p_partkey) AS first_seen FROM part GROUP BY p_brand")
+def ranked_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts per brand, most first."""
+    return coverage.ranked_gaps(read(spark, sf_dir, "part"), "p_brand", "p_partkey")
+
+
+@query("SELECT p_type, row_number() OVER (ORDER BY p_type) - 1 AS label FROM (SELECT DISTINCT p_type FROM part)")
+def label_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct types with a dense index."""
+    return coverage.label_map(read(spark, sf_dir, "part"), "p_type").select("p_type", F.col("label").cast("long"))
+
+
+@query("""
+SELECT 'locale' AS dimension, lang AS value, count(*) AS n FROM documents GROUP BY lang UNION ALL SELECT 'reason', source, count(*) FROM documents GROUP BY source""")
+def skip_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by two columns in one pass."""
+    return coverage.skip_report(read(spark, sf_dir, "documents"), "lang", "source")
+
+
+@query("""
+WITH l AS (SELECT n_nationkey AS k, n_nationkey || '|' || n_name || '|' || n_regionkey AS line FROM nation UNION ALL SELECT c_custkey + 1000, c_custkey || '|' || c_name || '|' || c_mktsegment FROM customer),
+b AS (SELECT substr(md5(line), 1, 3) AS part, sha256(string_agg(line, chr(10) ORDER BY k, line)) AS h FROM l GROUP BY 1)
+SELECT sha256(string_agg(h, chr(10) ORDER BY part, h)) AS content_hash FROM b""")
+def content_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One hash of two tables' lines, whatever their order."""
+    n = read(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("k"), F.concat_ws("|", "n_nationkey", "n_name", "n_regionkey").alias("line"))
+    c = read(spark, sf_dir, "customer").select((F.col("c_custkey") + 1000).alias("k"), F.concat_ws("|", "c_custkey", "c_name", "c_mktsegment").alias("line"))
+    return coverage.line_hash(n.unionByName(c), F.col("line"), ["k"])
+
+
+# -- ranking -----------------------------------------------------------------------------------------------------------
+
+
+def _strata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bucket = F.when(F.col("c_acctbal") < 0, "low").when(F.col("c_acctbal") < 5000, "middle").otherwise("high")
+    return read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", F.col("c_mktsegment").alias("kind"), bucket.alias("bucket"), F.concat_ws(":", bucket, "c_mktsegment").alias("stratum"))
+
+
+_SAMPLE_STRATA = ("low:BUILDING", "low:MACHINERY", "middle:BUILDING", "middle:AUTOMOBILE", "high:FURNITURE", "high:HOUSEHOLD", "none:none")
+
+
+@query("""
+WITH s AS (SELECT c_custkey, c_acctbal, CASE WHEN c_acctbal < 0 THEN 'low' WHEN c_acctbal < 5000 THEN 'middle' ELSE 'high' END || ':' || c_mktsegment AS stratum FROM customer),
+p AS (SELECT c_custkey, stratum, list_position([17, 3, 400], c_custkey) AS pin FROM s),
+t AS (SELECT c_custkey, stratum, row_number() OVER (PARTITION BY stratum ORDER BY c_acctbal, c_custkey) AS turn,
+  list_position(['low:BUILDING', 'low:MACHINERY', 'middle:BUILDING', 'middle:AUTOMOBILE', 'high:FURNITURE', 'high:HOUSEHOLD', 'none:none'], stratum) AS rank FROM s WHERE c_custkey NOT IN (17, 3, 400)),
+u AS (SELECT c_custkey, stratum, 0 AS a, pin AS b, 0 AS c FROM p WHERE pin IS NOT NULL AND pin > 0 UNION ALL SELECT c_custkey, stratum, 1, turn, rank FROM t WHERE rank > 0)
+SELECT * FROM (SELECT c_custkey, stratum, (row_number() OVER (ORDER BY a, b, c))::int AS sample_index FROM u) WHERE sample_index <= 100""")
+def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """100 customers: three pinned ones, then the known strata in turn."""
+    pins = F.array(F.lit(17), F.lit(3), F.lit(400))
+    rows = _strata(spark, sf_dir)
+    out = ranking.round_robin_sample(rows, "stratum", [F.col("c_acctbal"), F.col("c_custkey")], 100, F.col("c_custkey").isin(17, 3, 400), F.array_position(pins, F.col("c_custkey").cast("int")), _SAMPLE_STRATA)
+    return out.select("c_custkey", "stratum", "sample_index")
+
+
+@query("""
+WITH s AS (SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'low' WHEN c_acctbal < 5000 THEN 'middle' ELSE 'high' END || ':' || c_mktsegment AS stratum FROM customer),
+u AS (SELECT c_custkey, stratum, 0 AS a, c_custkey AS b, '' AS c FROM s WHERE c_custkey < 8 UNION ALL SELECT c_custkey, stratum, 1, row_number() OVER (PARTITION BY stratum ORDER BY c_custkey), stratum FROM s WHERE c_custkey >= 8)
+SELECT * FROM (SELECT c_custkey, stratum, (row_number() OVER (ORDER BY a, b, c))::int AS sample_index FROM u) WHERE sample_index <= greatest(5, (SELECT count(*) FROM customer WHERE c_custkey < 8))""")
+def evaluation_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pinned customers even beyond the size asked for, which is 5; strata in their own order."""
+    out = ranking.round_robin_sample(_strata(spark, sf_dir), "stratum", [F.col("c_custkey")], 5, F.col("c_custkey") < 8, F.col("c_custkey"), None, cap_pinned=False)
+    return out.select("c_custkey", "stratum", "sample_index")
+
+
+
+
+@query("""
+WITH g AS (SELECT n_nationkey, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS gaps, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey) AS cost FROM nation)
+SELECT n_nationkey, cost, coalesce(sum(cost) OVER (ORDER BY gaps DESC, n_nationkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::bigint AS spent_before,
+  coalesce(sum(cost) OVER (ORDER BY gaps DESC, n_nationkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 20 AS taken FROM g""")
+def credit_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations by customers, taken while fewer than 20 suppliers were spent before."""
+    n = lambda t, k, name: read(spark, sf_dir, t).groupBy(F.col(k).alias("n_nationkey")).agg(F.count("*").alias(name))
+    g = read(spark, sf_dir, "nation").select("n_nationkey").join(n("customer", "c_nationkey", "gaps"), "n_nationkey", "left").join(n("supplier", "s_nationkey", "cost"), "n_nationkey", "left").fillna(0)
+    return ranking.within_budget(g.withColumn("fewer", -F.col("gaps")), ["fewer", "n_nationkey"], F.col("cost"), 20).select("n_nationkey", "cost", "spent_before", "taken")
+
+
+@query("SELECT s_suppkey, s_acctbal FROM supplier WHERE s_acctbal < 5000 ORDER BY s_suppkey LIMIT 25")
+def fallback_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 25 suppliers that lack something, in order."""
+    return ranking.first_budgeted(read(spark, sf_dir, "supplier").where("s_acctbal < 5000").select("s_suppkey", "s_acctbal"), ["s_suppkey"], 25)
+
+
+@query("""
+WITH e AS (SELECT user_id, event_id, coalesce(count(*) FILTER (event_type = 'error') OVER w, 0) AS errors_before, coalesce(count(*) FILTER (event_type = 'purchase') OVER w, 0) AS hits_before FROM events
+  WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+s AS (SELECT user_id, min(event_id) AS stop FROM e WHERE errors_before >= 3 AND hits_before = 0 GROUP BY user_id)
+SELECT event_id, errors_before, hits_before, stop IS NULL OR event_id < stop AS attempted FROM e LEFT JOIN s USING (user_id)""")
+def circuit_breaker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of a user are attempted until three errors came before any purchase."""
+    e = read(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    out = ranking.circuit_breaker(e, "user_id", "event_id", F.col("event_type") == "error", F.col("event_type") == "purchase", 3)
+    return out.select("event_id", "errors_before", "hits_before", "attempted")
+
+
+@query("SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) > 3 AS stale FROM orders")
+def keep_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders beyond the newest three of a customer."""
+    return ranking.keep_newest(read(spark, sf_dir, "orders"), 3, [F.desc("o_orderdate"), F.desc("o_orderkey")], ["o_custkey"]).select("o_orderkey", "o_custkey", "stale")
+
+
+@query("SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders) WHERE rn <= 2")
+def limit_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two largest orders of each customer."""
+    return ranking.limit_per_group(read(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice"), ["o_custkey"], [F.desc("o_totalprice"), F.col("o_orderkey")], 2).select("o_custkey", "o_orderkey")
+
+
+@query("""
+SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id || '_42')) <= greatest(1, floor(count(*) OVER (PARTITION BY lang) * 0.1)) AS is_validation FROM documents""")
+def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of each language's documents for validation, by hash."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang")
+    return ranking.hash_split(docs, "lang", corpus.row_hash(42, "doc_id"), 0.1).select("doc_id", "lang", "is_validation")
+
+
+_TIERS = """
+WITH p AS (SELECT p_partkey, p_name || p_type || p_size AS g, md5(p_partkey || '_42') AS k FROM part),
+r AS (SELECT *, count(*) OVER (PARTITION BY g) AS n, row_number() OVER (PARTITION BY g ORDER BY k) AS i, min(k) OVER (PARTITION BY g) AS f FROM p)"""
+
+
+@query(
+    _TIERS
+    + """,
+h AS (SELECT *, 0 AS tier FROM r WHERE n > 1 AND i = 1 ORDER BY f LIMIT 18), s AS (SELECT *, 1 AS tier FROM r WHERE n = 1 ORDER BY k LIMIT 30),
+x AS (SELECT *, 2 AS tier FROM r WHERE n > 1 AND g NOT IN (SELECT g FROM h) ORDER BY k LIMIT 30),
+u AS (SELECT * FROM h UNION ALL SELECT * FROM s UNION ALL SELECT * FROM x)
+SELECT p_partkey, n AS group_size, (row_number() OVER (ORDER BY tier, k) - 1)::int AS selection_index FROM u ORDER BY tier, k LIMIT 30"""
+)
+def benchmark_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """30 parts in three tiers: one of 18 groups, singletons, the rest."""
+    rows = read(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", "p_type", F.col("p_size").cast("string")).alias("g"))
+    return ranking.hard_and_singletons(rows, "g", corpus.row_hash(42, "p_partkey"), 30, 0.6).select("p_partkey", "group_size", "selection_index")
+
+
+@query(
+    _TIERS
+    + """,
+c AS (SELECT g FROM r WHERE n > 1 AND i = 1 ORDER BY f LIMIT 10), m AS (SELECT greatest(2, 40 // greatest(1, (SELECT count(*) FROM c) * 4)) AS take),
+u AS (SELECT r.*, 0 AS tier FROM r, m WHERE g IN (SELECT g FROM c) AND i <= take UNION ALL SELECT * FROM (SELECT *, 1 FROM r WHERE n = 1 ORDER BY k LIMIT 40) UNION ALL
+ SELECT * FROM (SELECT *, 2 FROM r WHERE n > 1 AND g NOT IN (SELECT g FROM c) ORDER BY k LIMIT 40))
+SELECT p_partkey, g FROM u ORDER BY tier, CASE WHEN tier = 0 THEN f END, k LIMIT 40"""
+)
+def subset_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """40 parts that keep several of a group together."""
+    rows = read(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", "p_type", F.col("p_size").cast("string")).alias("g"))
+    return ranking.group_preserving_subset(rows, "g", corpus.row_hash(42, "p_partkey"), 40).select("p_partkey", "g")
+
+
+# -- merging -----------------------------------------------------------------------------------------------------------
+
+
+@query("""
+WITH n AS (SELECT user_id, event_type, arg_max(value, event_id) AS value FROM events WHERE event_id % 3 = 0 GROUP BY 1, 2), o AS (SELECT DISTINCT user_id, event_type, -1.0::double AS value FROM events WHERE user_id < 50)
+SELECT * FROM n UNION ALL SELECT o.* FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.user_id = o.user_id AND n.event_type = o.event_type)""")
+def upsert_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New rows replace old ones by key; the last new row counts."""
+    e = read(spark, sf_dir, "events")
+    old = e.where("user_id < 50").select("user_id", "event_type", F.lit(-1.0).alias("value")).distinct()
+    new = e.where("event_id % 3 = 0").select("user_id", "event_type", "value", "event_id")
+    return merging.upsert_last_wins(old, new, ["user_id", "event_type"], "event_id").select("user_id", "event_type", "value")
+
+
+@query("""
+WITH o AS (SELECT DISTINCT user_id, event_type, -1.0::double AS value FROM events WHERE user_id < 50)
+SELECT * FROM o UNION ALL SELECT user_id, event_type, arg_min(value, event_id) FROM events WHERE event_id % 3 = 0 AND user_id >= 50 GROUP BY 1, 2
+UNION ALL SELECT user_id, event_type, arg_min(value, event_id) FROM events e WHERE event_id % 3 = 0 AND user_id < 50 AND NOT EXISTS (SELECT 1 FROM o WHERE o.user_id = e.user_id AND o.event_type = e.event_type) GROUP BY 1, 2""")
+def insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only new keys come in; the first new row counts."""
+    e = read(spark, sf_dir, "events")
+    old = e.where("user_id < 50").select("user_id", "event_type", F.lit(-1.0).alias("value")).distinct()
+    new = e.where("event_id % 3 = 0").select("user_id", "event_type", "value", "event_id")
+    return merging.insert_ignore(old, new, ["user_id", "event_type"], "event_id")
+
+
+@query("SELECT DISTINCT k AS value FROM (SELECT c_nationkey AS k FROM customer UNION ALL SELECT s_nationkey FROM supplier)")
+def distinct_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct keys of two tables."""
+    return merging.distinct_union((read(spark, sf_dir, "customer"), "c_nationkey"), (read(spark, sf_dir, "supplier"), "s_nationkey"))
+
+
+# -- scalar functions --------------------------------------------------------------------------------------------------
+
+
+@query("SELECT event_id, (props->>'$.k')::double AS k, coalesce((props->>'$.z')::double, (props->>'$.k')::double) AS first_of, false AS has_text FROM events")
+def json_first_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of a payload by key, the first of several, and that text is no number."""
+    p = F.col("props")
+    quoted = F.concat(F.lit('{"k": "'), P.text(p, "k"), F.lit('"}'))
+    return read(spark, sf_dir, "events").select("event_id", P.number(p, "k").alias("k"), P.first_number(p, ["z", "k"]).alias("first_of"), P.has_number(quoted, ["k"]).alias("has_text"))
+
+
+@query("""
+SELECT o_orderkey, o_orderdate::timestamp AS a, o_orderdate::timestamp + INTERVAL 5 HOUR + INTERVAL '0.25' SECOND AS b, o_orderdate::timestamp + INTERVAL 62 SECOND AS c, true AS bad FROM orders""")
+def timestamp_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four formats of a date, and one that is none."""
+    day = lambda f: F.date_format("o_orderdate", f)
+    a, b, c = day("yyyy/M/d"), F.concat(day("yyyy-MM-dd"), F.lit("T05:00:00.250Z")), F.concat(day("yyyy/MM/dd"), F.lit(" 00:01:02"))
+    ntz = lambda x: P.parse_updated(x).cast("timestamp_ntz")
+    return read(spark, sf_dir, "orders").select("o_orderkey", ntz(a).alias("a"), ntz(b).alias("b"), ntz(c).alias("c"), P.invalid_updated(F.concat(a, F.lit("x"))).alias("bad"))
+
+
+@query(r"""
+SELECT p_partkey, trim(regexp_replace(lower(trim('  ' || p_name || '_' || p_type || '! ')), '[^a-z0-9]+', '-', 'g'), '-') AS slug, trim(regexp_replace(lower(p_brand), '[^a-z0-9]+', ' ', 'g')) AS plain,
+ regexp_replace(p_brand || '/' || p_name, '[^A-Za-z0-9._-]+', '_', 'g') AS file FROM part""")
+def slugify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slugs, plain texts and file names."""
+    raw = F.concat(F.lit("  "), "p_name", F.lit("_"), "p_type", F.lit("! "))
+    return read(spark, sf_dir, "part").select("p_partkey", T.slugify(raw).alias("slug"), T.normalize_text(F.col("p_brand")).alias("plain"), T.sanitize_file_name(F.concat("p_brand", F.lit("/"), "p_name")).alias("file"))
+
+
+@query("SELECT doc_id, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) AS plain FROM documents")
+def text_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without anything but ASCII letters and digits."""
+    return read(spark, sf_dir, "documents").select("doc_id", T.normalize_text(F.col("text")).alias("plain"))
+
+
+@query(r"""
+SELECT page_id, CASE WHEN regexp_matches(url, '(?i)\.(avif|gif|jpe?g|png|webp)(\?.*)?$') THEN url ELSE rtrim(url, '/') || '/high.webp' END AS high,
+ CASE WHEN regexp_matches(url, '(?i)\.(avif|gif|jpe?g|png|webp)(\?.*)?$') THEN NULL ELSE rtrim(url, '/') || '/low.webp' END AS low FROM (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN split_part(url, '?', 1) || '.JPG?v=1' ELSE url END AS url FROM pages)""")
+def url_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Picture URLs: files as they are, asset roots in two renditions."""
+    url = F.when(F.col("page_id") % 3 == 0, F.concat(F.split_part("url", F.lit("?"), F.lit(1)), F.lit(".JPG?v=1"))).otherwise(F.col("url"))
+    none = F.lit(None).cast("string")
+    urls = T.image_urls(none, none, url)
+    return read(spark, sf_dir, "pages").select("page_id", urls["high"].alias("high"), urls["low"].alias("low"))
+
+
+@query(r"""
+SELECT p_partkey, p_size || CASE WHEN p_size % 2 = 0 THEN 'B' ELSE '' END AS number, lower(p_name) AS set_name, p_size || CASE WHEN p_size % 2 = 0 THEN 'B' ELSE '' END AS tail, p_size % 5 <> 0 AS matched FROM part""")
+def provider_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Card numbers and set names as providers write them, and whether they agree."""
+    size = F.col("p_size").cast("string")
+    raw = F.concat(F.lpad(size, 4, "0"), F.when(F.col("p_size") % 2 == 0, "b").otherwise(""), F.lit("/165"))
+    named = T.provider_card_number([F.lit(None).cast("string"), F.lit("")], F.concat("p_name", F.lit(" - "), F.upper(raw)))
+    given = F.when(F.col("p_size") % 5 == 0, F.lit("Other")).otherwise(F.concat(F.lit("SV1: "), F.initcap("p_name")))
+    return read(spark, sf_dir, "part").select("p_partkey", T.provider_number(raw).alias("number"), T.provider_set_name(F.concat(F.lit("sv01: "), "p_name")).alias("set_name"), named.alias("tail"), T.provider_matches(given, T.provider_number(raw), F.col("p_name"), F.lower(raw)).alias("matched"))
+
+
+@query("""
+SELECT c_custkey, 'pokemon:en:' || c_nationkey || ':' || c_custkey AS id, c_nationkey::varchar || 'x' AS damage, coalesce(nullif(trim(CASE WHEN c_nationkey < 5 THEN ' ' ELSE c_mktsegment END), ''), 'unknown') AS locale, 'en' AS id_locale FROM customer""")
+def identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical ids, damage text, locales with a default."""
+    n = F.col("c_nationkey").cast("string")
+    own = T.canonical_id(F.lit("en"), n, F.col("c_custkey").cast("string"))
+    locale = F.when(F.col("c_nationkey") < 5, F.lit(" ")).otherwise(F.col("c_mktsegment"))
+    return read(spark, sf_dir, "customer").select("c_custkey", own.alias("id"), T.normalize_damage(F.concat(n, F.lit("×"))).alias("damage"), T.locale_or_unknown(locale).alias("locale"), T.locale_of_id(own).alias("id_locale"))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'unknown' WHEN o_orderdate >= TIMESTAMP '1999-01-01' THEN 'recent' WHEN o_orderdate >= TIMESTAMP '1995-01-01' THEN 'modern' ELSE 'legacy' END AS bucket,
+ CASE WHEN o_orderkey % 12 = 0 THEN 'promo' WHEN o_orderpriority LIKE '1%' THEN 'alt_art' ELSE 'standard' END AS class FROM orders""")
+def release_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Age and class of an item; dates are moved by 25 years so that all ages occur."""
+    moved = F.when(F.col("o_orderstatus") != "P", F.add_months(F.col("o_orderdate").cast("date"), 25 * 12))
+    set_id = F.when(F.col("o_orderkey") % 12 == 0, F.lit("SVP")).otherwise(F.lit("sv1"))
+    rarity = F.when(F.col("o_orderpriority").startswith("1"), F.lit("Special Illustration Rare")).otherwise(F.lit("Common"))
+    return read(spark, sf_dir, "orders").select("o_orderkey", T.release_bucket(moved).alias("bucket"), T.card_class(set_id, F.lit("Base"), rarity).alias("class"))
+
+
+@query("""
+SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'pokemon:tcgdex:' || p_partkey ELSE 'pokemon:xlocale:pokemon:' || CASE WHEN p_size % 2 = 0 THEN '_' ELSE p_size || ',' || (p_size + 1) END || ':' || lower(p_name) || ':' || p_size || ':' || lower(p_type) || ':basic::1:0:fire,fire:' || p_size || '+' END AS key,
+ CASE WHEN p_size % 3 = 0 THEN 'upstream:' || p_partkey ELSE 'equiv:' || trim(regexp_replace(lower(p_brand), '[^a-z0-9]+', ' ', 'g')) END AS art FROM part""")
+def equivalence_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of one design across locales, and of one picture."""
+    size, key = F.col("p_size"), F.col("p_partkey").cast("string")
+    attack = F.array(F.struct(F.array(F.lit("Fire"), F.lit("Fire")).alias("cost"), F.concat(size.cast("string"), F.lit("＋")).alias("damage")))
+    dex = F.when(size % 2 == 0, F.array().cast("array<int>")).otherwise(F.array(size + 1, size))
+    none = F.lit(None).cast("string")
+    own = T.equivalence_key(F.when(size % 3 == 0, "Trainer").otherwise("Pokemon"), F.col("p_name"), key, dex, size.cast("string"), F.array("p_type"), F.lit("Basic"), none, F.lit("1"), F.array().cast("array<string>"), attack)
+    art = T.same_art_key(F.when(size % 3 == 0, none).otherwise(F.col("p_brand")), key, F.col("p_name"))
+    return read(spark, sf_dir, "part").select("p_partkey", own.alias("key"), art.alias("art"))
+
+
+@query("SELECT p_partkey, variant_idx, ('0x' || substr(sha256(p_partkey || '|' || variant_idx), 1, 8))::bigint AS seed_high FROM part, (SELECT unnest([0, 1, 2, 3]) AS variant_idx)")
+def seed_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upper half of a 64-bit seed of each part and variant."""
+    cards = read(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), "p_partkey")
+    out = corpus.expand_variants(cards)
+    return out.select("p_partkey", "variant_idx", F.floor(F.col("variant_seed") / F.lit(2**32).cast("decimal(20,0)")).cast("long").alias("seed_high"))
+
+
+@query("SELECT p_partkey, i AS variant_idx, ['clean', 'blur_lo', 'jpeg_lo', 'glare_mild'][i + 1] AS variant_tag FROM part, (SELECT unnest([0, 1, 2, 3]) AS i)")
+def variants_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each part in four variants."""
+    return corpus.expand_variants(read(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), "p_partkey")).select("p_partkey", "variant_idx", "variant_tag")
+
+
+@query("SELECT s_suppkey, i AS frame_index, i * 100 AS timestamp_millis FROM supplier, (SELECT unnest(range(0, 6))::int AS i)")
+def frames_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each clip in six frames."""
+    return corpus.expand_frames(read(spark, sf_dir, "supplier").select("s_suppkey"), 6, 100)
+
+
+# -- vectors -----------------------------------------------------------------------------------------------------------
+
+
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"), "label")
+
+
+@query("""
+SELECT vec_id, len(embedding)::int AS dim, round(sqrt(list_sum(list_transform(embedding, lambda x: x::double * x::double))), 4) AS norm, round(list_min(embedding)::double, 4) AS lo, round(list_max(embedding)::double, 4) AS hi, false AS has_nan FROM embeddings""")
+def l2_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Diagnostics of vectors."""
+    d = V.diagnostics(F.col("vector"))
+    return _vectors(spark, sf_dir).select("vec_id", d["dim"].alias("dim"), r4(d["norm"]).alias("norm"), r4(d["min"].cast("double")).alias("lo"), r4(d["max"].cast("double")).alias("hi"), d["has_nan"].alias("has_nan"))
+
+
+@query("""
+SELECT vec_id, array_to_string(list_transform(embedding, lambda x: greatest(-128, least(127, round_even((x * 127::float)::float::double, 0)))::int), ',') AS q FROM embeddings""")
+def int8_quant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantized vectors as text."""
+    q = F.transform(V.quantize(F.col("vector")), lambda x: x.cast("string"))
+    return _vectors(spark, sf_dir).select("vec_id", F.array_join(q, ",").alias("q"))
+
+
+@query("""
+WITH q AS (SELECT vec_id, embedding::double[] AS v, list_transform(embedding, lambda x: greatest(-128, least(127, round_even((x * 127::float)::float::double, 0))) / 127.0::double) AS b FROM embeddings),
+e AS (SELECT 1 - list_dot_product(v, b) / (sqrt(list_dot_product(v, v)) * sqrt(list_dot_product(b, b))) AS c FROM q)
+SELECT count(*) AS rows, 0::bigint AS skipped, round(avg(c), 6) AS mean_cosine_error, round(max(c), 6) AS max_cosine_error, round(avg(sqrt(2 * c)), 5) AS mean_l2_error FROM e""")
+def int8_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors of quantization over all vectors."""
+    e = _vectors(spark, sf_dir).select(F.col("vec_id").cast("string").alias("card_id"), "vector", F.lit(0).alias("variant_idx"), F.size("vector").alias("dim"))
+    out = checks.int8_errors(e, corpus.int8_table(e))
+    return out.select("rows", "skipped", F.round("mean_cosine_error", 6).alias("mean_cosine_error"), F.round("max_cosine_error", 6).alias("max_cosine_error"), F.round("mean_l2_error", 5).alias("mean_l2_error"))
+
+
+_KNN = """
+WITH v AS (SELECT vec_id, label, embedding::double[] AS e FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, q.label AS ql, r.vec_id AS ref_id, r.label AS rl, list_dot_product(q.e, r.e) AS score FROM v q, v r WHERE q.vec_id % 10 = 0 AND q.vec_id <> r.vec_id),
+t AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ref_id) AS rank FROM s)"""
+
+
+def _asked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    v = _vectors(spark, sf_dir)
+    return v.where("vec_id % 10 = 0").withColumnRenamed("vec_id", "query_id"), v.withColumnRenamed("vec_id", "ref_id")
+
+
+@query(_KNN + " SELECT query_id, rank::int AS rank, ref_id, round(score, 5) AS score FROM t WHERE rank <= 5")
+def knn_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest other vectors of each tenth vector."""
+    top = retrieval.knn(*_asked(spark, sf_dir), 5, skip_self=True)
+    return top.select("query_id", "rank", "ref_id", F.round("score", 5).alias("score"))
+
+
+# the reference that a query is to find: the next vector of its label, so ranks are not all 1
+_TRUTH = """,
+n AS (SELECT vec_id, coalesce(lead(vec_id) OVER (PARTITION BY label ORDER BY vec_id), -1) AS true_id FROM v),
+w AS (SELECT t.query_id, any_value(t.ql) AS label, coalesce(max(CASE WHEN t.ref_id = n.true_id THEN t.rank END), (SELECT count(*) FROM v) + 1) AS correct_rank,
+  max(CASE WHEN rank = 1 THEN score END) AS top1, max(CASE WHEN rank = 2 THEN score END) AS top2, max(CASE WHEN rank = 1 THEN ref_id END) AS top1_id, max(CASE WHEN rank = 1 THEN rl END) AS top1_label, any_value(n.true_id) AS true_id
+  FROM t JOIN n ON n.vec_id = t.query_id GROUP BY t.query_id)"""
+_METRICS = """ count(*) AS sample_count, round(avg((correct_rank = 1)::int), 4) AS recall_at_1, round(avg((correct_rank <= 5)::int), 4) AS recall_at_5, round(avg(1.0::double / correct_rank), 4) AS mean_reciprocal_rank,
+ round(avg(correct_rank), 4) AS mean_rank, round(median(top1), 4) AS median_top1_score, round(avg(top1), 4) AS mean_top1_score, round(avg(top1 - top2), 4) AS mean_top1_margin,
+ round(avg((top1_id <> true_id AND top1_label = label)::int), 4) AS same_art_top1_confusion_rate FROM w"""
+
+
+def _evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import Window as W
+
+    v = _vectors(spark, sf_dir)
+    following = F.coalesce(F.lead("vec_id").over(W.partitionBy("label").orderBy("vec_id")), F.lit(-1))
+    asked = v.withColumn("true_id", following.cast("long")).where("vec_id % 10 = 0").withColumnRenamed("vec_id", "query_id")
+    refs = v.withColumnRenamed("vec_id", "ref_id")
+    rows = retrieval.per_query(retrieval.knn(asked, refs, 5, true_id="true_id", skip_self=True)).join(asked.select("query_id", "true_id", F.col("label").alias("query_group"), F.col("query_id").cast("string").alias("query_name")), "query_id")
+    return retrieval.confusions(rows, refs, "ref_id", F.col("label"), F.concat(F.lit("r"), "ref_id"))
+
+
+def _rounded(df: DataFrame, keep: list[str]) -> DataFrame:
+    return df.select(*keep, *[r4(c).alias(c) for c in df.columns if c not in keep])
+
+
+@query(_KNN + _TRUTH + " SELECT" + _METRICS)
+def retrieval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recall, ranks, scores and confusion over all queries."""
+    return _rounded(retrieval.metrics(_evaluated(spark, sf_dir)), ["sample_count"])
+
+
+@query(_KNN + _TRUTH + " SELECT label AS query_group," + _METRICS + " GROUP BY label")
+def metrics_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same per group."""
+    return _rounded(retrieval.metrics(_evaluated(spark, sf_dir), "query_group"), ["query_group", "sample_count"])
+
+
+@query(_KNN + _TRUTH + " SELECT query_id, top1_id, correct_rank FROM w WHERE top1_id <> true_id AND top1_label = label")
+def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries whose nearest vector is another one of the same group."""
+    return _evaluated(spark, sf_dir).where("confused").select("query_id", "top1_id", "correct_rank")
+
+
+@query("""
+SELECT vec_id, list_reduce(list_transform(embedding, lambda x: (x::double >= list_sum(embedding::double[]) / 64)::int::varchar), lambda a, b: a || b) AS bits FROM embeddings""")
+def average_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """64-bit average hashes, as text."""
+    h = V.average_hash(F.col("vector"))
+    return _vectors(spark, sf_dir).select("vec_id", F.lpad(F.bin(h), 64, "0").alias("bits"))
+
+
+@query("""
+WITH RECURSIVE h AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS i, vec_id, list_transform(embedding, lambda x: (x::double >= list_sum(embedding::double[]) / 64)::int) AS b FROM embeddings),
+r AS (SELECT label, 1::bigint AS i, [b] AS kept, [vec_id] AS ids FROM h WHERE i = 1
+ UNION ALL SELECT r.label, h.i, CASE WHEN len(list_filter(r.kept, lambda y: list_sum(list_transform(list_zip(y, h.b), lambda z: (z[1] <> z[2])::int)) <= 24)) = 0 THEN list_append(r.kept, h.b) ELSE r.kept END,
+  CASE WHEN len(list_filter(r.kept, lambda y: list_sum(list_transform(list_zip(y, h.b), lambda z: (z[1] <> z[2])::int)) <= 24)) = 0 THEN list_append(r.ids, h.vec_id) ELSE r.ids END FROM r JOIN h ON h.label = r.label AND h.i = r.i + 1)
+SELECT label, unnest(ids) AS vec_id FROM (SELECT label, arg_max(ids, i) AS ids FROM r GROUP BY label)""")
+def greedy_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames of each clip (label) that are far enough from every kept one before."""
+    frames = _vectors(spark, sf_dir).select("vec_id", "label", V.average_hash(F.col("vector")).alias("bits"))
+    return retrieval.greedy_dedupe(frames, "label", "vec_id", "bits", 24).select("label", "vec_id")
+
+
+@query("""
+WITH f AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i, 1 + (event_id * 7919) % 12 AS rank FROM events)
+SELECT user_id, min(i) FILTER (rank = 1) AS first_top1_frame, min(i) FILTER (rank <= 5) AS first_topk_frame FROM f GROUP BY user_id""")
+def clip_first_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First frames of each clip (user) with rank 1 and with rank up to 5."""
+    return retrieval.clip_first_hits(_frames(spark, sf_dir), "user_id", "frame", "rank")
+
+
+def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import Window as W
+
+    i = (F.row_number().over(W.partitionBy("user_id").orderBy("ts", "event_id")) - 1).cast("long")
+    return read(spark, sf_dir, "events").select("user_id", i.alias("frame"), (1 + (F.col("event_id") * 7919) % 12).alias("rank"))
+
+
+@query("""
+WITH f AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i, 1 + (event_id * 7919) % 12 AS rank FROM events),
+c AS (SELECT user_id, min(i) FILTER (rank = 1) AS a, min(i) FILTER (rank <= 5) AS b FROM f GROUP BY user_id)
+SELECT count(*) AS clip_count, round(avg((b IS NOT NULL)::int), 4) AS clip_topk_success_rate, round(avg(a), 4) AS mean_first_top1_frame, round(avg(b), 4) AS mean_first_topk_frame FROM c""")
+def clip_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clips, success rate and mean first frames."""
+    return _rounded(retrieval.clip_metrics(_frames(spark, sf_dir), "user_id", "frame", "rank"), ["clip_count"])
+
+
+@query("""
+WITH f AS (SELECT row_number() OVER (ORDER BY vec_id) AS i, vec_id, embedding::double[] AS e FROM (SELECT * FROM embeddings ORDER BY vec_id LIMIT 6))
+SELECT a.vec_id AS left_id, b.vec_id AS right_id, round(list_dot_product(a.e, b.e), 5) AS cosine FROM f a JOIN f b ON a.i < b.i AND a.i <= 4""")
+def sampled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cosines of the first pairs."""
+    return retrieval.sampled_pairs(_vectors(spark, sf_dir), "vec_id").select("left_id", "right_id", F.round("cosine", 5).alias("cosine"))
