@@ -6,7 +6,7 @@ boolean counts as 1 or 0. Where the order of keys matters the JSON text itself i
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,26 +23,49 @@ EURO_LOW_KEYS, EURO_MARKET_KEYS, EURO_HIGH_KEYS = ("low", "lowPrice"), ("avg", "
 _MAP = "map<string,string>"
 
 
-def _at(json: Column, key: str) -> Column:
-    return F.try_variant_get(F.try_parse_json(json), f"$['{key}']", "variant")
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) with value evaluated once: a lambda over a one-element array, so nested uses do not multiply the expression."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
+def _in(v: Column, key: str) -> Column:
+    return F.try_variant_get(v, f"$['{key}']", "variant")
+
+
+def _kind(v: Column, key: str) -> Column:
+    return F.schema_of_variant(_in(v, key))
+
+
+def _number(v: Column, key: str) -> Column:
+    """The member of a VARIANT as double if it is a number or a boolean, else null."""
+    what, path = _kind(v, key), f"$['{key}']"
+    flag = F.try_variant_get(v, path, "boolean").cast("int").cast("double")
+    plain = what.isin("BIGINT", "DOUBLE", "FLOAT") | what.startswith("DECIMAL")
+    return F.when(what == "BOOLEAN", flag).when(plain, F.try_variant_get(v, path, "double"))
+
+
+def _first(v: Column, keys: Sequence[str]) -> Column:
+    return F.coalesce(*[_number(v, k) for k in keys])
+
+
+def parsed(json: Column) -> Column:
+    """VARIANT of a JSON text; null if it is none."""
+    return F.try_parse_json(json)
 
 
 def kind(json: Column, key: str) -> Column:
     """The type of a member, as schema_of_variant names it; null if absent."""
-    return F.schema_of_variant(_at(json, key))
+    return _kind(parsed(json), key)
 
 
 def number(json: Column, key: str) -> Column:
     """The member as double if it is a number or a boolean, else null."""
-    what = kind(json, key)
-    value = F.try_variant_get(F.try_parse_json(json), f"$['{key}']", "double")
-    flag = F.try_variant_get(F.try_parse_json(json), f"$['{key}']", "boolean")
-    return F.when(what == "BOOLEAN", flag.cast("int").cast("double")).when(what.isin("BIGINT", "DOUBLE", "FLOAT") | what.startswith("DECIMAL"), value)
+    return let(parsed(json), lambda v: _number(v, key))
 
 
 def text(json: Column, key: str) -> Column:
     """The member as text; null if absent or null."""
-    return F.try_variant_get(F.try_parse_json(json), f"$['{key}']", "string")
+    return F.try_variant_get(parsed(json), f"$['{key}']", "string")
 
 
 def is_object(json: Column, key: str) -> Column:
@@ -50,8 +73,9 @@ def is_object(json: Column, key: str) -> Column:
 
 
 def member(json: Column, key: str) -> Column:
-    """The member as JSON text if it is an object, else null."""
-    return F.when(is_object(json, key), F.to_json(_at(json, key)))
+    """The member as JSON text, its keys in their order, if it is an object; else null."""
+    own = F.try_element_at(F.from_json(json, _MAP), F.lit(key))
+    return F.when(is_object(json, key), own)
 
 
 def entries(json: Column) -> Column:
@@ -61,31 +85,46 @@ def entries(json: Column) -> Column:
 
 def first_number(json: Column, keys: Sequence[str]) -> Column:
     """The first of `keys` that holds a number; 0 counts."""
-    return F.coalesce(*[number(json, k) for k in keys])
+    return let(parsed(json), lambda v: _first(v, keys))
 
 
 def has_number(json: Column, keys: Sequence[str]) -> Column:
     return first_number(json, keys).isNotNull()
 
 
+def _score(v: Column) -> tuple[Column, Column]:
+    count = sum((_number(v, k).isNotNull().cast("int") for k in TCGPLAYER_KEYS), F.lit(0))
+    return count, F.coalesce(_first(v, ANCHOR_KEYS), F.lit(0.0))
+
+
 def variant_score(json: Column) -> Column:
     """(numeric keys present, market anchor or 0): larger is better."""
-    count = sum((number(json, k).isNotNull().cast("int") for k in TCGPLAYER_KEYS), F.lit(0))
-    return F.struct(count.alias("keys"), F.coalesce(first_number(json, ANCHOR_KEYS), F.lit(0.0)).alias("anchor"))
+
+    def scored(v: Column) -> Column:
+        count, anchor = _score(v)
+        return F.struct(count.alias("keys"), anchor.alias("anchor"))
+
+    return let(parsed(json), scored)
 
 
 def best_variant(json: Column) -> Column:
     """struct(name, json): the payload itself if it holds prices, else the preferred variant, else the best scored one (ties: first in the text)."""
     direct = F.when(has_number(json, TCGPLAYER_KEYS), F.struct(F.lit(None).cast("string").alias("name"), json.alias("json")))
-    preferred = []
-    for key in VARIANT_PREFERENCE:
-        own = member(json, key)
-        preferred.append(F.when(has_number(own, TCGPLAYER_KEYS), F.struct(F.lit(key).alias("name"), own.alias("json"))))
-    usable = F.filter(entries(json), lambda e: e["value"].startswith("{") & has_number(e["value"], TCGPLAYER_KEYS))
-    ranked = F.transform(usable, lambda e, i: F.struct((-variant_score(e["value"])["keys"]).alias("a"), (-variant_score(e["value"])["anchor"]).alias("b"), i.alias("i"), e["key"].alias("name"), e["value"].alias("json")))
-    top = F.get(F.array_sort(ranked), 0)
-    fallback = F.when(top.isNotNull(), F.struct(top["name"].alias("name"), top["json"].alias("json")))
-    return F.coalesce(direct, *preferred, fallback)
+    wanted = F.array(*map(F.lit, VARIANT_PREFERENCE))
+    rest = F.lit(len(VARIANT_PREFERENCE) + 1)
+
+    def ranked(e: Column, i: Column) -> Column:
+        def one(v: Column) -> Column:
+            count, anchor = _score(v)
+            at = F.nullif(F.array_position(wanted, e["key"]), F.lit(0).cast("long"))
+            free = at.isNull()
+            return F.struct(F.coalesce(at, rest).alias("at"), F.when(free, -count).otherwise(0).alias("a"), F.when(free, -anchor).otherwise(0.0).alias("b"), i.alias("i"), count.alias("n"), e["key"].alias("name"), e["value"].alias("json"))
+
+        return let(parsed(F.when(e["value"].startswith("{"), e["value"])), one)
+
+    usable = F.filter(F.transform(entries(json), ranked), lambda x: x["n"] > 0)
+    chosen = let(F.get(F.array_sort(usable), 0), lambda t: F.when(t.isNotNull(), F.struct(t["name"].alias("name"), t["json"].alias("json"))))
+    return F.coalesce(direct, chosen)
 
 
 def _clean(*candidates: Column) -> Column:
@@ -95,28 +134,39 @@ def _clean(*candidates: Column) -> Column:
 
 def usd_source(payload: Column) -> Column:
     """struct(unit, updated, variant_name, variant) of a US payload with any price; null otherwise."""
-    best = best_variant(F.coalesce(member(payload, "prices"), payload))
-    updated = _clean(text(payload, "updated"), text(payload, "updatedAt"), text(best["json"], "updated"), text(best["json"], "updatedAt"))
-    unit = F.coalesce(F.nullif(text(payload, "unit"), F.lit("")), F.lit("USD"))
-    return F.when(best.isNotNull(), F.struct(unit.alias("unit"), updated.alias("updated"), best["name"].alias("variant_name"), best["json"].alias("variant")))
+
+    def made(best: Column) -> Column:
+        updated = _clean(text(payload, "updated"), text(payload, "updatedAt"), text(best["json"], "updated"), text(best["json"], "updatedAt"))
+        unit = F.coalesce(F.nullif(text(payload, "unit"), F.lit("")), F.lit("USD"))
+        return F.when(best.isNotNull(), F.struct(unit.alias("unit"), updated.alias("updated"), best["name"].alias("variant_name"), best["json"].alias("variant")))
+
+    return let(let(F.coalesce(member(payload, "prices"), payload), best_variant), made)
 
 
 def eur_source(payload: Column) -> Column:
     """struct(unit, updated, variant_name, variant) of a European payload with any of its nine price keys; null otherwise."""
-    own = F.coalesce(member(payload, "prices"), payload)
-    unit = F.coalesce(F.nullif(text(payload, "unit"), F.lit("")), F.lit("EUR"))
-    updated = _clean(text(payload, "updated"), text(payload, "updatedAt"))
-    return F.when(has_number(own, CARDMARKET_KEYS), F.struct(unit.alias("unit"), updated.alias("updated"), F.lit(None).cast("string").alias("variant_name"), own.alias("variant")))
+
+    def made(own: Column) -> Column:
+        unit = F.coalesce(F.nullif(text(payload, "unit"), F.lit("")), F.lit("EUR"))
+        updated = _clean(text(payload, "updated"), text(payload, "updatedAt"))
+        return F.when(has_number(own, CARDMARKET_KEYS), F.struct(unit.alias("unit"), updated.alias("updated"), F.lit(None).cast("string").alias("variant_name"), own.alias("variant")))
+
+    return let(F.coalesce(member(payload, "prices"), payload), made)
 
 
 def or_number(json: Column, keys: Sequence[str]) -> Column:
     """The first member that is set (0, empty and null are not; of the last 0 counts), if it is a number."""
-    out = number(json, keys[-1])
-    for key in reversed(keys[:-1]):
-        own = number(json, key)
-        other = F.coalesce(kind(json, key), F.lit("VOID")).isin("VOID") | (own == 0) | (text(json, key) == "")
-        out = F.when(F.coalesce(other, F.lit(True)), out).otherwise(own)
-    return out
+
+    def made(v: Column) -> Column:
+        out = _number(v, keys[-1])
+        for key in reversed(keys[:-1]):
+            own = _number(v, key)
+            unset = F.coalesce(_kind(v, key), F.lit("VOID")) == "VOID"
+            empty = F.coalesce(own == 0, F.lit(False)) | F.coalesce(F.try_variant_get(v, f"$['{key}']", "string") == "", F.lit(False))
+            out = F.when(unset | empty, out).otherwise(own)
+        return out
+
+    return let(parsed(json), made)
 
 
 def price_triple(low: Column, market: Column, high: Column, updated: Column) -> Column:
@@ -126,8 +176,8 @@ def price_triple(low: Column, market: Column, high: Column, updated: Column) ->
 
 def bulk_price(card: Column) -> Column:
     """Price of a set-level provider card: market, or mid where market is missing or 0; never dated."""
-    prices = member(card, "prices")
-    return price_triple(number(prices, "low"), or_number(prices, ("market", "mid")), number(prices, "high"), F.lit(None).cast("string"))
+    made = lambda p: price_triple(number(p, "low"), or_number(p, ("market", "mid")), number(p, "high"), F.lit(None).cast("string"))
+    return let(member(card, "prices"), made)
 
 
 def _condition(venue: Column) -> Column:
@@ -139,21 +189,24 @@ def _condition(venue: Column) -> Column:
 
 def condition_price(card: Column) -> Column:
     """Price of a condition-level provider card: near mint or first condition of the first venue, else of the second."""
-    prices = member(card, "prices")
-    near = F.coalesce(_condition(member(prices, "tcgplayer")), _condition(member(prices, "ebay")))
-    return price_triple(number(near, "low"), or_number(near, ("avg", "market")), number(near, "high"), _clean(text(card, "lastUpdated")))
+    near = lambda p: F.coalesce(let(member(p, "tcgplayer"), _condition), let(member(p, "ebay"), _condition))
+    made = lambda n: price_triple(number(n, "low"), or_number(n, ("avg", "market")), number(n, "high"), _clean(text(card, "lastUpdated")))
+    return let(let(member(card, "prices"), near), made)
 
 
 def variants_price(card: Column) -> Column:
     """struct(low, market, high) over all USD entries of a list of variants; the top level only where no market was found."""
-    schema = "array<struct<prices:array<string>>>"
-    lists = F.from_json(F.to_json(_at(card, "variants")), schema)
-    flat = F.flatten(F.transform(F.coalesce(lists, F.array().cast("array<struct<prices:array<string>>>")), lambda v: F.coalesce(v["prices"], F.array().cast("array<string>"))))
-    usd = F.filter(flat, lambda p: F.upper(F.coalesce(text(p, "currency"), F.lit(""))) == "USD")
-    pick = lambda key, agg: agg(F.filter(F.transform(usd, lambda p: number(p, key)), lambda x: x.isNotNull()))
-    market = pick("market", F.array_max)
-    low = F.when(market.isNull(), F.coalesce(number(card, "low"), pick("low", F.array_min))).otherwise(pick("low", F.array_min))
-    return F.struct(low.alias("low"), F.coalesce(market, number(card, "market")).alias("market"), pick("high", F.array_max).alias("high"))
+    empty = F.array().cast("array<string>")
+    lists = F.from_json(F.to_json(_in(parsed(card), "variants")), "array<struct<prices:array<string>>>")
+    flat = F.flatten(F.transform(F.coalesce(lists, F.array().cast("array<struct<prices:array<string>>>")), lambda v: F.coalesce(v["prices"], empty)))
+
+    def made(usd: Column) -> Column:
+        pick = lambda key, agg: agg(F.filter(F.transform(usd, lambda p: number(p, key)), lambda x: x.isNotNull()))
+        market = pick("market", F.array_max)
+        low = F.when(market.isNull(), F.coalesce(number(card, "low"), pick("low", F.array_min))).otherwise(pick("low", F.array_min))
+        return F.struct(low.alias("low"), F.coalesce(market, number(card, "market")).alias("market"), pick("high", F.array_max).alias("high"))
+
+    return let(F.filter(flat, lambda p: F.upper(F.coalesce(text(p, "currency"), F.lit(""))) == "USD"), made)
 
 
 _FORMATS = ("yyyy-M-d'T'H:m:s[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]'Z'", "yyyy/M/d", "yyyy/M/d H:m:s")

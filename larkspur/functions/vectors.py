@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, FloatType
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -59,13 +60,13 @@ def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(ArrayType(FloatType()))
 def decode_blob(blobs: pd.Series) -> pd.Series:
     """Little-endian float32 bytes as an array."""
     return blobs.map(lambda b: None if b is None else np.frombuffer(b, "<f4").copy())
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def encode_blob(vectors: pd.Series) -> pd.Series:
     """An array as little-endian float32 bytes."""
     return vectors.map(lambda v: None if v is None else np.asarray(v, "<f4").tobytes())

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def source_coverage(rows: DataFrame, card: str, group: Column, source: str, primary: str, first: str = "tcgplayer", second: str = "cardmarket", cards: DataFrame | None = None) -> DataFrame:
@@ -100,7 +101,7 @@ def line_hash(df: DataFrame, line: Column, keys: Sequence[str], digits: int = 3)
     return each.agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "h"))), lambda r: r["h"]), "\n"), 256).alias("content_hash"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def json_line(rows: pd.DataFrame) -> pd.Series:
     """A row as a compact JSON list, as Python's json writes it."""
     import json
