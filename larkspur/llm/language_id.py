@@ -81,22 +81,23 @@ class Parser:
                 table[s, self.column[list(row)]] = list(row.values())
         first = table[0].copy()
         first[first < 0] = 0  # a symbol that never occurs is a phrase of its own
-        restart = table < 0
-        table = np.where(restart, first, table)
-        table[:, 0], restart[:, 0] = 0, False
-        #: Offset of the next state's row, and in the lowest bit whether a phrase ended.
-        self.table = ((table * self.width) << 1 | restart).astype(np.int32).reshape(-1)
+        starts = table < 0
+        table = np.where(starts, first, table)
+        starts[0] = True
+        table[:, 0], starts[:, 0] = 0, False
+        #: Offset of the next state's row, and in the lowest bit whether a phrase starts.
+        self.table = ((table * self.width) << 1 | starts).astype(np.int32).reshape(-1)
         self.bits = float(np.log2(max(2, len(reference))))
 
     def phrases(self, lanes: np.ndarray) -> np.ndarray:
-        """lanes: classes, (step, lane). Phrases that ended in each lane, and the one that was open at its end."""
+        """lanes: classes, (step, lane). Phrases of each lane."""
         state = np.zeros(lanes.shape[1], np.int32)
         count = np.zeros(lanes.shape[1], np.int32)
         for classes in lanes:
             step = self.table[state + self.column[classes]]
             count += step & 1
             state = step >> 1
-        return count + (lanes[0] > 0)
+        return count
 
 
 _PARSERS: dict[tuple, list[tuple[str, Parser]]] = {}
@@ -110,7 +111,7 @@ def parsers(references: tuple[tuple[str, bytes], ...]) -> list[tuple[str, Parser
     return _PARSERS[references]
 
 
-def references(docs: DataFrame, per_language: int = 64, row_bytes: int = 8_000, total_bytes: int = 160_000, lang_bytes: int = 40_000, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> tuple[tuple[str, bytes], ...]:
+def references(docs: DataFrame, per_language: int = 64, row_bytes: int = 8_000, total_bytes: int = 160_000, lang_bytes: int = 24_000, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> tuple[tuple[str, bytes], ...]:
     """For each language a reference text from a bounded sample of labelled rows.
 
     The sample: the `per_language` distinct texts of 1 to `row_bytes` bytes, with a letter, that come first by the hash of
