@@ -110,13 +110,13 @@ def landing(p: np.ndarray, sizes: np.ndarray, due: float, tolerance: float = 1e-
     return p
 
 
-def _round(last: bool, seed: int):
+def _round(seed: int):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["__order", "__unit"], kind="stable")
         draw = np.random.default_rng([seed, int(pdf["__order"].iloc[0]) & 0xFFFFFFFF, len(pdf)])
         sizes, due = pdf["__size"].to_numpy(float), float((pdf["__p"] * pdf["__size"]).sum())
         p = flight(pdf["__p"].to_numpy(float), sizes, draw)
-        if last:
+        if pdf["__last"].iloc[0]:  # the source's only block
             p = landing(p, sizes, due)
         return pdf.assign(__p=p)[["__unit", "__source", "__size", "__order", "__p"]]
 
@@ -130,16 +130,19 @@ def select_copies(units: DataFrame, block: int = BLOCK, seed: int = 11) -> DataF
     done = None
     turn = 0
     while True:
-        # most open units of one source decide how many blocks a source is cut into
-        counts = level.where("__p > 0 and __p < 1").groupBy("__source").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-        last = counts <= block
+        live = level.where("__p > 0 and __p < 1")
+        # a source of n open units is cut into blocks of about half a block, one block alone if they fit
+        counts = live.groupBy(F.col("__source").alias("__c")).agg(F.count("*").alias("n"))
+        counts = common.cut(counts.withColumn("__blocks", F.when(F.col("n") <= block, 1).otherwise(F.ceil(2 * F.col("n") / block))))
+        most = counts.agg(F.max("n")).first()[0] or 0
         closed = level.where("__p <= 0 or __p >= 1")
         done = closed if done is None else done.unionByName(closed)
-        if not counts:
+        if not most:
             break
-        blocks = 1 if last else -(-2 * counts // block)
-        cell = F.pmod(F.xxhash64("__order", F.lit(turn)), F.lit(blocks))
-        flown = level.where("__p > 0 and __p < 1").withColumn("__cell", cell).groupBy("__source", "__cell").applyInPandas(_round(last, seed + turn), schema)
+        placed = live.join(common.broadcast_if_small(counts.drop("n")), F.col("__source").eqNullSafe(F.col("__c")))
+        cell = F.pmod(F.xxhash64("__order", F.lit(turn)), F.col("__blocks"))
+        placed = placed.withColumns({"__cell": cell, "__last": F.col("__blocks") == 1}).drop("__c", "__blocks")
+        flown = placed.groupBy("__source", "__cell").applyInPandas(_round(seed + turn), schema)
         level = common.cut(flown)
         turn += 1
     return done.select("__unit", "__source", F.col("__p").cast("int").alias("__extra"))
