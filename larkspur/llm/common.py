@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 #: Rows of a side that may be broadcast; a side is counted before it is broadcast. At 64 bytes a row this is 16 MB.
 BROADCAST_ROWS = 250_000
 #: Bytes of text that one numpy pass works on.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
