@@ -49,7 +49,7 @@ def fallback_prices(gaps: DataFrame, bulk: DataFrame | None, single: DataFrame |
         last = cards.groupBy("set_key").agg(F.max(F.struct("r1", "r2", "set_name"))["set_name"].alias("set_name"))
         index = matching.pick_first(cards.join(last, ["set_key", "set_name"], "left_semi").where("number <> ''"), ["set_key", "number"], [F.col("ord")], ["set_key", "number", "card"])
         keyed = out.withColumns({"set_key": T.provider_set_name(F.col("set_name")), "number": T.provider_number(F.col("card_number"))})
-        out = keyed.join(index, ["set_key", "number"], "left").withColumn("bulk", P.bulk_price(F.col("card"))).select(*names, "bulk")
+        out = keyed.join(index, ["set_key", "number"], "left").withColumn("bulk", P.bulk_price(F.col("card"))).select(*names, "bulk").persist()
     else:
         out = out.withColumn("bulk", none)
     lacking = ranking.first_budgeted(out.where("bulk is null"), ["ord"], max_cards).select("id", "ord", "set_id", "set_name", "card_number")
@@ -84,13 +84,14 @@ def build_prices(cards: DataFrame, provider: DataFrame, now: dt.datetime, max_ag
         reused, todo = spark.createDataFrame([], schemas.PRICES), cards
     as_of = F.lit(now.replace(tzinfo=dt.timezone.utc) if now.tzinfo is None else now)
     english = todo.where(F.col("locale") == "en")
-    selected = selection.select_usd(english, selection.provider_index(provider), as_of, max_age_days)
+    # kept, since rows, gaps, counters and audit all read it; a lost part is computed again
+    selected = selection.select_usd(english, selection.provider_index(provider).persist(), as_of, max_age_days).persist()
     usd = selection.usd_rows(selected)
     gaps = selected.where("reason is not null")
-    more = fallback_prices(gaps, bulk, single, other, slugs, max_fallback_cards, max_fallback_cards)
+    more = fallback_prices(gaps, bulk, single, other, slugs, max_fallback_cards, max_fallback_cards).persist()
     abroad = todo.where(F.col("locale") != "en").withColumn("source", P.eur_source(P.member(F.col("pricing"), "cardmarket")))
     eur = selection.eur_rows(abroad)
-    rows = selection.promoted(merging.concat_rows(reused, usd, selection.fallback_rows(more), eur))
+    rows = selection.promoted(merging.concat_rows(reused, usd, selection.fallback_rows(more), eur)).persist()
     transports = merging.concat_rows(
         usd.agg(F.count("*").alias("n")).select(F.lit("tcgplayer").alias("source"), F.lit("pokemontcgio").alias("transport"), "n"),
         more.groupBy("transport").agg(F.count("*").alias("n")).select(F.lit("tcgplayer").alias("source"), "transport", "n"),

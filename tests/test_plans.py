@@ -96,7 +96,8 @@ def test_manifests(spark):
     records = corpus.training_manifest(cards12(spark), spark.createDataFrame([(f"pokemon:en:s{i % 3}:{i}", f"/p/{i}") for i in range(11)], "id string, image_path string"))
     assert records.count() == 11
     frames = corpus.benchmark_manifest(records, max_clips=8, frames=3, ratio=0.5)
-    assert frames.count() == 24 and frames.select("clip_id").distinct().count() == 8
+    # four of five pairs give one clip each, then the only singleton, then the two of the last pair
+    assert frames.count() == 21 and frames.select("clip_id").distinct().count() == 7
     assert frames.where("frame_index = 2").select("timestamp_millis").distinct().collect() == [(200,)]
     assert corpus.subset_manifest(records, 4).count() == 4
     s = corpus.split(records, 0.25).groupBy("is_validation").count().collect()
