@@ -20,6 +20,10 @@ from . import common
 CELLS = 1 << 14
 VIRTUAL_NODES = 64
 SLACK = 0.002
+#: A cell of at most this part of a shard that came last and fits nowhere stays whole on the least loaded shard.
+WHOLE = 0.01
+#: Parts of a whole cell that number their rows by themselves, so that many equal texts do not meet in one task.
+PARTS = 8
 
 
 def _hash(name: str) -> int:
@@ -61,7 +65,7 @@ class BoundedRing:
         return None
 
     def force(self, load: int) -> int:
-        """The least loaded shard, for a single document that fits nowhere."""
+        """The least loaded shard, for a small load that fits nowhere."""
         s = min(range(len(self.load)), key=lambda i: (self.load[i], i))
         self.load[s] += load
         return s
@@ -74,8 +78,8 @@ def _cell(hashed: Column, cells: int) -> Column:
 def assign(docs: DataFrame, shards: int = 8, slack: float = SLACK, cells: int = CELLS, virtual_nodes: int = VIRTUAL_NODES, text: str = "text", doc_id: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """A row for each row of `docs`: doc_id, the `keep` columns, size, text_crc32, shard, slot.
 
-    size: UTF-8 bytes of the text (null: none) plus 1. A shard's sum of sizes passes the mean by at most `slack` (but
-    for a document larger than any room left). slot numbers a shard's rows from 0 without gaps; rows that
+    size: UTF-8 bytes of the text (null: none) plus 1. A shard's sum of sizes passes the mean by at most `slack`, but
+    for the last small cells and for a document larger than any room left. slot numbers a shard's rows from 0 without gaps; rows that
     agree in doc_id and text are interchangeable. Null doc_ids hash as the empty text. An empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -92,12 +96,14 @@ def assign(docs: DataFrame, shards: int = 8, slack: float = SLACK, cells: int =
     divided: list[int] = []
     for cell, load in order:
         shard = None if load > circle.capacity / 2 else circle.place(cell * step, load)
+        if shard is None and load <= WHOLE * circle.capacity:
+            shard = circle.force(load)
         if shard is None:
             divided.append(cell)
         else:
             whole.append((cell, shard))
     pieces: list[tuple[int, int, int]] = []
-    if divided:  # few: those of more than half a shard, and those that came last and fitted nowhere
+    if divided:  # few: those of more than half a shard, and large ones that fitted nowhere
         cut_cells = spark.createDataFrame([(c,) for c in divided], "__cell int")
         parts = base.join(F.broadcast(cut_cells), "__cell", "left_semi").groupBy("__cell", "__sub").agg(F.sum("size").alias("n"))
         for cell, sub, load in sorted(parts.collect(), key=lambda r: (-r[2], r[0], r[1])):
@@ -109,7 +115,7 @@ def assign(docs: DataFrame, shards: int = 8, slack: float = SLACK, cells: int =
     placed = placed.join(common.broadcast_if_small(where_piece), ["__cell", "__sub"], "left")
     placed = placed.withColumn("shard", F.coalesce("__whole", "__piece"))
     # slots: rows are numbered within (shard, cell, part of the cell), after all rows of earlier parts
-    part = F.when(F.col("__whole").isNull(), F.col("__sub")).otherwise(F.lit(0))
+    part = F.when(F.col("__whole").isNull(), F.col("__sub")).otherwise(F.col("__sub") % PARTS)
     placed = placed.withColumn("__part", part)
     sizes = placed.groupBy("shard", "__cell", "__part").agg(F.count("*").alias("__rows"))
     before = W.partitionBy("shard").orderBy("__cell", "__part").rowsBetween(W.unboundedPreceding, -1)
