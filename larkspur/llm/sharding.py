@@ -21,7 +21,7 @@ CELLS = 1 << 14
 VIRTUAL_NODES = 64
 SLACK = 0.002
 #: A cell of at most this part of a shard that came last and fits nowhere stays whole on the least loaded shard.
-WHOLE = 0.01
+WHOLE = 0.05
 #: Parts of a whole cell that number their rows by themselves, so that many equal texts do not meet in one task.
 PARTS = 8
 
