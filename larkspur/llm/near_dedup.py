@@ -6,8 +6,8 @@ A coordinate of the signature is the dart with the smallest rank that hit the te
 only until every coordinate of a text is hit, so a long text stops at the first narrow strips. Two texts agree in a
 coordinate with the probability of their weighted Jaccard similarity.
 
-Equal texts are one node from the start. Nodes that share a band get two links each at most per band: to the band bucket's
-leader and to the neighbour in the bucket's order by the rest of the signature. Links are counted exactly: first those to
+Equal texts are one node from the start. Nodes that share a band are tried against the bucket's leader,
+another one in each band, and against NEIGHBOURS texts before them in the bucket's order by another band. Links are counted exactly: first those to
 one hub per node, then, for the pairs whose ends are still in different groups, all others.
 """
 
@@ -29,6 +29,8 @@ BANDS, ROWS = 18, 4
 #: The first strip holds ranks below 2 ** -FIRST; each further one doubles the end.
 FIRST = 10
 _RANK_BITS = 40
+#: Texts before it in a bucket's order that a text is held against.
+NEIGHBOURS = 3
 
 
 def weighted_elements(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -125,15 +127,21 @@ def _shingle_sets(width: int):
     return run
 
 
-def _neighbours(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    last = None
-    for pdf in frames:
-        if last is not None:
-            pdf = pd.concat([last, pdf], ignore_index=True)
-        same = (pdf["bucket"].values[1:] == pdf["bucket"].values[:-1]) if len(pdf) > 1 else np.zeros(0, bool)
-        tid = pdf["tid"].values
-        yield pd.DataFrame({"a": tid[:-1][same], "b": tid[1:][same]})
-        last = pdf.iloc[-1:] if len(pdf) else last
+def _neighbours(reach: int):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = None
+        for pdf in frames:
+            old = 0 if last is None else len(last)
+            if last is not None:
+                pdf = pd.concat([last, pdf], ignore_index=True)
+            tid, bucket = pdf["tid"].values, pdf["bucket"].values
+            for k in range(1, reach + 1):
+                at = np.arange(max(k, old), len(pdf))
+                at = at[bucket[at] == bucket[at - k]]
+                yield pd.DataFrame({"a": tid[at - k], "b": tid[at]})
+            last = pdf.iloc[-reach:]
+
+    return run
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -162,11 +170,13 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, width: int =
     nodes = signed.where("__size > 0").groupBy("__tid").agg(F.min("doc_id").alias("first_id"), F.first("__bands").alias("__bands"))
     nodes = common.table(nodes)
 
-    marked = nodes.select(F.col("__tid").alias("tid"), F.explode("__bands").alias("bucket"), F.element_at("__bands", -1).alias("near"))
-    buckets = marked.groupBy("bucket").agg(F.count("*").alias("n"), F.min("tid").alias("leader")).where("n > 1").drop("n")
+    marked = nodes.select(F.col("__tid").alias("tid"), F.posexplode("__bands").alias("pos", "bucket"), "__bands").select("tid", "bucket", F.element_at("__bands", F.pmod(F.col("pos") + 1, F.lit(bands)) + 1).alias("near"))
+    # another leader in each band, so that a text is held against many of its group
+    lead = F.min(F.struct(F.xxhash64("bucket", "tid").alias("h"), "tid"))["tid"]
+    buckets = marked.groupBy("bucket").agg(F.count("*").alias("n"), lead.alias("leader")).where("n > 1").drop("n")
     members = common.table(marked.join(buckets, "bucket"))
     beside = members.select("bucket", "near", "tid").repartitionByRange("bucket", "near", "tid").sortWithinPartitions("bucket", "near", "tid")
-    beside = beside.select("bucket", "tid").mapInPandas(_neighbours, "a binary, b binary")
+    beside = beside.select("bucket", "tid").mapInPandas(_neighbours(NEIGHBOURS), "a binary, b binary")
     pairs = members.where("tid <> leader").select(F.col("leader").alias("a"), F.col("tid").alias("b")).union(beside)
     pairs = common.cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
 
