@@ -8,7 +8,9 @@ coordinate with the probability of their weighted Jaccard similarity.
 
 Equal texts are one node from the start. Nodes that share a band are tried against the bucket's leader,
 another one in each band, and against NEIGHBOURS texts before them in the bucket's order by another band. Links are counted exactly: first those to
-one hub per node, then, for the pairs whose ends are still in different groups, all others.
+one hub per node, then, for the pairs whose ends are still in different groups, all others. What leaders and neighbours
+leave open is settled in the end, by a join that counts all pairs of a bucket whose ends are still in different groups and
+passes on only links. So the groups are those of all pairs that share a band.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -31,6 +33,8 @@ FIRST = 10
 _RANK_BITS = 40
 #: Texts before it in a bucket's order that a text is held against.
 NEIGHBOURS = 3
+#: Texts of a bucket that one task holds against all others of it.
+BLOCK = 512
 
 
 def weighted_elements(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,12 +148,38 @@ def _neighbours(reach: int):
     return run
 
 
+def _similar(x: str, y: str, threshold: float) -> Column:
+    """Whether two multisets have at least this weighted Jaccard similarity; their sizes are looked at first."""
+    shared = F.size(F.array_intersect(x, y))
+    able = F.least(F.size(x), F.size(y)) >= threshold * F.greatest(F.size(x), F.size(y)) - 1e-9
+    return able & (shared >= threshold * (F.size(x) + F.size(y) - shared) - 1e-9)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose multisets have at least this weighted Jaccard similarity."""
     left = sets.select(F.col("__tid").alias("a"), F.col("__set").alias("x"))
     right = sets.select(F.col("__tid").alias("b"), F.col("__set").alias("y"))
-    shared = F.size(F.array_intersect("x", "y"))
-    return pairs.join(left, "a").join(right, "b").where(shared >= threshold * (F.size("x") + F.size("y") - shared) - 1e-9).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where(_similar("x", "y", threshold)).select("a", "b")
+
+
+def _links_across(members: DataFrame, nodes: DataFrame, grouped: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The links (a, b) between texts that share a bucket but are in different groups; a pair is counted in its first bucket.
+
+    The test stands in the join, so pairs that are no links are never rows. Copies of a text are one text and linked texts
+    one group, so this looks at the buckets alone in which texts under the threshold meet. A task holds at most about BLOCK
+    texts of a bucket against the others.
+    """
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = nodes.select(F.col("__tid").alias("tid"), "__bands").join(grouped.select(F.col("node").alias("tid"), "root"), "tid", "left")
+    placed = members.select("bucket", "tid").join(known.select("tid", "__bands", F.coalesce("root", "tid").alias("root")), "tid")
+    before = F.slice("__bands", F.lit(1), F.array_position("__bands", F.col("bucket")).cast("int") - 1)
+    placed = common.table(placed.select("bucket", "tid", "root", before.alias("before")))
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("lo <> hi").select("bucket", "blocks")
+    placed = common.table(placed.join(mixed, "bucket").join(sets.withColumnRenamed("__tid", "tid"), "tid"))
+    left = placed.select("bucket", F.pmod(F.xxhash64("tid"), "blocks").cast("int").alias("block"), F.col("tid").alias("a"), F.col("root").alias("root_a"), F.col("before").alias("before_a"), F.col("__set").alias("x")).repartition(parts, "bucket", "block")
+    right = placed.select(F.col("bucket").alias("bucket_b"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block_b"), F.col("tid").alias("b"), F.col("root").alias("root_b"), F.col("before").alias("before_b"), F.col("__set").alias("y")).repartition(parts, "bucket_b", "block_b")
+    open_ = (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & ~F.arrays_overlap("before_a", "before_b")
+    return left.join(right, (F.col("bucket") == F.col("bucket_b")) & (F.col("block") == F.col("block_b")) & open_ & _similar("x", "y", threshold)).select("a", "b")
 
 
 def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, width: int = 5, bands: int = BANDS, rows: int = ROWS, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -194,8 +224,11 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, width: int =
     rest = rest.where("not (coalesce(root_a, a) <=> coalesce(root_b, b))").select("a", "b")
     more = common.cut(_verified(rest, sets, threshold))
     links = links.union(more)
-    # roots of the first round stand for their groups in the second
     grouped = connected_components(links)
+    last = common.cut(_links_across(members, nodes, grouped, sets, threshold))
+    if not last.isEmpty():
+        links = links.union(last)
+        grouped = connected_components(links)
 
     degree = links.select(F.col("a").alias("__tid")).union(links.select("b")).groupBy("__tid").agg(F.count("*").alias("links"))
     roots = nodes.select("__tid", "first_id").join(grouped.select(F.col("node").alias("__tid"), "root"), "__tid", "left").join(degree, "__tid", "left")

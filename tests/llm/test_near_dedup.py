@@ -41,6 +41,17 @@ def test_classes_equal_brute_force(spark):
     assert {r["doc_id"] for r in N.deduplicate(df).collect()} == set(groups(rows).values())
 
 
+def test_links_that_leaders_and_neighbours_leave_open(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 7)
+    monkeypatch.setattr(N, "NEIGHBOURS", 0)
+    base = words(1, 300)
+    rows = [(k, " ".join(changed(base, k, 3 + k % 4))) for k in range(60)]
+    expected = groups(rows)
+    assert 1 < len(set(expected.values())) < 60
+    got = N.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == expected
+
+
 def test_a_coordinate_agrees_as_often_as_the_multisets(spark):
     base = words(3, 200) + ["the"] * 30
     other = changed(base, 1, 8)
