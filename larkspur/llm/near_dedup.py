@@ -152,7 +152,7 @@ def _similar(x: str, y: str, threshold: float) -> Column:
     """Whether two multisets have at least this weighted Jaccard similarity; their sizes are looked at first."""
     shared = F.size(F.array_intersect(x, y))
     able = F.least(F.size(x), F.size(y)) >= threshold * F.greatest(F.size(x), F.size(y)) - 1e-9
-    return able & (shared >= threshold * (F.size(x) + F.size(y) - shared) - 1e-9)
+    return able & (shared * (1 + threshold) >= threshold * (F.size(x) + F.size(y)) - 1e-9)  # names `shared` once, so it is computed once
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
