@@ -111,23 +111,34 @@ def parsers(references: tuple[tuple[str, bytes], ...]) -> list[tuple[str, Parser
     return _PARSERS[references]
 
 
-def references(docs: DataFrame, per_language: int = 64, row_bytes: int = 8_000, total_bytes: int = 160_000, lang_bytes: int = 24_000, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> tuple[tuple[str, bytes], ...]:
+def _shares(texts: list[bytes], budget: int) -> bytes:
+    """Every text's first bytes, joined by spaces: what short texts leave of an equal part goes to the longer ones."""
+    sizes, left = [0] * len(texts), max(0, budget - len(texts) + 1)
+    order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
+    for k, i in enumerate(order):
+        sizes[i] = min(len(texts[i]), left // (len(order) - k))
+        left -= sizes[i]
+    return b" ".join(t[:n] for t, n in zip(texts, sizes, strict=True))
+
+
+def references(docs: DataFrame, per_language: int = 64, row_bytes: int = 8_000, lang_bytes: int = 24_000, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> tuple[tuple[str, bytes], ...]:
     """For each language a reference text from a bounded sample of labelled rows.
 
-    The sample: the `per_language` distinct texts of 1 to `row_bytes` bytes, with a letter, that come first by the hash of
-    text. Their text, up to `lang_bytes` and to an equal part of `total_bytes`, is the reference.
+    The sample: of the distinct texts with a letter, the first by the hash of text for each of `per_language` remainders of
+    that hash. A text of over `row_bytes` bytes gives its first `row_bytes` characters from the first letter on. All sampled
+    texts share the `lang_bytes` of their language's reference, however many languages there are.
     """
     rows = docs.select(F.col(lang).alias("lang"), F.xxhash64(text).alias("h"), F.col(text).alias("text")).where("lang is not null and text is not null")
-    rows = rows.where((F.octet_length("text") <= row_bytes) & F.col("text").rlike(r"\p{L}"))
+    rows = rows.where(F.col("text").rlike(r"\p{L}"))
     # partial aggregation keeps one hash for each salt and language, so no language meets in one task
     first = rows.groupBy("lang", F.pmod("h", F.lit(per_language)).alias("salt")).agg(F.min("h").alias("h"))
     keys = common.cut(first.select("lang", "h"))
-    texts = rows.join(common.broadcast_if_small(keys), ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.first("text").alias("text"))
+    piece = F.when(F.octet_length("text") <= row_bytes, F.col("text")).otherwise(F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{row_bytes - 1}}}", 0))
+    texts = rows.join(common.broadcast_if_small(keys), ["lang", "h"], "left_semi").select("lang", "h", piece.alias("text")).groupBy("lang", "h").agg(F.first("text").alias("text"))
     by_lang: dict[str, list[bytes]] = {}
     for row in texts.orderBy("lang", "h").toLocalIterator():
         by_lang.setdefault(row["lang"], []).append(row["text"].encode())
-    each = min(lang_bytes, total_bytes // max(1, len(by_lang)))
-    return tuple((k, b" ".join(v)[:each]) for k, v in sorted(by_lang.items()))
+    return tuple((k, _shares(v, lang_bytes)) for k, v in sorted(by_lang.items()))
 
 
 def _predict(refs: tuple[tuple[str, bytes], ...]):

@@ -65,3 +65,19 @@ def test_only_labels_and_text_matter(spark):
     rows = [(i, sentence(lang, i), lang) for i, lang in enumerate(list(LANGS) * 20)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert L.references(df) == L.references(df.withColumn("doc_id", F.col("doc_id") * 7).repartition(3))
+
+
+def test_languages_with_long_texts_alone_have_references(spark):
+    rows = [(i, "1 " * 9_000 + " ".join(sentence(lang, f"{i}-{k}") for k in range(300)), lang) for i, lang in enumerate(list(LANGS) * 12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    refs = L.references(df.where("doc_id % 4 <> 1"))
+    assert [k for k, _ in refs] == list(LANGS) and all(not v.startswith(b"1") for _, v in refs)
+    assert all(r["lang"] == r["lang_pred"] for r in L.identify(df, refs, ["lang"]).collect())
+
+
+def test_references_do_not_shrink_with_the_number_of_languages(spark):
+    rows = [(i, f"l{i % 20}x t{i}x " + sentence("aa", i, 600), f"l{i % 20}") for i in range(240)]
+    refs = L.references(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(refs) == 20 and all(23_900 < len(v) <= 24_000 for _, v in refs)
+    # each of the up to 12 sampled texts has its part (12 less those of equal remainder)
+    assert all(v.count(k.encode() + b"x") >= 6 for k, v in refs)
