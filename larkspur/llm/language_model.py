@@ -4,8 +4,12 @@ Each byte is eight binary decisions; each decision has a tree of contexts, the 0
 a Krichevsky-Trofimov estimate of its decision, and the tree mixes the estimates of all depths by their evidence: a node's
 weighted probability is half its own block probability and half the product of its children's. Trained on counts and then
 fixed, the mixture gives one probability for each (context, byte): the deepest node that training saw for a decision has
-the mixture of all depths down to it. Counting is distributed; the tree, of a bounded number of entries, is built once and
-broadcast. Texts count with A-Z in lower case, start after zero bytes and end with one (a NUL in a text counts as byte 1).
+the mixture of all depths down to it. Texts count with A-Z in lower case, start after zero bytes and end with one (a NUL in a
+text counts as byte 1).
+
+All contexts of all training texts are kept. Their counts are a table in the shared folder; the tree is built in slices of
+whole subtrees under the two nearest bytes, and only the depths above, bounded by the alphabet, are built on the driver. The
+mixtures are a table again: the most frequent contexts with a byte (HEAD_GRAMS at most) are broadcast, the rest is joined.
 
 The word-unigram base score uses exact counts of all training tokens by 64-bit hash. The at most 2 ** 20 tokens that are
 each at least that part of all tokens are broadcast; the rest, rare by that bound, are joined by a shuffle without skew.
@@ -23,9 +27,11 @@ from pyspark.sql import functions as F
 
 from . import common
 
-DEPTH = 4
-#: Entries (context, byte) of the broadcast tree, at most.
-MAX_ENTRIES = 250_000
+DEPTH = 5
+#: Mixtures (context, byte) that are broadcast, at most; the others are joined.
+HEAD_GRAMS = 1 << 20
+#: Entries (context, byte) of a slice of the tree, on average.
+SLICE_ENTRIES = 100_000
 #: A token is in the broadcast head if it is at least one in so many of all tokens; so the head has no more tokens.
 HEAD = 1 << 20
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -107,13 +113,25 @@ class Table:
 class ContextTree:
     """The fixed mixture: built from keys and counts of (context, byte)."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, depth: int, least: int = 0):
-        """Contexts of over two bytes that were seen less than `least` times are one: a byte 255, which UTF-8 never has."""
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, depth: int, least: int = 0, top: Top | None = None):
+        """With `top`, a slice of the tree: whole subtrees under the contexts that are one byte longer than those of `top`.
+
+        Contexts of over two bytes that were seen less than `least` times are one: a byte 255, which UTF-8 never has.
+        """
         self.depth = depth
+        first = top.depth + 1 if top else 0
+        levels = self._levels(keys, counts, depth, first, least)
+        weights, _ = self._weigh(levels, None)
+        ones, _ = self._mix(levels, weights, top.below if top else None)
+        self.tables = [*(top.tables if top else []), *(Table(levels[d][0], ones[d].astype(np.float32)) for d in range(first, depth + 1))]
+
+    @classmethod
+    def _levels(cls, keys: np.ndarray, counts: np.ndarray, depth: int, first: int, least: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The decisions of the contexts of `first` to `depth` bytes, with the counts of their 0 and 1."""
         order = np.argsort(keys)
         keys, counts = keys[order], counts[order].astype(np.float64)
-        levels = []
-        for d in range(depth, -1, -1):
+        levels = {}
+        for d in range(depth, first - 1, -1):
             context, byte = keys >> np.uint64(8), keys & np.uint64(255)
             own = context, byte, counts
             if least and d > 2 and len(context):
@@ -124,47 +142,53 @@ class ContextTree:
                 names = names[order]
                 new = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
                 own = names[new] >> np.uint64(8), names[new] & np.uint64(255), np.add.reduceat(counts[order], new)
-            levels.append(self._decisions(*own))
-            if d:
+            levels[d] = cls._decisions(*own)
+            if d > first:
                 shorter = ((context >> np.uint64(8)) << np.uint64(8)) | byte
                 order = np.argsort(shorter, kind="stable")
                 shorter, counts = shorter[order], counts[order]
                 new = np.flatnonzero(np.append(True, shorter[1:] != shorter[:-1])) if len(shorter) else np.zeros(0, int)
                 keys, counts = shorter[new], np.add.reduceat(counts, new) if len(new) else counts
-        levels = levels[::-1]
-        # block probabilities, deepest first
-        weights: list[np.ndarray] = [np.zeros(0)] * (depth + 1)
-        below = None
-        for d in range(depth, -1, -1):
+        return levels
+
+    @staticmethod
+    def _weigh(levels: dict, below: tuple[np.ndarray, np.ndarray] | None) -> tuple[dict[int, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """Each node's own part in its block probability, deepest first, and what the lowest level adds to its parents.
+
+        `below` has log probabilities of the nodes under the deepest level, by parent.
+        """
+        weights = {}
+        for d in sorted(levels, reverse=True):
             node, n0, n1 = levels[d][0], levels[d][1].astype(np.float64), levels[d][2].astype(np.float64)
             own = log_gamma(n0 + 0.5) + log_gamma(n1 + 0.5) - np.log(np.pi) - log_gamma(n0 + n1 + 1)
             if below is None:
                 weighted, weights[d] = own, np.ones(len(own), np.float32)
             else:
-                kids, values = below
-                parent = ((kids >> np.uint64(16)) << np.uint64(8)) | (kids & np.uint64(255))
-                total = np.bincount(np.searchsorted(node, parent), values, len(node)) if len(node) else np.zeros(0)
-                has = np.bincount(np.searchsorted(node, parent), minlength=len(node)) > 0
+                parent, values = below
+                at = np.searchsorted(node, parent)
+                total = np.bincount(at, values, len(node)) if len(node) else np.zeros(0)
+                has = np.bincount(at, minlength=len(node)) > 0
                 weighted = np.where(has, np.logaddexp(own, total) - np.log(2), own)
                 weights[d] = np.where(has, np.exp(own - np.log(2) - weighted), 1.0).astype(np.float32)
-            below = (node, weighted)
-        # mixtures, shallowest first: share of what deeper nodes get, and what the shallower ones say
-        self.nodes: list[np.ndarray] = []
-        self.ones: list[np.ndarray] = []
-        for d in range(depth + 1):
+            below = ((node >> np.uint64(16)) << np.uint64(8)) | (node & np.uint64(255)), weighted
+        return weights, below
+
+    @staticmethod
+    def _mix(levels: dict, weights: dict[int, np.ndarray], above: tuple[np.ndarray, np.ndarray, np.ndarray] | None) -> tuple[dict[int, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Mixtures, shallowest first, and of the deepest nodes the share of what deeper nodes get and what these ones say."""
+        ones = {}
+        for d in sorted(levels):
             node, n0, n1 = levels[d]
             estimate = (n1 + 0.5) / (n0 + n1 + 1)
-            if d == 0:
+            if above is None:
                 share, said = np.ones(len(node)), np.zeros(len(node))
             else:
                 parent = ((node >> np.uint64(16)) << np.uint64(8)) | (node & np.uint64(255))
-                at = np.searchsorted(self.nodes[d - 1], parent)
-                share, said = up_share[at], up_said[at]
-            self.nodes.append(node)
-            self.ones.append(said + share * estimate)
-            up_share, up_said = share * (1 - weights[d]), said + share * weights[d] * estimate
-        self.tables = [Table(n, o.astype(np.float32)) for n, o in zip(self.nodes, self.ones, strict=True)]
-        del self.nodes, self.ones
+                at = np.searchsorted(above[0], parent)
+                share, said = above[1][at], above[2][at]
+            ones[d] = said + share * estimate
+            above = node, share * (1 - weights[d]), said + share * weights[d] * estimate
+        return ones, above
 
     @staticmethod
     def _decisions(context: np.ndarray, byte: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -206,6 +230,18 @@ class ContextTree:
         return out
 
 
+class Top:
+    """The depths of the tree above its slices: contexts of 0 to `depth` bytes."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, depth: int, under: tuple[np.ndarray, np.ndarray]):
+        """`under`: for nodes of the deepest contexts, the log probabilities of all nodes right under them."""
+        self.depth = depth
+        levels = ContextTree._levels(keys, counts, depth, 0, 0)
+        weights, _ = ContextTree._weigh(levels, under)
+        ones, self.below = ContextTree._mix(levels, weights, None)
+        self.tables = [Table(levels[d][0], ones[d].astype(np.float32)) for d in range(depth + 1)]
+
+
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     key, count = np.concatenate(keys), np.concatenate(counts)
     order = np.argsort(key)
@@ -256,64 +292,118 @@ def _merge_rare(entries: DataFrame, depth: int, least: int) -> DataFrame:
     return entries
 
 
+def _numbers(column: pa.ChunkedArray) -> np.ndarray:
+    return column.to_numpy().astype(np.int64).view(np.uint64)
+
+
+class Mixtures:
+    """The tree in slices: counts of (context, byte) as a table, and the depths above the slices."""
+
+    def __init__(self, entries: DataFrame, n_entries: int, depth: int, least: int):
+        self.entries, self.depth, self.least = entries, depth, least
+        self.split = min(2, depth)
+        self.slices = max(1, -(-n_entries // SLICE_ENTRIES))
+        split = self.split
+
+        def up(part: pa.Table) -> pa.Table:
+            levels = ContextTree._levels(_numbers(part["key"]), part["n"].to_numpy(), depth, split, least)
+            parent, values = ContextTree._weigh(levels, None)[1]
+            names, at = np.unique(parent, return_inverse=True)
+            return pa.table({"node": pa.array(names.view(np.int64)), "total": pa.array(np.bincount(at, values, len(names)))})
+
+        under = self._sliced(entries.select("key", "n")).applyInArrow(up, "node long, total double").groupBy("node").agg(F.sum("total").alias("total")).toArrow()
+        context = F.shiftright("key", 8 * (depth - split + 2))
+        name = F.shiftleft(context, 8).bitwiseOR(F.col("key").bitwiseAND(F.lit(255)))
+        top = entries.select(name.alias("key"), "n").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+        self.top = Top(_numbers(top["key"]), top["n"].to_numpy(), split - 1, (_numbers(under["node"]), under["total"].to_numpy()))
+
+    def _sliced(self, rows: DataFrame):
+        subtree = F.shiftright("key", 8 * (self.depth - self.split + 1))
+        return rows.withColumn("slice", F.pmod(F.xxhash64(subtree), F.lit(self.slices))).repartition(self.slices, "slice").groupBy("slice")
+
+    def answers(self, unseen: DataFrame | None = None) -> DataFrame:
+        """(key, n, value): the log10 probability of each counted (context, byte), or of those of `unseen` alone."""
+        depth, least, top, alone = self.depth, self.least, self.entries.sparkSession.sparkContext.broadcast(self.top), unseen is not None
+
+        def run(part: pa.Table) -> pa.Table:
+            keys, n = _numbers(part["key"]), part["n"].to_numpy()
+            asked = n == 0 if alone else n > 0
+            value = np.zeros(0)
+            if asked.any():
+                value = ContextTree(keys[n > 0], n[n > 0], depth, least, top.value).log10(keys[asked])
+            return pa.table({"key": pa.array(keys[asked].view(np.int64)), "n": pa.array(n[asked].astype(np.int64)), "value": pa.array(value.astype(np.float32))})
+
+        rows = self.entries.select("key", "n")
+        if alone:
+            rows = rows.unionAll(unseen.select("key", F.lit(0).cast("long").alias("n")))
+        return common.table(self._sliced(rows).applyInArrow(run, "key long, n long, value float"))
+
+
 class Model:
-    """What scoring needs: the tree, the head of the vocabulary, totals, and the table of the rarer tokens."""
+    """What scoring needs: the tree, heads of its mixtures and of the vocabulary, totals, and the tables of the rarer ones."""
+
+    def __init__(self, tree: Mixtures, known: Table, rest: DataFrame, head: Table, total: int, distinct: int, ends: int, tail: DataFrame):
+        self.tree, self.known, self.rest, self.head, self.total, self.distinct, self.ends, self.tail = tree, known, rest, head, total, distinct, ends, tail
 
-    def __init__(self, tree: ContextTree, known: Table, head: Table, total: int, distinct: int, ends: int, tail: DataFrame):
-        self.tree, self.known, self.head, self.total, self.distinct, self.ends, self.tail = tree, known, head, total, distinct, ends, tail
 
+def train(docs: DataFrame, depth: int = DEPTH, max_entries: int | None = None, head: int = HEAD, text: str = "text", head_grams: int = HEAD_GRAMS) -> Model:
+    """Count all of `docs` and build the model. Null texts are empty; an empty table gives a model that knows nothing.
 
-def train(docs: DataFrame, depth: int = DEPTH, max_entries: int = MAX_ENTRIES, head: int = HEAD, text: str = "text") -> Model:
-    """Count all of `docs` and build the model. Null texts are empty; an empty table gives a model that knows nothing."""
+    The tree grows with the contexts of `docs`; only if `max_entries` is given, rare contexts are merged to keep it below.
+    """
     counted = docs.select(F.col(text).alias("t")).mapInArrow(_count(depth), "kind int, key long, n long")
     counts = common.table(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")))
     sums = {r["kind"]: r for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).collect()}
     ends = int(sums[2]["n"]) if 2 in sums else 0
     total, distinct = (int(sums[1]["n"]) if 1 in sums else 0) + ends, (int(sums[1]["rows"]) if 1 in sums else 0) + (ends > 0)
     entries, least = counts.where("kind = 0").select("key", "n"), 0
-    if 0 in sums and sums[0]["rows"] > max_entries:
-        least = max(2, int(sums[0]["n"]) // (8 * max_entries))
+    n_bytes, n_entries = (int(sums[0]["n"]), int(sums[0]["rows"])) if 0 in sums else (0, 0)
+    if max_entries is not None and n_entries > max_entries:
+        least = max(2, n_bytes // (8 * max_entries))
         grams_ = entries
-        while (entries := common.cut(_merge_rare(grams_, depth, least))).count() > max_entries and least < int(sums[0]["n"]):
+        while (n_entries := (entries := common.cut(_merge_rare(grams_, depth, least))).count()) > max_entries and least < n_bytes:
             least *= 2
-    got = entries.toArrow()
-    keys, seen = got["key"].to_numpy().astype(np.int64).view(np.uint64), got["n"].to_numpy().astype(np.int64)
-    tree = ContextTree(keys, seen, depth, least)
-    known = Table(keys, tree.log10(keys).astype(np.float32))
+    tree = Mixtures(entries, n_entries, depth, least)
+    answers = tree.answers()
+    # the frequent ones that fit into the head, by a bound on their part of all bytes
+    parts = [n_bytes / 2.0**b for b in range(64)]
+    fits = answers.agg(*[F.count(F.when(F.col("n") >= p, 1)).alias(f"p{b}") for b, p in enumerate(parts)]).first()
+    least_part = parts[max([b for b in range(64) if fits[b] <= head_grams], default=0)]
+    frequent = answers.where(F.col("n") >= least_part).select("key", "value").toArrow()
+    known = Table(_numbers(frequent["key"]), frequent["value"].to_numpy())
+    rest = answers.where(F.col("n") < least_part).select("key", "value")
     tokens = counts.where("kind = 1").select("key", "n")
     often = tokens.where(F.col("n") * head >= total).toArrow()
     table = Table(often["key"].to_numpy().astype(np.int64).view(np.uint64), often["n"].to_numpy().astype(np.float64))
-    return Model(tree, known, table, total, distinct, ends, tokens.where(F.col("n") * head < total))
+    return Model(tree, known, rest, table, total, distinct, ends, tokens.where(F.col("n") * head < total))
+
+
+def _lists(values: np.ndarray, rows: np.ndarray, n: int) -> pa.ListArray:
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))]).astype(np.int32)
+    return pa.ListArray.from_arrays(bounds, pa.array(values.view(np.int64)))
 
 
-def _score(shared, total: int, distinct: int, ends: int, names: list[str]):
+def _score(shared, depth: int, total: int, distinct: int, ends: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, known, head = shared.value
+        known, head = shared.value
         norm = np.log10(total + 0.1 * (distinct + 1))
         row_id = TaskContext.get().partitionId() << 40
         for batch in batches:
             text = batch.column(batch.schema.get_field_index("__text"))
             for start, end, data, offsets in common.text_slices(text):
                 n = end - start
-                keys, rows = grams(data, offsets, tree.depth)
+                keys, rows = grams(data, offsets, depth)
                 value, found = known.find(keys)
-                new = np.flatnonzero(~found)
-                if len(new):
-                    unique, back = np.unique(keys[new], return_inverse=True)
-                    value = value.astype(np.float64)
-                    value[new] = tree.log10(unique)[back]
                 score = np.bincount(rows, value, n)
                 tokens, token_rows = common.word_hashes(data, offsets, inside=~_SPACE)
                 count, often = head.find(tokens)
                 base = np.bincount(token_rows[often], np.log10(count[often] + 0.1) - norm, n) + (np.log10(ends + 0.1) - norm)
                 n_known = np.bincount(token_rows[often], minlength=n) + (ends > 0)
-                rare, rare_rows = tokens[~often], token_rows[~often]
-                bounds = np.concatenate([[0], np.cumsum(np.bincount(rare_rows, minlength=n))]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(bounds, pa.array(rare.view(np.int64)))
+                lists = [_lists(tokens[~often], token_rows[~often], n), _lists(keys[~found], rows[~found], n)]
                 cols = [batch.column(i).slice(start, n) for i, name in enumerate(batch.schema.names) if name != "__text"]
                 out = [np.arange(row_id, row_id + n), np.bincount(token_rows, minlength=n) + 1, n_known.astype(np.int64), base, score]
                 row_id += n
-                yield pa.RecordBatch.from_arrays([*cols, *map(pa.array, out), lists], names=[*names, "__row", "n_tokens", "__known", "__base", "score", "__rare"])
+                yield pa.RecordBatch.from_arrays([*cols, *map(pa.array, out), *lists], names=[*names, "__row", "n_tokens", "__known", "__base", "__score", "__rare", "__grams"])
 
     return run
 
@@ -324,14 +414,18 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
     Null and empty texts are an end alone. Repeated rows are scored alike; texts of any length are scored whole.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.tree, model.known, model.head))
+    shared = spark.sparkContext.broadcast((model.known, model.head))
     chosen = docs.select(*keep, F.col(text).alias("__text"))
-    schema = "".join(f"`{c}` {t}, " for c, t in docs.select(*keep).dtypes) + "__row long, n_tokens long, __known long, __base double, score double, __rare array<long>"
-    told = common.table(chosen.mapInArrow(_score(shared, model.total, model.distinct, model.ends, [*keep]), schema))
+    schema = "".join(f"`{c}` {t}, " for c, t in docs.select(*keep).dtypes) + "__row long, n_tokens long, __known long, __base double, __score double, __rare array<long>, __grams array<long>"
+    told = common.table(chosen.mapInArrow(_score(shared, model.tree.depth, model.total, model.distinct, model.ends, [*keep]), schema))
     norm = float(np.log10(model.total + 0.1 * (model.distinct + 1)))
     each = told.select("__row", F.explode("__rare").alias("key")).join(model.tail, "key", "left")
     seen = F.coalesce(F.col("n"), F.lit(0))
     sums = each.groupBy("__row").agg(F.sum(F.log10(seen + 0.1) - norm).alias("__more"), F.count("n").alias("__seen"))
-    out = told.drop("__rare").join(sums, "__row", "left")
+    asked = told.select("__row", F.explode("__grams").alias("key"))
+    unseen = common.table(asked.select("key").distinct().join(model.rest, "key", "left_anti"))
+    rest = model.rest if unseen.isEmpty() else model.rest.unionAll(model.tree.answers(unseen).select("key", "value"))
+    more = asked.join(rest, "key").groupBy("__row").agg(F.sum("value").alias("__others"))
+    out = told.drop("__rare", "__grams").join(sums, "__row", "left").join(more, "__row", "left")
     n_known, base = F.col("__known") + F.coalesce("__seen", F.lit(0)), F.col("__base") + F.coalesce("__more", F.lit(0.0))
-    return out.select(*keep, "n_tokens", n_known.alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
+    return out.select(*keep, "n_tokens", n_known.alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("__score") + F.coalesce("__others", F.lit(0.0))).alias("score"))

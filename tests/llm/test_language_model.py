@@ -113,3 +113,19 @@ def test_awkward_rows(spark):
     nothing = L.train(empty(spark))
     assert {(r["n_known"], r["train_tokens"]) for r in L.score(docs, nothing, ["doc_id"]).collect()} == {(0, 0)}
     assert L.score(empty(spark), nothing, ["doc_id"]).count() == 0
+
+
+def test_the_tree_keeps_every_context(spark, monkeypatch):
+    """More contexts than the 250,000 that the tree once had, in many slices, with few of them in the broadcast head."""
+    monkeypatch.setattr(L, "SLICE_ENTRIES", 20_000)
+    draw = np.random.default_rng(7)
+    texts = ["".join(map(chr, draw.integers(97, 123, 3_000))) for _ in range(120)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    model = L.train(df.where("doc_id < 110"), head_grams=500)
+    data = np.frombuffer("".join(texts[:110]).encode(), np.uint8)
+    keys, counts = np.unique(L.grams(data, np.arange(111) * 3_000, L.DEPTH)[0], return_counts=True)
+    assert len(keys) > 250_000 and model.tree.entries.count() == len(keys)
+    tree = L.ContextTree(keys, counts, L.DEPTH)
+    for r in L.score(df, model, ["doc_id"]).collect():
+        want = tree.log10(L.grams(np.frombuffer(texts[r["doc_id"]].encode(), np.uint8), np.array([0, 3_000]), L.DEPTH)[0]).sum()
+        assert abs(r["score"] - want) < 1e-4 * abs(want)
