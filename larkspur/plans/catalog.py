@@ -196,6 +196,18 @@ def coverage_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.source_coverage(e, "user_id", F.col("user_id") % 5, "event_type", "lead", "click", "signup")
 
 
+@query("""
+WITH c AS (SELECT user_id, user_id % 5 AS g, max((event_type = 'click')::int) AS a, max((event_type = 'signup')::int) AS b, max((event_type = 'click' AND value > 90)::int) AS pa, max((event_type = 'signup' AND value > 90)::int) AS pb
+  FROM events GROUP BY 1, 2)
+SELECT g AS "group", count(*) AS cards_total, count(*) FILTER (a = 1) AS cards_with_click, count(*) FILTER (b = 1) AS cards_with_signup, count(*) FILTER (a = 1 AND b = 1) AS cards_with_both_sources,
+ count(*) FILTER (a = 1 AND b = 0) AS cards_with_click_only, count(*) FILTER (a = 0 AND b = 1) AS cards_with_signup_only, count(*) FILTER (a = 0 AND b = 0) AS cards_without_prices,
+ count(*) FILTER (pa = 1) AS cards_primary_click, count(*) FILTER (pb = 1) AS cards_primary_signup, count(*) FILTER (a = 1) AS click_rows, count(*) FILTER (b = 1) AS signup_rows FROM c GROUP BY g""")
+def coverage_audit_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over all events."""
+    e = read(spark, sf_dir, "events").withColumn("lead", (F.col("value") > 90).cast("int"))
+    return coverage.source_coverage(e, "user_id", F.col("user_id") % 5, "event_type", "lead", "click", "signup")
+
+
 @query("""
 SELECT event_type, count(*) AS cards_tested, count(*) FILTER (value > 20) AS cards_found, count(*) FILTER (value > 50) AS cards_with_price, count(*) FILTER (user_id % 7 = 0) AS set_mapping_failures,
  count(*) FILTER (user_id % 11 = 0) AS errors, round_even(count(*) FILTER (value > 20) * 100.0::double / count(*), 1) AS coverage_rate, round_even(count(*) FILTER (value > 50) * 100.0::double / count(*), 1) AS price_rate FROM events GROUP BY event_type""")
@@ -423,6 +435,31 @@ def insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merging.insert_ignore(old, new, ["user_id", "event_type"], "event_id")
 
 
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All events: those of even id as old rows, the others as new ones."""
+    e = read(spark, sf_dir, "events")
+    old = e.where("event_id % 2 = 0").select("user_id", "event_type", F.lit(-1.0).alias("value")).distinct()
+    return old, e.where("event_id % 2 <> 0").select("user_id", "event_type", "value", "event_id")
+
+
+@query("""
+WITH n AS (SELECT user_id, event_type, arg_max(value, event_id) AS value FROM events WHERE event_id % 2 <> 0 GROUP BY 1, 2), o AS (SELECT DISTINCT user_id, event_type, -1.0::double AS value FROM events WHERE event_id % 2 = 0)
+SELECT * FROM n UNION ALL SELECT o.* FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.user_id = o.user_id AND n.event_type = o.event_type)""")
+def upsert_last_wins_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upsert with every event on one side."""
+    old, new = _halves(spark, sf_dir)
+    return merging.upsert_last_wins(old, new, ["user_id", "event_type"], "event_id").select("user_id", "event_type", "value")
+
+
+@query("""
+WITH n AS (SELECT user_id, event_type, arg_min(value, event_id) AS value FROM events WHERE event_id % 2 <> 0 GROUP BY 1, 2), o AS (SELECT DISTINCT user_id, event_type, -1.0::double AS value FROM events WHERE event_id % 2 = 0)
+SELECT * FROM o UNION ALL SELECT n.* FROM n WHERE NOT EXISTS (SELECT 1 FROM o WHERE n.user_id = o.user_id AND n.event_type = o.event_type)""")
+def insert_ignore_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The insert with every event on one side."""
+    old, new = _halves(spark, sf_dir)
+    return merging.insert_ignore(old, new, ["user_id", "event_type"], "event_id")
+
+
 @query("SELECT DISTINCT k AS value FROM (SELECT c_nationkey AS k FROM customer UNION ALL SELECT s_nationkey FROM supplier)")
 def distinct_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct keys of two tables."""
