@@ -141,12 +141,12 @@ def references(docs: DataFrame, per_language: int = 64, row_bytes: int = 8_000,
     return tuple((k, _shares(v, lang_bytes)) for k, v in sorted(by_lang.items()))
 
 
-def _predict(refs: tuple[tuple[str, bytes], ...]):
+def _predict(refs: tuple[tuple[str, bytes], ...], source: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = parsers(refs)
         names = np.array([lang for lang, _ in known] or [UNDETERMINED], object)
         for batch in batches:
-            text = batch.column(batch.schema.get_field_index("__text"))
+            text = batch.column(batch.schema.get_field_index(source))
             for start, end, data, offsets in common.text_slices(text):
                 n = end - start
                 sizes = np.diff(offsets)
@@ -188,8 +188,9 @@ def identify(docs: DataFrame, refs: tuple[tuple[str, bytes], ...], keep: list[st
     code point. Repeated rows get equal results; texts of any length are parsed whole.
     """
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes) if keep else ""
-    chosen = docs.select(*keep, F.col(text).alias("__text"))
-    return chosen.mapInArrow(_predict(refs), (schema + ", " if schema else "") + "lang_pred string, score double, bits_per_byte double")
+    # a kept text is not sent to Python twice
+    chosen = docs.select(*keep) if text in keep else docs.select(*keep, F.col(text).alias("__text"))
+    return chosen.mapInArrow(_predict(refs, text if text in keep else "__text"), (schema + ", " if schema else "") + "lang_pred string, score double, bits_per_byte double")
 
 
 def keep_identified(docs: DataFrame, refs: tuple[tuple[str, bytes], ...], text: str = "text") -> DataFrame:
