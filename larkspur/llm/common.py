@@ -21,10 +21,12 @@ _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); a temporary one only where the session names none."""
+    """The folder all executors share (spark.checkpoint.dir); a temporary one only in local mode, where the session names none."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None) or sc._jsc.sc().getCheckpointDir().getOrElse(None)
     if not named:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="larkspur-checkpoint-"))
         named = sc._jsc.sc().getCheckpointDir().get()
     elif not sc._jsc.sc().getCheckpointDir().isDefined():
@@ -46,11 +48,26 @@ def table(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(*tables: DataFrame) -> None:
+    """Delete the folders of frames that `table` has written, once all that was made of them is written itself."""
+    for df in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if folder.rsplit("/", 1)[-1].startswith("table-"):
+                path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only where a count shows at most `limit` rows; a larger side is joined by a shuffle."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """`df` with its columns named c0, c1, ..., so that none clashes with an operator's own; and the new name of each."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), dict(zip(df.columns, names, strict=True))
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """Names a document: its doc_id, or a hash of the text where that is null."""
     return F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("#"), F.md5(F.coalesce(F.col(text), F.lit("")))))
@@ -97,15 +114,23 @@ def _byte_classes() -> tuple[np.ndarray, np.ndarray]:
 
 
 BYTE_VALUE, WORD_BYTE = _byte_classes()
-_POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(64)], np.uint64)
+_FACTORS = mix(np.arange(64, dtype=np.uint64) + np.uint64(0xB17E)) | np.uint64(1)
+
+
+def _factors(n: int) -> np.ndarray:
+    """A random odd factor for each place in a word, as many as its longest word needs."""
+    global _FACTORS
+    if n > len(_FACTORS):
+        _FACTORS = mix(np.arange(1 << n.bit_length(), dtype=np.uint64) + np.uint64(0xB17E)) | np.uint64(1)
+    return _FACTORS
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, piece: int = 1 << 20, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of several texts, and the row each word stands in.
 
     A word is a run of `inside` bytes: ASCII letters, digits and bytes above 127, if not given. ASCII upper case counts as
-    lower. Works on pieces of
-    `piece` bytes cut between words, so a long text needs little more memory than its words.
+    lower. Each place in a word has its own random factor, however long the word, and the length counts too. Works on
+    pieces of `piece` bytes cut between words, so a long text needs little more memory than its words.
     """
     inside = WORD_BYTE if inside is None else inside
     hashes, rows, at, n = [], [], 0, len(data)
@@ -129,10 +154,12 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, piece: int = 1 << 20, ins
         if len(starts):
             where = np.cumsum(begin) - 1
             depth = np.arange(len(part)) - starts[np.maximum(where, 0)]
+            depth[~isword] = 0
             with np.errstate(over="ignore"):
-                value = BYTE_VALUE[part] * _POWERS[depth & 63] + (depth >> 6).astype(np.uint64) * BYTE_VALUE[part]
-            value[~isword] = 0
-            hashes.append(mix(np.add.reduceat(value, starts)))
+                value = BYTE_VALUE[part] * _factors(int(depth.max()) + 1)[depth]
+                value[~isword] = 0
+                length = np.add.reduceat(isword, starts, dtype=np.uint64)
+                hashes.append(mix(np.add.reduceat(value, starts) + length * _GOLD))
             rows.append(np.searchsorted(ends, starts + at, "right"))
         at = stop
     if not hashes:
