@@ -4,7 +4,8 @@ Items are dealt into size classes by powers of two of their number of distinct s
 shingle hashes (its bottom-k MinHash sketch), k = floor((1 - threshold) * upper size of its class) + 1. A text that holds
 `threshold` of an item's shingles misses at most (1 - threshold) of them, so it must hold one of any k: no leak escapes the
 sketch, whatever the length of the text around it. Texts probe the sketches with their shingles below the largest kept
-hash; a pair is tried only if the text has enough shingles for the item's class. Candidates are then counted exactly.
+hash. The candidates are then counted exactly, by the words themselves. Where the items are too many to broadcast, a
+document's equal shingles meet before the join, and the join's keys are split by AQE where many documents share a shingle.
 """
 
 from __future__ import annotations
@@ -23,17 +24,17 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), BETWEEN), "")
 
 
-def shingles(df: DataFrame, keep: list[str], text: str, width: int) -> DataFrame:
-    """A row for each run of `width` words: `keep`, __h (hash of the run), __n (runs in the text)."""
+def shingles(df: DataFrame, keep: list[str], text: str, width: int, spelt: bool = False) -> DataFrame:
+    """A row for each run of `width` words: `keep`, __h (hash of the run) and, if `spelt`, __s (its words, one space between)."""
     w = F.col("__w")
     runs = F.arrays_zip(*[w if k == 0 else F.slice(w, F.lit(k + 1), F.greatest(F.size(w), F.lit(1))) for k in range(width)])
     cols = ["__z.__w", *(f"__z.`{k}`" for k in range(1, width))]
     return (
         df.select(*keep, words(F.col(text)).alias("__w"))
         .where(F.size("__w") >= width)
-        .select(*keep, (F.size("__w") - (width - 1)).alias("__n"), F.explode(runs).alias("__z"))
+        .select(*keep, F.explode(runs).alias("__z"))
         .where(F.col(cols[-1]).isNotNull())
-        .select(*keep, "__n", F.xxhash64(*[F.col(c) for c in cols]).alias("__h"))
+        .select(*keep, F.xxhash64(*[F.col(c) for c in cols]).alias("__h"), *([F.concat_ws(" ", *cols).alias("__s")] if spelt else []))
     )
 
 
@@ -41,33 +42,45 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = 0.8, width: in
     """Pairs of a document and an item of whose distinct shingles it holds at least `threshold`.
 
     Returns __key (see common.row_key), doc_id, item_id, item_shingles, shared, containment. Rows with one doc_id are one
-    document. Null, empty and shorter-than-`width` texts or items have no shingle and match nothing; null item ids and
-    repeated item rows count once. An empty table gives no rows.
+    document: the shingles of all its rows count together. Null, empty and shorter-than-`width` texts or items have no
+    shingle and match nothing (an item of one to four words would be found in clean texts); items without an id are left
+    out, and repeated item rows count once. An empty table gives no rows.
     """
-    item_rows = shingles(items.select(F.col(item_id).alias("__item"), F.col(item_text).alias("__text")).where("__item is not null"), ["__item"], "__text", width)
-    item_rows = common.cut(item_rows.select("__item", "__h").distinct())
+    item_rows = shingles(items.select(F.col(item_id).alias("__item"), F.col(item_text).alias("__text")).where("__item is not null"), ["__item"], "__text", width, spelt=True)
+    item_rows = common.cut(item_rows.select("__item", "__h", "__s").distinct())
     sizes = item_rows.groupBy("__item").agg(F.count("*").alias("__size"))
     upper = F.pow(F.lit(2), F.ceil(F.log2("__size")))
     sketch = item_rows.join(sizes.withColumn("__k", F.floor((1 - threshold) * upper + 1e-9) + 1), "__item")
-    lists = sketch.groupBy("__item").agg(F.first("__size").alias("__size"), F.first("__k").alias("__k"), F.sort_array(F.collect_list("__h")).alias("__all"))
-    sketch = common.cut(lists.select("__item", "__size", F.explode(F.slice("__all", F.lit(1), F.col("__k").cast("int"))).alias("__h")))
+    lists = sketch.groupBy("__item").agg(F.first("__k").alias("__k"), F.sort_array(F.collect_list("__h")).alias("__all"))
+    sketch = common.cut(lists.select("__item", F.explode(F.slice("__all", F.lit(1), F.col("__k").cast("int"))).alias("__h")))
     bound = sketch.agg(F.max("__h")).first()[0]
 
     base = docs.select(common.row_key(doc_id, text).alias("__key"), F.col(doc_id).alias("doc_id"), F.col(text).alias("__text"))
     probe = shingles(base, ["__key", "doc_id"], "__text", width).where(F.col("__h") <= F.lit(bound).cast("long"))
-    need = F.ceil(F.col("__size") * threshold - 1e-9)
-    found = probe.join(common.broadcast_if_small(sketch, broadcast_rows), "__h").where(F.col("__n") >= need)
-    candidates = common.cut(found.select("__key", "doc_id", F.col("__item")).distinct())
+    few = _few(sketch, broadcast_rows)
+    found = probe.join(F.broadcast(sketch), "__h") if few else probe.distinct().join(sketch, "__h")
+    candidates = common.cut(found.select("__key", "doc_id", "__item").distinct())
 
     again = base.join(common.broadcast_if_small(candidates.select("__key").distinct(), broadcast_rows), "__key", "left_semi")
-    hits = shingles(again, ["__key", "doc_id"], "__text", width).join(common.broadcast_if_small(item_rows, broadcast_rows), "__h")
-    shared = hits.groupBy("__key", "doc_id", "__item", "__h").agg(F.lit(1).alias("__one")).groupBy("__key", "doc_id", "__item").agg(F.count("*").alias("shared"))
+    asked = item_rows.join(common.broadcast_if_small(candidates.select("__item").distinct(), broadcast_rows), "__item", "left_semi")
+    held = shingles(again, ["__key", "doc_id"], "__text", width, spelt=True)
+    if _few(item_rows, broadcast_rows):
+        hits = held.join(F.broadcast(asked), ["__h", "__s"])
+    else:
+        hits = held.distinct().join(asked, ["__h", "__s"])
+    shared = hits.groupBy("__key", "doc_id", "__item", "__s").agg(F.lit(1).alias("__one")).groupBy("__key", "doc_id", "__item").agg(F.count("*").alias("shared"))
     kept = shared.join(candidates, ["__key", "__item"], "left_semi").join(common.broadcast_if_small(sizes, broadcast_rows), "__item")
-    return kept.where(F.col("shared") >= need).select("__key", "doc_id", F.col("__item").alias("item_id"), F.col("__size").alias("item_shingles"), "shared", (F.col("shared") / F.col("__size")).alias("containment"))
+    return kept.where(F.col("shared") >= F.ceil(F.col("__size") * threshold - 1e-9)).select("__key", "doc_id", F.col("__item").alias("item_id"), F.col("__size").alias("item_shingles"), "shared", (F.col("shared") / F.col("__size")).alias("containment"))
+
+
+def _few(df: DataFrame, limit: int) -> bool:
+    return df.limit(limit + 1).count() <= limit
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options: object) -> DataFrame:
     """`docs` without the documents that hold an item; all columns as they were. Null and short texts stay."""
-    leaks = matches(docs, items, **options).select(F.col("__key").alias("__leak")).distinct()
-    keyed = docs.withColumn("__leak", common.row_key(str(options.get("doc_id", "doc_id")), str(options.get("text", "text"))))
-    return keyed.join(common.broadcast_if_small(common.cut(leaks)), "__leak", "left_anti").drop("__leak")
+    text, doc_id = str(options.pop("text", "text")), str(options.pop("doc_id", "doc_id"))
+    inner, at = common.numbered(docs)
+    leaks = matches(inner, items, text=at[text], doc_id=at[doc_id], **options).select(F.col("__key").alias("__leak")).distinct()
+    keyed = inner.withColumn("__leak", common.row_key(at[doc_id], at[text]))
+    return keyed.join(common.broadcast_if_small(common.cut(leaks)), "__leak", "left_anti").drop("__leak").toDF(*docs.columns)

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from larkspur.llm import decontamination as D
 
 from .helpers import awkward, changed, empty, shingles, words
@@ -43,6 +45,17 @@ def test_awkward_rows(spark):
     assert D.matches(docs, items.limit(0)).count() == 0 and D.decontaminate(docs, items.limit(0)).count() == docs.count()
 
 
+def test_rows_of_one_doc_id_are_one_document(spark):
+    item = words(7, 14)  # ten shingles
+    rows = [(1, " ".join(item[:9])), (1, "other words between " + " ".join(item[5:])), (2, " ".join(item[:9]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"__leak": F.lit(1), "__item": F.lit(2)})
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    for limit in (10**6, 0):
+        assert [(r["doc_id"], r["shared"]) for r in D.matches(docs, items, broadcast_rows=limit).collect()] == [(1, 10)]
+    left = D.decontaminate(docs, items)
+    assert left.columns == docs.columns and [r["doc_id"] for r in left.collect()] == [2]
+
+
 def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g")], "doc_id long, text string")
     plan = D.matches(docs, docs.withColumnRenamed("doc_id", "item_id"))._jdf.queryExecution().toString()
