@@ -4,7 +4,8 @@ A source's rate is its target over its size. Every document of the source is tak
 the probability that is left. Those extra copies are drawn by the cube method: in blocks of a source's documents the
 vector of probabilities moves through the null space of the balancing constraints (words, documents) until at most two
 probabilities of a block are open; the open ones meet in fewer blocks, round by round, until one block a source is left
-and lands. Each round hands on two documents a block, so no task ever holds more than a block.
+and lands: its at most two open documents are closed, and exchanges of one document for another, which keep the count,
+bring the words near their total. Each round hands on two documents a block, so no task ever holds more than a block.
 """
 
 from __future__ import annotations
@@ -78,35 +79,38 @@ def flight(p: np.ndarray, sizes: np.ndarray, draw: np.random.Generator) -> np.nd
         own = [i for i in own if 0 < p[i] < 1]
 
 
-def landing(p: np.ndarray, sizes: np.ndarray, due: float, tolerance: float = 1e-3, most: int = 16) -> np.ndarray:
-    """Close the last open probabilities so that the words come nearest to `due`; then, while they are off by more than
-    `tolerance`, exchange one taken and one left document, or turn one alone, if that brings them nearer."""
+def landing(p: np.ndarray, sizes: np.ndarray, due: float, docs: float, tolerance: float = 1e-3, most: int = 16, coarse: float = 0.02) -> np.ndarray:
+    """Close the last open probabilities with their number next to `docs` and then the words nearest to `due`; then, while
+    the words are off by more than `tolerance`, exchange a taken for a left document, which keeps the number of documents.
+    Where that leaves them off by more than `coarse`, one document is turned alone.
+    """
     p = p.copy()
     left = np.flatnonzero((p > 0) & (p < 1))
     if len(left):
-        closed = float(sizes[p >= 1].sum())
+        closed, number = float(sizes[p >= 1].sum()), int((p >= 1).sum())
         ways = [[(w >> k) & 1 for k in range(len(left))] for w in range(1 << len(left))]
+        ways = [w for w in ways if abs(number + sum(w) - docs) < 1 + 1e-6] or ways
         p[left] = min(ways, key=lambda w: (abs(closed + float(np.dot(w, sizes[left])) - due), w))
     for _ in range(most):
         off = float(sizes[p >= 1].sum()) - due
-        if abs(off) <= tolerance * due:
-            break
         on, out = np.flatnonzero(p >= 1), np.flatnonzero(p <= 0)
-        # the 0 stands for no document: a turn alone
-        gone, come = np.append(sizes[on], 0.0), np.append(np.sort(sizes[out]), 0.0)
-        come_at = np.append(out[np.argsort(sizes[out], kind="stable")], -1)
-        order = np.argsort(come, kind="stable")
-        come, come_at = come[order], come_at[order]
-        spot = np.clip(np.searchsorted(come, gone - off), 1, max(1, len(come) - 1))
-        near = [np.minimum(spot - k, len(come) - 1) for k in (0, 1)]
-        gaps = np.stack([np.abs(off - gone + come[n]) for n in near])
+        if abs(off) <= tolerance * due or not len(on) or not len(out):
+            break
+        out = out[np.argsort(sizes[out], kind="stable")]
+        come = sizes[out]
+        spot = np.clip(np.searchsorted(come, sizes[on] - off), 1, max(1, len(come) - 1))
+        near = np.stack([np.minimum(spot - k, len(come) - 1) for k in (0, 1)])
+        gaps = np.abs(off - sizes[on] + come[near])
         k, i = np.unravel_index(gaps.argmin(), gaps.shape)
         if gaps[k, i] >= abs(off):
             break
-        if i < len(on):
-            p[on[i]] = 0.0
-        if (c := come_at[near[k][i]]) >= 0:
-            p[c] = 1.0
+        p[on[i]], p[out[near[k, i]]] = 0.0, 1.0
+    off = float(sizes[p >= 1].sum()) - due
+    if abs(off) > coarse * due:  # few documents: one more or less comes nearer than any exchange
+        turn = np.where(p >= 1, -sizes, sizes)
+        i = int(np.abs(off + turn).argmin())
+        if abs(off + turn[i]) < abs(off):
+            p[i] = 1.0 - p[i]
     return p
 
 
@@ -114,10 +118,10 @@ def _round(seed: int):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["__order", "__unit"], kind="stable")
         draw = np.random.default_rng([seed, int(pdf["__order"].iloc[0]) & 0xFFFFFFFF, len(pdf)])
-        sizes, due = pdf["__size"].to_numpy(float), float((pdf["__p"] * pdf["__size"]).sum())
+        sizes, due, docs = pdf["__size"].to_numpy(float), float((pdf["__p"] * pdf["__size"]).sum()), float(pdf["__p"].sum())
         p = flight(pdf["__p"].to_numpy(float), sizes, draw)
         if pdf["__last"].iloc[0]:  # the source's only block
-            p = landing(p, sizes, due)
+            p = landing(p, sizes, due, docs)
         return pdf.assign(__p=p)[["__unit", "__source", "__size", "__order", "__p"]]
 
     return run
@@ -173,11 +177,13 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, total: float =
 
 
 def mix(docs: DataFrame, **options: object) -> DataFrame:
-    """The mix itself: each row of `docs` as often as the plan takes it, columns as they were."""
-    plan = mix_plan(docs, **options)
+    """The mix itself: each row of `docs` as often as the plan takes it, columns as they were, whatever their names."""
+    text, doc_id, source = (str(options.pop(n, n)) for n in ("text", "doc_id", "source"))
+    inner, at = common.numbered(docs)
+    plan = mix_plan(inner, text=at[text], doc_id=at[doc_id], source=at[source], **options)
     # rows of one unit have one count
-    counts = plan.select(F.col("__unit").alias("__u"), F.col("source").alias("__t"), "copies").where("copies > 0").distinct().withColumnRenamed("copies", "__copies")
+    counts = plan.select(F.col("__unit").alias("__u"), F.col("source").alias("__t"), F.col("copies").alias("__copies")).where("__copies > 0").distinct()
     counts = common.broadcast_if_small(common.cut(counts))
-    keyed = docs.withColumn("__k", common.row_key(str(options.get("doc_id", "doc_id")), str(options.get("text", "text"))))
-    joined = keyed.join(counts, (F.col("__k") == F.col("__u")) & F.col(str(options.get("source", "source"))).cast("string").eqNullSafe(F.col("__t")))
-    return joined.withColumn("__turn", F.explode(F.expr("sequence(1, __copies)"))).drop("__k", "__u", "__t", "__copies", "__turn")
+    keyed = inner.withColumn("__k", common.row_key(at[doc_id], at[text]))
+    joined = keyed.join(counts, (F.col("__k") == F.col("__u")) & F.col(at[source]).cast("string").eqNullSafe(F.col("__t")))
+    return joined.withColumn("__turn", F.explode(F.expr("sequence(1, __copies)"))).select(*inner.columns).toDF(*docs.columns)
