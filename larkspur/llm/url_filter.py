@@ -7,8 +7,12 @@ anywhere in a component reaches every alias in it that no rule allows explicitly
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
+from html.parser import HTMLParser
+from urllib.parse import urljoin
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +22,9 @@ from .components import connected_components
 #: (verdict, host, path)
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 _AFTER = r"^[\s\S]*?://"
+#: A tag that may lead elsewhere; quoted values may hold `>`.
+_TAG = r"""(?is)<(?:link|meta|base)\b(?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*>)"""
+_REFRESH = re.compile(r"""\s*[\d.]*\s*[;,]?\s*url\s*=\s*(?:"([^"]*)"|'([^']*)'|([^"'].*))""", re.I | re.S)
 
 
 def lower_ascii(x: Column) -> Column:
@@ -49,17 +56,57 @@ def rule_columns(host_: Column, path_: Column, rules: Sequence[tuple[str, str, s
     return name, verdict
 
 
+class _Links(HTMLParser):
+    """Targets of canonical links and refreshes, and the page's base, as they stand in its tags."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.base: str | None = None
+        self.found: list[str] = []
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        own = {k: v or "" for k, v in reversed(attrs)}  # of repeated attributes the first counts
+        if tag == "base" and "href" in own and self.base is None:
+            self.base = own["href"].strip()
+        elif tag == "link" and "canonical" in own.get("rel", "").lower().split() and own.get("href", "").strip():
+            self.found.append(own["href"].strip())
+        elif tag == "meta" and own.get("http-equiv", "").strip().lower() == "refresh" and (to := _REFRESH.match(own.get("content", ""))):
+            self.found.append((to[1] or to[2] or to[3] or "").strip())
+
+    handle_startendtag = handle_starttag
+
+
+def link_targets(url: str, tags: Sequence[str]) -> list[str]:
+    """Absolute targets of a page's tags; a target that cannot be resolved is no link."""
+    links = _Links()
+    for tag in tags:
+        links.feed(tag)
+        links.reset()
+    out = []
+    for to in links.found:
+        try:
+            # names leave the scheme out, and only known schemes resolve relative targets
+            here = urljoin("http://" + url.split("://", 1)[1], links.base or "")
+            out.append(to if "://" in to.split("?")[0] else urljoin(here, to))
+        except (ValueError, IndexError):
+            continue
+    return out
+
+
 def page_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(a, b) nodes: a page and where its canonical link or meta refresh leads. Relative targets take the page's host."""
-    linked = pages.select(F.col(url).alias("u"), F.col(html).alias("h")).where(F.col("h").rlike(r"(?i)rel\s*=\s*[\"']?canonical|http-equiv\s*=\s*[\"']?refresh"))
-    tag = F.explode(F.regexp_extract_all("h", F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0)))
-    tags = linked.select("u", tag.alias("t"))
-    canonical = F.regexp_extract("t", r"""(?is)href\s*=\s*["']?([^"'\s>]+)""", 1)
-    refresh = F.regexp_extract("t", r"""(?is)content\s*=\s*["']?\s*\d*\s*[;,]\s*url\s*=\s*["']?([^"'\s>]+)""", 1)
-    to = F.when(F.col("t").rlike(r"(?is)^<link\b.*rel\s*=\s*[\"']?canonical"), canonical).when(F.col("t").rlike(r"(?is)^<meta\b.*http-equiv\s*=\s*[\"']?refresh"), refresh)
-    goal = tags.select("u", to.alias("to")).where("to <> ''")
-    full = F.when(F.col("to").contains("://"), F.col("to")).when(F.col("to").startswith("//"), F.concat(F.lit("x:"), "to")).when(F.col("to").startswith("/"), F.concat(F.lit("x://"), host(F.col("u")), "to"))
-    return goal.select(node(F.col("u")).alias("a"), node(full).alias("b")).where("a is not null and b is not null and a <> b").distinct()
+    """(a, b) nodes: a page and where its canonical link or meta refresh leads. Relative targets are resolved against the
+    page's base or url, entities are decoded, and `rel` may hold other words too."""
+
+    def resolve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            pairs = [(u, to) for u, tags in zip(pdf["u"], pdf["tags"], strict=True) for to in link_targets(u, tags)]
+            yield pd.DataFrame(pairs, columns=["u", "to"])
+
+    linked = pages.select(F.col(url).alias("u"), F.col(html).alias("h")).where(F.col("u").contains("://") & F.col("h").rlike(r"(?i)canonical|refresh"))
+    # only the few short tags go to Python, never the page
+    tags = linked.select("u", F.filter(F.regexp_extract_all("h", F.lit(_TAG), F.lit(0)), lambda t: t.rlike(r"(?i)canonical|refresh|^<base")).alias("tags"))
+    goal = tags.where(F.exists("tags", lambda t: t.rlike("(?i)canonical|refresh"))).mapInPandas(resolve, "u string, to string")
+    return goal.select(node(F.col("u")).alias("a"), node(F.col("to")).alias("b")).where("a is not null and b is not null and a <> b").distinct()
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, redirects: DataFrame | None = None, page_id: str = "page_id", url: str = "url", html: str = "html", default: str = "allow") -> DataFrame:

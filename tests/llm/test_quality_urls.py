@@ -90,3 +90,53 @@ def test_blocks_reach_aliases_and_allows_hold(spark):
     got = {r["page_id"]: r["verdict"] for r in U.judge(df, redirects=more).collect()}
     assert got[4] == "block"
     assert U.judge(df.limit(0)).count() == 0
+
+
+def test_links_of_all_kinds_resolve():
+    t = lambda *tags: U.link_targets("http://H.net/d/p.html?x=1", tags)
+    rel = '<link rel="canonical" href="{}">'
+    assert t(rel.format("b")) == ["http://H.net/d/b"] and t(rel.format("../a")) == ["http://H.net/a"] and t(rel.format("?q=1&amp;r=2")) == ["http://H.net/d/p.html?q=1&r=2"]
+    assert t(rel.format("//Q.org/x")) == ["http://Q.org/x"] and t(rel.format("/r")) == ["http://H.net/r"] and t(rel.format("https://z.org/?u=a://b")) == ["https://z.org/?u=a://b"]
+    assert t("<link href=b rel='alternate CANONICAL'>") == ["http://H.net/d/b"] and t('<base href="/other/">', rel.format("b")) == ["http://H.net/other/b"]
+    assert t('<meta content="5;URL=\'n.html\'" http-equiv=Refresh>') == ["http://H.net/d/n.html"] and t('<meta http-equiv="refresh" content="30">') == []
+    assert t('<link rel="stylesheet" href="canonical.css">', "<link rel=canonical>", rel.format("http://[bad")) == ["http://[bad"] and t(rel.format("//[bad")) == []
+
+
+def closure(pages):
+    """Components by repeated relaxation over the links, resolved by the standard library."""
+    import re
+    from html import unescape
+    from urllib.parse import urljoin
+
+    strip = lambda u: re.sub(r"^[^/]*", lambda m: m[0].lower(), u.split("://", 1)[1].split("#")[0])
+    root = {strip(u): strip(u) for _, u, _ in pages}
+    edges = []
+    for _, u, h in pages:
+        for href in re.findall(r'rel="canonical" href="([^"]*)"', h or ""):
+            edges.append((strip(u), strip(urljoin(u, unescape(href)))))
+            root.setdefault(edges[-1][1], edges[-1][1])
+    for _ in range(len(root)):
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    return root
+
+
+def test_verdicts_equal_an_independent_closure(spark):
+    draw, pages = random.Random(3), []
+    hosts = ["shop.com", "a.net", "b.net", "sub.example.org", "c.net"]
+    for i in range(160):
+        url = f"http://{draw.choice(hosts)}/{draw.choice(['de', 'fr', 'en', 'x'])}/{i}"
+        to = draw.choice([f"http://{draw.choice(hosts)}/{draw.choice(['de', 'x'])}/{draw.randrange(160)}", f"{draw.randrange(160)}", f"../x/{draw.randrange(160)}", f"//b.net/x/{draw.randrange(40)}", f"http://shop.com/de/{draw.randrange(9)}", f"?p={i % 5}&amp;z", "/x/1"])
+        pages.append((i, url, f'<link rel="canonical" href="{to}">' if i % 3 else "<p>no link to canonical pages</p>"))
+    pages.append((999, "http://a.net/x/long", "<p>" + "word " * 200_000 + '</p><link rel="canonical" href="http://shop.com/de/long">'))
+    root = closure(pages)
+
+    def own(u):
+        h, _, p = u.partition("/")
+        fits = [(len(rh + rp), v) for v, rh, rp in U.RULES if (h == rh or h.endswith("." + rh)) and ("/" + p if _ else "").startswith(rp)]
+        return max(fits)[1] if fits else None
+
+    bad = {r for n, r in root.items() if own(n) == "block"}
+    want = {i: own(u.split("://")[1]) or ("block" if root[u.split("://")[1]] in bad else "allow") for i, u, _ in pages}
+    got = {r["page_id"]: r["verdict"] for r in U.judge(spark.createDataFrame(pages, "page_id long, url string, html string").withColumns({"host": F.lit("x"), "__url": F.lit("y")})).collect()}
+    assert got == want and sum(v == "block" and own(u.split("://")[1]) is None for (_, u, _), v in zip(pages, want.values(), strict=True)) > 5
