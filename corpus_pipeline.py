@@ -2,7 +2,8 @@
 
 Each stage works on all that its predecessor kept, and its decisions take effect: undetermined languages go, one document
 of each near-duplicate class stays, documents that hold a benchmark item go, the mix repeats or leaves documents, and the
-last stage names each document's shard and slot. All but the last return the columns of `documents`.
+last stage names each document's shard and slot, beside all its columns but the text. All others return the columns of
+`documents`, whatever columns it has.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deal_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sharding.assign(docs, keep=("lang", "source", "n_chars"))
+    return sharding.assign(docs, keep=tuple(c for c in docs.columns if c not in ("doc_id", "text")))
 
 
 STAGES = [

@@ -1,10 +1,14 @@
 """Sharding on a consistent-hash ring with virtual nodes and bounded loads.
 
-A document stands on the ring where the hash of its text falls, so equal texts stand together. The ring is cut into CELLS
-equal cells; the keys of the ring are its cells. A cell belongs to the next virtual node clockwise; where that node's
-shard has no room (its load would pass (1 + slack) x mean), the cell goes on clockwise to the next shard with room. A cell
-too large for what is left of any shard is cut by the hash of doc_id into the same number of cells, which overflow
-clockwise in the same way. What the driver holds is one number a cell, however many rows there are.
+A document stands on the ring where the hash of its text falls, so equal texts stand together. The ring is cut into equal
+cells, which are its keys. A cell belongs to the next virtual node clockwise; where that node's shard has no room (its load
+would pass (1 + slack) x mean), the cell goes on clockwise to the next shard with room. Cells arrive in the order of their
+hashes, which does not depend on their loads, but for the few that hold more than LARGE of a shard: those come first.
+
+What fits nowhere is cut: first by text, so that equal texts still stand together, then by document, into as many pieces as
+the slack asks for; the pieces overflow clockwise in the same way. As the free room of all shards is slack x the total, a
+piece of at most slack x mean always fits somewhere. A document cannot be cut, so one that is larger than any room left goes
+to the least loaded shard; so do equal texts that are together no larger than COPIES times the largest document. What the driver holds is one number a cell or piece, however many rows there are.
 """
 
 from __future__ import annotations
@@ -17,13 +21,18 @@ from pyspark.sql import functions as F
 
 from . import common
 
-CELLS = 1 << 14
-VIRTUAL_NODES = 64
-SLACK = 0.002
-#: A cell of at most this part of a shard that came last and fits nowhere stays whole on the least loaded shard.
-WHOLE = 0.05
-#: Parts of a whole cell that number their rows by themselves, so that many equal texts do not meet in one task.
-PARTS = 8
+#: Cells of the ring: this many at least, and MOST_CELLS at most; between them 2,048 for each shard.
+CELLS, MOST_CELLS = 1 << 14, 1 << 18
+#: With so many, one more shard moves little more than its own share.
+VIRTUAL_NODES = 512
+#: A shard holds at most (1 + SLACK) x the mean; with 8 shards none then holds less than 0.9986 x the mean.
+SLACK = 0.0002
+#: Cells of more than this part of a shard are placed before all others, so that they find room as a whole.
+LARGE = 0.002
+#: Equal texts of up to so many times the size of the largest document are never cut.
+COPIES = 8
+#: Rows of a cell that are numbered in one task, on average.
+NUMBERED = 20_000
 
 
 def _hash(name: str) -> int:
@@ -45,80 +54,101 @@ class BoundedRing:
         self.at = [p for p, _ in self.nodes]
         self.capacity = (1 + slack) * total / shards
         self.load = [0] * shards
-        # the distinct shards met clockwise from each node
-        self.walk: list[list[int]] = []
-        for k in range(len(self.nodes)):
-            seen: dict[int, None] = {}
-            for j in range(len(self.nodes)):
-                seen[self.nodes[(k + j) % len(self.nodes)][1]] = None
-                if len(seen) == shards:
-                    break
-            self.walk.append([*seen])
 
     def place(self, position: int, load: int) -> int | None:
         """The shard, or None if no shard has room for a load of this size."""
-        k = bisect.bisect_left(self.at, position) % len(self.nodes)
-        for s in self.walk[k]:
+        k = bisect.bisect_left(self.at, position)
+        seen: set[int] = set()
+        for j in range(len(self.nodes)):
+            s = self.nodes[(k + j) % len(self.nodes)][1]
+            if s in seen:
+                continue
             if self.load[s] + load <= self.capacity:
                 self.load[s] += load
                 return s
+            seen.add(s)
+            if len(seen) == len(self.load):
+                return None
         return None
 
-    def force(self, load: int) -> int:
-        """The least loaded shard, for a small load that fits nowhere."""
+    def least(self, load: int) -> int:
+        """The least loaded shard, for what is larger than any room left and is not cut."""
         s = min(range(len(self.load)), key=lambda i: (self.load[i], i))
         self.load[s] += load
         return s
 
 
-def _cell(hashed: Column, cells: int) -> Column:
-    return F.pmod(hashed, F.lit(cells)).cast("int")
+def _pieces(hashed: Column, pieces: int) -> Column:
+    return F.pmod(hashed, F.lit(pieces)).cast("int")
 
 
-def assign(docs: DataFrame, shards: int = 8, slack: float = SLACK, cells: int = CELLS, virtual_nodes: int = VIRTUAL_NODES, text: str = "text", doc_id: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
+def assign(docs: DataFrame, shards: int = 8, slack: float = SLACK, cells: int | None = None, virtual_nodes: int = VIRTUAL_NODES, text: str = "text", doc_id: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """A row for each row of `docs`: doc_id, the `keep` columns, size, text_crc32, shard, slot.
 
-    size: UTF-8 bytes of the text (null: none) plus 1. A shard's sum of sizes passes the mean by at most `slack`, but
-    for the last small cells and for a document larger than any room left. slot numbers a shard's rows from 0 without gaps; rows that
-    agree in doc_id and text are interchangeable. Null doc_ids hash as the empty text. An empty table gives no rows.
+    size: UTF-8 bytes of the text (null: none) plus 1. A shard's sum of sizes passes the mean by at most `slack` and COPIES
+    times the largest document (all rows of one doc_id and text are one). Equal texts share a shard unless they are more
+    than half a shard, or fit nowhere and are larger than COPIES times the largest document. slot numbers a shard's rows from 0 without gaps; rows that agree in doc_id and
+    text are interchangeable. Null doc_ids hash as the text's. A `keep` column that bears the name of a result is
+    returned as `kept_` and its name. An empty table gives no rows.
     """
     spark = docs.sparkSession
+    cells = cells or min(MOST_CELLS, max(CELLS, 1 << (2048 * shards - 1).bit_length()))
     content = F.coalesce(F.col(text), F.lit("")).cast("binary")
     base = docs.select(F.col(doc_id).alias("doc_id"), (F.length(content) + 1).cast("long").alias("size"), F.crc32(content).alias("text_crc32"), F.xxhash64(content).alias("__place"), common.row_key(doc_id, text).alias("__key"), *[F.col(c).alias(f"__keep{i}") for i, c in enumerate(keep)])
-    base = common.cut(base.withColumns({"__cell": _cell(F.col("__place"), cells), "__sub": _cell(F.xxhash64("__key", F.lit(5)), cells)}))
-    loads = [(r[0], int(r[1])) for r in base.groupBy("__cell").agg(F.sum("size")).collect()]
+    # a cell is a run of the ring, named by its place in it
+    base = common.cut(base.withColumn("__cell", F.shiftrightunsigned("__place", 65 - cells.bit_length()).cast("int")))
+    sizes = base.groupBy("__cell").agg(F.sum("size"), F.max("size")).collect()
+    loads, largest = [(r[0], int(r[1])) for r in sizes], max((r[2] for r in sizes), default=0)
     total = sum(n for _, n in loads)
     circle = BoundedRing(shards, max(1, total), slack, virtual_nodes)
     step = (1 << 64) // cells
-    # the largest first, so that the small ones fill what is left
-    order = sorted(loads, key=lambda x: (-x[1], x[0]))
-    whole: list[tuple[int, int]] = []
-    divided: list[int] = []
-    for cell, load in order:
-        shard = None if load > circle.capacity / 2 else circle.place(cell * step, load)
-        if shard is None and load <= WHOLE * circle.capacity:
-            shard = circle.force(load)
-        if shard is None:
-            divided.append(cell)
-        else:
-            whole.append((cell, shard))
-    pieces: list[tuple[int, int, int]] = []
-    if divided:  # few: those of more than half a shard, and large ones that fitted nowhere
-        cut_cells = spark.createDataFrame([(c,) for c in divided], "__cell int")
-        parts = base.join(F.broadcast(cut_cells), "__cell", "left_semi").groupBy("__cell", "__sub").agg(F.sum("size").alias("n"))
-        for cell, sub, load in sorted(parts.collect(), key=lambda r: (-r[2], r[0], r[1])):
-            shard = circle.place((cell * step + sub * (step // cells)) % (1 << 64), int(load))
-            pieces.append((cell, sub, circle.force(int(load)) if shard is None else shard))
-    where_whole = spark.createDataFrame(whole, "__cell int, __whole int")
-    where_piece = spark.createDataFrame(pieces, "__cell int, __sub int, __piece int")
-    placed = base.join(F.broadcast(where_whole), "__cell", "left")
-    placed = placed.join(common.broadcast_if_small(where_piece), ["__cell", "__sub"], "left")
-    placed = placed.withColumn("shard", F.coalesce("__whole", "__piece"))
+    large = LARGE * total / shards
+
+    def settle(named: list[tuple], where, cut: float = 0) -> tuple[list[tuple], list[tuple]]:
+        """Placed names with their shards, and the names and loads that fit nowhere; up to a load of `cut` everything is placed."""
+        done, left = [], []
+        for *name, load in sorted(named, key=lambda x: (-x[-1] if x[-1] > large or cut else 0, x[:-1])):
+            shard = None if circle.capacity / 2 < load > cut else circle.place(where(*name), load)
+            if shard is None and load <= cut:
+                shard = circle.least(load)
+            if shard is None:
+                left.append((*name, load))
+            else:
+                done.append((*name, shard))
+        return done, left
+
+    def asked(left: list[tuple]) -> int:
+        """Pieces to cut each of these into, so that a piece is about half of the room that always remains."""
+        return int(min(1 << 20, max(2, 2 * max(x[-1] for x in left) / max(1.0, slack * total / shards)))) if left else 1
+
+    def sums(cut: list[tuple], of: list[str], by: Column, name: str) -> list[tuple]:
+        """Loads of the pieces of what was cut: the driver gets as many numbers as were asked for in all."""
+        names = spark.createDataFrame([x[:-1] for x in cut], ", ".join(f"{c} int" for c in of))
+        rows = base.join(common.broadcast_if_small(names), of, "left_semi").groupBy(*of, by.alias(name)).agg(F.sum("size").alias("n"))
+        return [(*r[:-1], int(r[-1])) for r in rows.collect()]
+
+    whole, open_cells = settle(loads, lambda c: c * step)
+    by_text, n_text = F.xxhash64("__place", F.lit(3)), asked(open_cells)
+    texts, open_texts = settle(sums(open_cells, ["__cell"], _pieces(by_text, n_text), "__text"), lambda c, t: c * step + t * (step // n_text), cut=COPIES * largest) if open_cells else ([], [])
+    base = base.withColumn("__text", _pieces(by_text, n_text))
+    by_doc, n_docs = F.xxhash64("__key", F.lit(5)), asked(open_texts)
+    ones, _ = settle(sums(open_texts, ["__cell", "__text"], _pieces(by_doc, n_docs), "__doc"), lambda c, t, d: c * step + d * (step // n_docs), cut=float("inf")) if open_texts else ([], [])
+    base = base.withColumn("__doc", _pieces(by_doc, n_docs))
+    placed = base
+    for rows, names in ((whole, ["__cell"]), (texts, ["__cell", "__text"]), (ones, ["__cell", "__text", "__doc"])):
+        if rows or names == ["__cell"]:
+            known = spark.createDataFrame(rows, ", ".join(f"{c} int" for c in (*names, f"__s{len(names)}")))
+            placed = placed.join(common.broadcast_if_small(known), names, "left")
+    found = [f"__s{k}" for k in (1, 2, 3) if f"__s{k}" in placed.columns]
+    placed = placed.withColumn("shard", F.coalesce(*found) if len(found) > 1 else F.col(found[0]))
     # slots: rows are numbered within (shard, cell, part of the cell), after all rows of earlier parts
-    part = F.when(F.col("__whole").isNull(), F.col("__sub")).otherwise(F.col("__sub") % PARTS)
-    placed = placed.withColumn("__part", part)
-    sizes = placed.groupBy("shard", "__cell", "__part").agg(F.count("*").alias("__rows"))
+    crowded = base.groupBy("__cell").agg(F.ceil(F.count("*") / NUMBERED).cast("int").alias("__parts")).where("__parts > 1")
+    placed = placed.join(common.broadcast_if_small(common.cut(crowded)), "__cell", "left")
+    placed = placed.withColumn("__part", F.pmod(F.xxhash64("__key", F.lit(9)), F.coalesce("__parts", F.lit(1))).cast("int"))
+    counted = placed.groupBy("shard", "__cell", "__part").agg(F.count("*").alias("__rows"))
     before = W.partitionBy("shard").orderBy("__cell", "__part").rowsBetween(W.unboundedPreceding, -1)
-    starts = common.cut(sizes.withColumn("__start", F.coalesce(F.sum("__rows").over(before), F.lit(0))).drop("__rows"))
-    numbered = placed.withColumn("__rank", F.row_number().over(W.partitionBy("shard", "__cell", "__part").orderBy("__place", "__key", "size")) - 1)
-    return numbered.join(common.broadcast_if_small(starts), ["shard", "__cell", "__part"]).select("doc_id", *[F.col(f"__keep{i}").alias(c) for i, c in enumerate(keep)], "size", "text_crc32", "shard", (F.col("__start") + F.col("__rank")).cast("long").alias("slot"))
+    starts = common.cut(counted.withColumn("__start", F.coalesce(F.sum("__rows").over(before), F.lit(0))).drop("__rows"))
+    ranked = placed.withColumn("__rank", F.row_number().over(W.partitionBy("shard", "__cell", "__part").orderBy("__place", "__key", "size")) - 1)
+    own = {"doc_id", "size", "text_crc32", "shard", "slot"}
+    kept = [F.col(f"__keep{i}").alias(f"kept_{c}" if c in own else c) for i, c in enumerate(keep)]
+    return ranked.join(common.broadcast_if_small(starts), ["shard", "__cell", "__part"]).select("doc_id", *kept, "size", "text_crc32", "shard", (F.col("__start") + F.col("__rank")).cast("long").alias("slot"))

@@ -27,8 +27,8 @@ def test_flight_keeps_both_sums_and_leaves_two(seed):
     p, sizes = draw.uniform(0.05, 0.95, 200), draw.integers(0, 50, 200).astype(float)
     q = M.flight(p, sizes, draw)
     assert ((q > 0) & (q < 1)).sum() <= 2 and abs((q * sizes).sum() - (p * sizes).sum()) < 1e-4 and abs(q.sum() - p.sum()) < 1e-6
-    landed = M.landing(q, sizes, float((p * sizes).sum()))
-    assert set(np.unique(landed)) <= {0.0, 1.0} and abs((landed * sizes).sum() - (p * sizes).sum()) <= 5
+    landed = M.landing(q, sizes, float((p * sizes).sum()), float(p.sum()))
+    assert set(np.unique(landed)) <= {0.0, 1.0} and abs((landed * sizes).sum() - (p * sizes).sum()) <= 5 and abs(landed.sum() - p.sum()) < 1
 
 
 def test_inclusion_probabilities_hold():
@@ -44,11 +44,13 @@ def test_words_taken_come_near_targets(spark, block):
     assert len(rows) == 400 and all(r["taken"] <= 3 * r["size"] and r["taken"] == r["copies"] * r["size"] for r in rows)
     for s in {r["source"] for r in rows}:
         own = [r for r in rows if r["source"] == s]
-        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= max(0.02 * own[0]["target"], 50)
-    again = {r["doc_id"]: r["copies"] for r in M.mix_plan(table(spark).repartition(7), block=block).collect()}
-    assert again == {r["doc_id"]: r["copies"] for r in rows}
-    assert M.mix(table(spark), block=block).groupBy("doc_id").count().count() == sum(r["copies"] > 0 for r in rows)
-    assert M.mix(table(spark), block=block).count() == sum(r["copies"] for r in rows)
+        target = own[0]["target"]
+        assert target == M.targets([(x, sum(r["size"] for r in rows if r["source"] == x)) for x in {r["source"] for r in rows}])[s]
+        assert abs(sum(r["taken"] for r in own) - target) <= max(0.02 * target, 10)
+        assert abs(sum(r["copies"] for r in own) - len(own) * target / own[0]["source_size"]) < 1  # documents are balanced too
+    # a rerun over other partitions agrees, and the mix holds what the plan says
+    mixed = [r["doc_id"] for r in M.mix(table(spark).repartition(7), block=block).select("doc_id").collect()]
+    assert {i: mixed.count(i) for i in set(mixed)} == {r["doc_id"]: r["copies"] for r in rows if r["copies"]}
 
 
 def test_word_count(spark):
@@ -60,8 +62,10 @@ def test_mix_awkward_rows(spark):
     docs = awkward(spark)
     plan = M.mix_plan(docs)
     assert plan.count() == docs.count() and plan.where("doc_id = 4").select("copies").distinct().count() == 1
-    assert M.mix(docs).columns == docs.columns
-    assert M.mix_plan(empty(spark)).count() == 0 and M.mix(empty(spark)).count() == 0
+    clash = docs.withColumns({c: F.lit(7) for c in ("__u", "__t", "__k", "__copies", "__turn", "size", "c1", "copies")})
+    mixed = M.mix(clash)
+    assert mixed.columns == clash.columns and mixed.count() == plan.agg(F.sum("copies")).first()[0]
+    assert M.mix(empty(spark)).count() == 0
 
 
 @pytest.mark.parametrize("hot", [False, True])
@@ -76,22 +80,45 @@ def test_shards_balance_and_keep_equal_texts(spark, hot):
         slots.setdefault(r["shard"], []).append(r["slot"])
         homes.setdefault(text, set()).add(r["shard"])
     mean = sum(loads.values()) / 8
-    assert len(loads) == 8 and max(loads.values()) <= mean * 1.02 and min(loads.values()) >= mean * 0.95
+    assert len(loads) == 8 and max(loads.values()) <= mean * (1 + S.SLACK) + 200 and min(loads.values()) >= mean - 400
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert all(len(h) == 1 for t, h in homes.items() if t != "same text of all")
 
 
-def test_one_more_shard_moves_few(spark):
-    total, keys = 100_000, [(S._hash(f"k{i}"), 10) for i in range(10_000)]
-    place = lambda n: (lambda c: [c.place(p, w) for p, w in keys])(S.BoundedRing(n, total, 0.1))
-    a, b = place(8), place(9)
-    assert sum(x != y for x, y in zip(a, b, strict=True)) < 0.45 * len(keys)
+def test_one_more_shard_or_document_moves_few(spark):
+    docs = spark.range(40_000).selectExpr("id as doc_id", "sha2(cast(id as string), 256) as text")
+    place = lambda d, **o: {r["doc_id"]: r["shard"] for r in S.assign(d, **o).select("doc_id", "shard").collect()}
+    a, b = place(docs), place(docs, shards=9)
+    assert 0.1 < sum(a[i] != b[i] for i in a) / len(a) < 0.18  # a ninth is needed
+    c = place(docs.union(spark.createDataFrame([(7000, "one more document of some words")], docs.schema)))
+    assert sum(a[i] != c[i] for i in a) < 0.01 * len(a)
+
+
+def test_groups_that_fit_nowhere_are_cut_and_bounds_hold(spark):
+    # 161 groups of equal texts, each a twentieth of a shard
+    rows = [(i, f"text number {i % 161:03d} of a group " * 4) for i in range(161 * 50)]
+    got = S.assign(spark.createDataFrame(rows, "doc_id long, text string"), slack=0.002).collect()
+    loads, homes = {}, {}
+    for r in got:
+        loads[r["shard"]] = loads.get(r["shard"], 0) + r["size"]
+        homes.setdefault(r["text_crc32"], set()).add(r["shard"])
+    mean = sum(loads.values()) / 8
+    assert max(loads.values()) <= 1.002 * mean and sum(len(h) > 1 for h in homes.values()) <= 8
     ring = S.BoundedRing(4, 40, 0.0)
     assert [ring.place(0, 10) for _ in range(5)].count(None) == 1 and ring.load == [10] * 4
 
 
+def test_many_shards(spark):
+    docs = spark.range(20_000).selectExpr("id as doc_id", "repeat(cast(id as string), 3) as text")
+    loads = {r["shard"]: r["n"] for r in S.assign(docs, shards=300, slack=0.01).groupBy("shard").agg(F.sum("size").alias("n")).collect()}
+    mean = sum(loads.values()) / 300
+    assert len(loads) == 300 and max(loads.values()) <= 1.01 * mean + 16
+
+
 def test_shard_awkward_rows(spark):
     docs = awkward(spark)
     got = S.assign(docs, keep=("lang",)).collect()
+    clash = S.assign(docs, keep=("shard", "lang"))
+    assert clash.columns == ["doc_id", "kept_shard", "lang", "size", "text_crc32", "shard", "slot"] and clash.where("kept_shard = 'z'").count() == 2
     assert len(got) == docs.count() and {r["size"] for r in got if r["doc_id"] in (1, 2)} == {1}
     assert S.assign(empty(spark)).count() == 0
