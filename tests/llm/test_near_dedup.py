@@ -1,4 +1,6 @@
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from larkspur.llm import common
 from larkspur.llm import near_dedup as N
@@ -52,15 +54,15 @@ def test_links_that_leaders_and_neighbours_leave_open(spark, monkeypatch):
     assert {r["doc_id"]: r["class_id"] for r in got} == expected
 
 
-def test_a_coordinate_agrees_as_often_as_the_multisets(spark):
-    base = words(3, 200) + ["the"] * 30
-    other = changed(base, 1, 8)
+@pytest.mark.parametrize("repeats", [0, 30, 700])
+def test_a_coordinate_agrees_as_often_as_the_multisets(repeats):
+    base = words(3, 200) + ["the"] * repeats
+    other = changed(base[:200], 1, 8) + ["the"] * (repeats * 3 // 4)
     size = 4096
     sigs = []
     for t in (base, other):
         data = np.frombuffer(" ".join(t).encode(), np.uint8)
-        e, r = N.weighted_elements(data, np.array([0, len(data)]), 5)
-        sigs.append(N.dart_signatures(e, r, 1, size)[0])
+        sigs.append(N.dart_signatures(*N.weighted_elements(data, np.array([0, len(data)]), 5), 1, size)[0])
     true = jaccard(shingles(" ".join(base)), shingles(" ".join(other)))
     assert 0.4 < true < 0.95 and abs((sigs[0] == sigs[1]).mean() - true) < 0.04
 
@@ -69,13 +71,35 @@ def test_awkward_rows(spark):
     docs = awkward(spark)
     got = N.near_duplicate_classes(docs).collect()
     assert len(got) == docs.count()
-    assert all(r["keep"] for r in got if r["doc_id"] in (1, 2, 5))
+    assert {r["doc_id"]: (r["class_id"], r["keep"]) for r in got if r["doc_id"] in (1, 2, 5)} == {1: (1, True), 2: (1, False), 5: (5, True)}
+    assert len({r["class_key"] for r in got if r["doc_id"] is None}) == 2
     assert [r["class_id"] for r in got if r["doc_id"] == 4] == [4, 4]
     kept = N.deduplicate(docs)
-    assert kept.columns == docs.columns and kept.count() == docs.count() - 1 and kept.where("doc_id = 4").count() == 1
+    assert kept.columns == docs.columns and kept.count() == docs.count() - 3 and kept.where("doc_id = 4").count() == 1
     assert N.near_duplicate_classes(empty(spark)).count() == 0 and N.deduplicate(empty(spark)).count() == 0
 
 
+def test_wordless_copies_are_one_class_and_clashing_columns_stay(spark):
+    rows = [(k, "!!! ***", k) for k in range(50)] + [(60, "!!!  ***", 60), (61, "a b c d e f", 61)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __t long").withColumns({"__tid": F.lit(1), "class_id": F.lit(2), "tid": F.lit(3)})
+    kept = N.deduplicate(df)
+    assert kept.columns == df.columns
+    assert sorted((r["doc_id"], r["__t"]) for r in kept.collect()) == [(0, 0), (60, 60), (61, 61)]
+
+
+def test_a_large_group_of_copies_with_strangers(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 64)
+    base = words(5, 200)
+    rows = [(k, " ".join([*base[:199], f"end{k}"])) for k in range(1500)]  # one group
+    rows += [(2000 + k, " ".join(changed(base, 900 + k, 7 + k % 6))) for k in range(40)]  # around the threshold
+    got = N.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    probe = groups(rows[:3] + rows[1500:])  # all copies are at least as near to each other as these
+    want = {d: c for d, c in probe.items()} | {d: 0 for d in range(1500)}
+    near = {d for d, _ in rows[1500:] if any(jaccard(shingles(dict(rows)[d]), shingles(t)) >= 0.8 for _, t in rows[:1500:100])}
+    assert all((want[d] == 0) == (d in near) or want[d] == 0 for d in want if d >= 2000)
+    assert {r["doc_id"]: r["class_id"] for r in got} == want
+
+
 def test_components_of_a_path_a_star_and_loops(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 100 + i) for i in range(1, 50)] + [(200, 200), (None, 1), (101, 102)]
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -90,3 +114,11 @@ def test_words_do_not_depend_on_pieces():
         cut = common.word_hashes(data, offsets, piece)
         assert (cut[0] == whole[0]).all() and (cut[1] == whole[1]).all()
     assert (whole[1] == 0).sum() == (whole[1] == 1).sum() == 251
+
+
+def test_long_words_that_differ_by_an_exchange_have_other_hashes():
+    texts = [b"ab" + b"x" * 62 + b"ba" + b"y" * 14, b"ba" + b"x" * 62 + b"ab" + b"y" * 14, b"x" * 80, b"x" * 81]
+    for n in (200, 5000):
+        texts += [b"a" * n + b"b" * n, b"b" * n + b"a" * n, (b"ab" * n), (b"ba" * n)]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    assert len(set(common.word_hashes(data, offsets)[0].tolist())) == len(texts)
