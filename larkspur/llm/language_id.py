@@ -11,11 +11,11 @@ language alike.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +29,7 @@ _CLASS = np.ones(256, np.uint8)
 _CLASS[[*range(97, 123)]] = np.arange(2, 28)
 _CLASS[[*range(65, 91)]] = np.arange(2, 28)
 _CLASS[128:] = np.arange(28, 156)
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def suffix_automaton(symbols: bytes) -> list[dict[int, int]]:
