@@ -7,39 +7,95 @@ is no piece by itself may be unknown, at the lowest score less 10; unknown chara
 fallback, and a run of them as one token without.
 
 No piece has the space mark after another character, so the best path splits at each word; words are counted once a task.
+
+A unigram model file is taken with its scores and its normaliser. A merge-rank (BPE) file has no scores: its ranks are an
+order, not log-probabilities. Read as a unigram vocabulary, its pieces get the log-probabilities of the Zipf-Mandelbrot law
+by rank, (rank + MANDELBROT) ** -1 over their sum; nothing is fitted. Counts are then those of a unigram model, near to but
+not those of the file's own merges.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
+#: The usual shift of ranks in the Zipf-Mandelbrot law.
+MANDELBROT = 2.7
 #: Words that one task remembers, at most; it starts anew beyond.
 REMEMBERED = 400_000
 
 
+def message_fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """(number, value) of each field of a serialized protocol-buffer message."""
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = data[at]
+            at += 1
+            value |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return value
+
+    while at < len(data):
+        tag = number()
+        kind = tag & 7
+        if kind == 0:
+            yield tag >> 3, number()
+            continue
+        size = number() if kind == 2 else {1: 8, 5: 4}[kind]
+        yield tag >> 3, data[at : at + size]
+        at += size
+
+
 @dataclass(frozen=True)
 class Vocabulary:
-    """Pieces with scores; control and byte pieces are not among them, for they never match text."""
+    """Pieces with scores; control and byte pieces are not among them, for they never match text.
+
+    normaliser: the model file whose normaliser texts go through; None: spaces become marks, with one mark before a text.
+    """
 
     pieces: tuple[tuple[str, float], ...]
     byte_fallback: bool
+    normaliser: bytes | None = None
 
     @staticmethod
     def from_sentencepiece(path: str) -> Vocabulary:
-        """Read a model file; its scores are taken as they are."""
+        """Read a unigram model file as it is, or a merge-rank one by the Zipf-Mandelbrot law; other kinds are refused."""
         import sentencepiece
 
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
-        plain = [i for i in range(model.vocab_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
-        return Vocabulary(tuple((model.id_to_piece(i), model.get_score(i)) for i in plain), any(model.is_byte(i) for i in range(model.vocab_size())))
+        with open(path, "rb") as f:
+            data = f.read()
+        # fixed values of the file format: in the model, 2 is the trainer's and 3 the normaliser's part; in the first, 3 is the
+        # kind (1 unigram, 2 merges) and 24 whether marks follow words; in the second, 2 is the character map, 3 whether a mark
+        # comes first, 4 whether repeated spaces go and 5 whether spaces become marks
+        parts = {k: dict(message_fields(v)) for k, v in message_fields(data) if k in (2, 3) and isinstance(v, bytes)}
+        trainer, normal = parts.get(2, {}), parts.get(3, {})
+        kind = trainer.get(3, 1)
+        if kind not in (1, 2):
+            raise ValueError(f"{path} is neither a unigram nor a merge-rank model")
+        plain_text = not normal.get(2) and normal.get(3, 1) and not normal.get(4, 1) and normal.get(5, 1) and not trainer.get(24)
+        model = sentencepiece.SentencePieceProcessor(model_proto=data)
+        ids = [i for i in range(model.vocab_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
+        total = math.log(sum(1 / (rank + MANDELBROT) for rank in range(1, len(ids) + 1)))
+        scores = [model.get_score(i) if kind == 1 else -math.log(rank + MANDELBROT) - total for rank, i in enumerate(ids, 1)]
+        fallback = any(model.is_byte(i) for i in range(model.vocab_size()))
+        return Vocabulary(tuple(zip(map(model.id_to_piece, ids), scores, strict=True)), fallback, None if plain_text else data)
 
 
 class Counter(dict):
@@ -54,6 +110,12 @@ class Counter(dict):
             if piece:
                 self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
+        self.longest = max((len(p) for p, _ in vocabulary.pieces), default=1)
+        self.normaliser = None
+        if vocabulary.normaliser is not None:
+            import sentencepiece
+
+            self.normaliser = sentencepiece.SentencePieceProcessor(model_proto=vocabulary.normaliser)
         self.fallback = vocabulary.byte_fallback
         self.unknown = min((s for _, s in vocabulary.pieces), default=0.0) - UNKNOWN_PENALTY
         self.by_word = not any(MARK in p.lstrip(MARK) for p, _ in vocabulary.pieces) and any(p == MARK for p, _ in vocabulary.pieces)
@@ -62,29 +124,37 @@ class Counter(dict):
         self.foreign = re.compile("([" + "".join(c for c in "\n\t\r" if c not in used) + "])") if any(c not in used for c in "\n\t\r") and self.fallback else None
 
     def viterbi(self, s: str) -> tuple[int, float]:
-        n = len(s)
-        best: list[float] = [0.0] + [float("-inf")] * n
-        count, run = [0] * (n + 1), [False] * (n + 1)  # run: the best path ends in an unknown character
-        single = [False] * n
-        ends: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-        for end, match in self.automaton.iter(s):
-            ends[end].append(match)
-        for e in range(n):
-            top, pieces, unknown = float("-inf"), 0, False
-            for length, score in ends[e]:  # the longest first: its start is the leftmost
+        """Only as many states as the longest piece has characters are held, however long the text."""
+        size = self.longest + 1
+        best, count, run = [0.0] * size, [0] * size, [False] * size  # run: the best path ends in an unknown character
+
+        def close(e: int, matches: list[tuple[int, float]]) -> None:
+            top, pieces, unknown, single = float("-inf"), 0, False, False
+            for length, score in matches:  # the longest first: its start is the leftmost
                 if length == 1:
-                    single[e] = True
-                start = e + 1 - length
+                    single = True
+                start = (e + 1 - length) % size
                 value = best[start] + score
                 if value > top:
                     top, pieces, unknown = value, count[start] + 1, False
-            if not single[e]:
-                value = best[e] + self.unknown
+            if not single:
+                value = best[e % size] + self.unknown
                 if value > top:
-                    added = len(s[e].encode("utf-8", "surrogatepass")) if self.fallback else int(not run[e])
-                    top, pieces, unknown = value, count[e] + added, True
-            best[e + 1], count[e + 1], run[e + 1] = top, pieces, unknown
-        return count[n], best[n]
+                    added = len(s[e].encode("utf-8", "surrogatepass")) if self.fallback else int(not run[e % size])
+                    top, pieces, unknown = value, count[e % size] + added, True
+            at = (e + 1) % size
+            best[at], count[at], run[at] = top, pieces, unknown
+
+        at, matches = 0, []
+        for end, match in self.automaton.iter(s) if len(self.automaton) else ():
+            while at < end:
+                close(at, matches)
+                at, matches = at + 1, []
+            matches.append(match)
+        while at < len(s):
+            close(at, matches)
+            at, matches = at + 1, []
+        return count[len(s) % size], best[len(s) % size]
 
     def __missing__(self, word: str | tuple[str]) -> tuple[int, float]:
         if len(self) >= REMEMBERED:
@@ -104,7 +174,7 @@ class Counter(dict):
         """(tokens, score) of a whole text; the empty text has none."""
         if not text:
             return 0, 0.0
-        marked = MARK + text.replace(" ", MARK)
+        marked = self.normaliser.normalize(text) if self.normaliser else MARK + text.replace(" ", MARK)
         if not self.by_word:
             return self.viterbi(marked)
         tokens, score = 0, 0.0
@@ -116,9 +186,25 @@ class Counter(dict):
 
     @staticmethod
     def words(marked: str) -> Iterable[str]:
-        if MARK + MARK in marked:
-            return re.findall(f"{MARK}+[^{MARK}]*", marked)
-        return [MARK + w for w in marked.split(MARK)[1:]]
+        return (m[0] for m in re.finditer(f"{MARK}+[^{MARK}]*|^[^{MARK}]+", marked))
+
+    def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens and scores of several texts; null is empty. Words are split and told apart by Arrow, and looked up once."""
+        column = column.cast(pa.large_string()).fill_null("")
+        tokens, scores = np.zeros(len(column), np.int64), np.zeros(len(column))
+        slow = pc.or_(pc.match_substring(column, "  "), pc.or_(pc.match_substring(column, MARK), pc.starts_with(column, " "))).to_numpy(zero_copy_only=False)
+        slow = slow | bool(self.normaliser) | (not self.by_word)
+        for i in np.flatnonzero(slow):
+            tokens[i], scores[i] = self.text(column[int(i)].as_py())
+        fast = np.flatnonzero(~slow & (pc.binary_length(column).to_numpy(zero_copy_only=False) > 0))
+        if len(fast):
+            split = pc.split_pattern(column.take(pa.array(fast)), " ")
+            words = split.flatten().dictionary_encode()
+            each = [self[MARK + w] for w in words.dictionary.to_pylist()]
+            where, starts = words.indices.to_numpy(), split.offsets.to_numpy()[:-1] - split.offsets[0].as_py()
+            tokens[fast] = np.add.reduceat(np.array([c for c, _ in each], np.int64)[where], starts)
+            scores[fast] = np.add.reduceat(np.array([v for _, v in each], float)[where], starts)
+        return tokens, scores
 
 
 _COUNTERS: dict[Vocabulary, Counter] = {}
@@ -144,10 +230,11 @@ def count_tokens(docs: DataFrame, vocabulary: Vocabulary, keep: list[str], text:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(shared.value)
         for batch in batches:
-            at = batch.schema.get_field_index("__text")
-            found = [count.text(t or "") for t in (x.as_py() for x in batch.column(at))]
-            cols = [batch.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array([c for c, _ in found], pa.int64()), pa.array([v for _, v in found], pa.float64())], names=[*names, "n_tokens", "best_score"])
+            text = batch.column(batch.schema.get_field_index("__text"))
+            for start, end, _, _ in common.text_slices(text, 1 << 22):
+                tokens, scores = count.texts(text.slice(start, end - start))
+                cols = [batch.column(i).slice(start, end - start) for i in range(len(names))]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(tokens), pa.array(scores)], names=[*names, "n_tokens", "best_score"])
 
     schema = "".join(f"`{c}` {t}, " for c, t in docs.select(*keep).dtypes) + "n_tokens long, best_score double"
     return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)

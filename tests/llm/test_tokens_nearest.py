@@ -1,5 +1,6 @@
 import os
 import random
+import struct
 
 import numpy as np
 import pytest
@@ -47,6 +48,64 @@ def test_a_public_vocabulary(spark):
     assert T.count_tokens(empty(spark), v, ["doc_id"]).count() == 0
 
 
+def as_unigram(path, out, spaces):
+    """The same pieces and scores (but for the lowest) as a unigram model; `spaces`: repeated spaces go."""
+    with open(path, "rb") as f:
+        fields = list(T.message_fields(f.read()))
+
+    def packed(items):
+        b = b""
+        for k, v in items:
+            kind = 0 if isinstance(v, int) else 5 if (len(v) == 4 and k in FLOATS) else 2
+            b += varint(k << 3 | kind) + (varint(v) if kind == 0 else v if kind == 5 else varint(len(v)) + v)
+        return b
+
+    def varint(n):
+        b = b""
+        while n > 127:
+            b, n = b + bytes([n & 127 | 128]), n >> 7
+        return b + bytes([n])
+
+    FLOATS = set()
+    body = b""
+    for k, v in fields:
+        if k == 1:
+            FLOATS = {2}
+            v = packed([(a, struct.pack("<f", max(-40_000.0, struct.unpack("<f", b)[0])) if a == 2 else b) for a, b in T.message_fields(v)])
+        if k == 2:
+            FLOATS = {10, 15}  # floats of the trainer's part
+            v = packed([(a, 1 if a == 3 else b) for a, b in T.message_fields(v)])
+        if k == 3:
+            FLOATS = set()
+            v = packed([(a, int(spaces) if a == 4 else b) for a, b in T.message_fields(v)])
+        body += varint(k << 3 | 2) + varint(len(v)) + v
+    out.write_bytes(body)
+    return str(out)
+
+
+@pytest.mark.skipif(not os.path.exists(MODEL), reason="no vocabulary file")
+@pytest.mark.parametrize("spaces", [False, True])
+def test_a_unigram_file_counts_as_its_own_encoder(spark, tmp_path, spaces):
+    """Its scores are whole numbers, so sums are exact in the library's single precision too."""
+    sentencepiece = pytest.importorskip("sentencepiece")
+    path = as_unigram(MODEL, tmp_path / "unigram.model", spaces)
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("length(text) < 1200").select("text")
+    more = spark.createDataFrame([("  two  spaces ",), (" lead",), ("trail ",), (" ",), ("a▁b",), ("tab\tand\nline",), ("漢字 ß",), ("",), (None,)], "text string")
+    v = T.Vocabulary.from_sentencepiece(path)
+    assert (v.normaliser is not None) == spaces
+    got = T.count_tokens(docs.union(more), v, ["text"]).collect()
+    assert len(got) > 60 and all(r["n_tokens"] == len(model.encode(r["text"] or "")) for r in got)
+
+
+@pytest.mark.skipif(not os.path.exists(MODEL), reason="no vocabulary file")
+def test_merge_ranks_are_read_as_probabilities(spark):
+    v = T.Vocabulary.from_sentencepiece(MODEL)
+    assert abs(sum(np.exp(s) for _, s in v.pieces) - 1) < 1e-9 and v.pieces[0][1] == max(s for _, s in v.pieces)
+    c, long = T.Counter(v), "abc" * 50_000
+    assert c.text(long)[0] == T.Counter(v).viterbi(T.MARK + long)[0] >= 50_000
+
+
 def brute(ids, x, queries, k):
     out = {}
     for i in queries:
@@ -79,7 +138,7 @@ def test_all_cells_are_exact_with_ties(spark):
     x[:, 0] += 0.5
     x[50:130] = x[50]
     ids = [3 * i for i in range(200)]
-    got = N.search(frame(spark, ids, x).repartition(6), F.col("vec_id") % 20 == 0, k=7, share=1.0, block=64, chunk=4).orderBy("query_id", "rank").collect()
+    got = N.search(frame(spark, ids, x).repartition(6), F.col("vec_id") % 20 == 0, k=7, recall=1.0, block=64, chunk=4).orderBy("query_id", "rank").collect()
     found = {}
     for r in got:
         found.setdefault(r["query_id"], []).append(r["vec_id"])
@@ -104,3 +163,10 @@ def test_vectors_that_take_no_part(spark):
     got = {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in N.search(df, F.col("vec_id") % 20 == 0).collect()}
     assert got == {(0, 1, 1, 5.0), (0, 2, 140, 1.0), (140, 1, 1, 3.0), (140, 2, 0, 1.0)}
     assert N.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_a_vec_id_of_two_vectors_and_a_second_length(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 2.0]), (7, [1.0, 1.0]), (20, [1.0, 1.0, 0.0]), (9, [0.0, 0.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({"row": F.lit(1), "cell": F.lit(2), "v": F.lit("x")})
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in N.search(df, F.col("vec_id") % 20 == 0).collect())
+    assert got == [(0, 1, 7, 1.0), (0, 1, 7, 2.0), (0, 2, 0, 0.0), (0, 2, 0, 0.0), (20, 1, 9, 0.0)]
