@@ -4,8 +4,8 @@ Each byte is eight binary decisions; each decision has a tree of contexts, the 0
 a Krichevsky-Trofimov estimate of its decision, and the tree mixes the estimates of all depths by their evidence: a node's
 weighted probability is half its own block probability and half the product of its children's. Trained on counts and then
 fixed, the mixture gives one probability for each (context, byte): the deepest node that training saw for a decision has
-the mixture of all depths down to it. Texts count with A-Z in lower case, start after zero bytes and end with one (a NUL in a
-text counts as byte 1).
+the mixture of all depths down to it. Texts count with A-Z in lower case, so the byte of `A` is free: it stands before a text
+and ends it, and no two texts share a sequence.
 
 All contexts of all training texts are kept. Their counts are a table in the shared folder; the tree is built in slices of
 whole subtrees under the two nearest bytes, and only the depths above, bounded by the alphabet, are built on the driver. The
@@ -22,12 +22,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
-DEPTH = 5
+DEPTH = 6
+#: The symbol around texts: no lower-cased text has it.
+END = 65
 #: Mixtures (context, byte) that are broadcast, at most; the others are joined.
 HEAD_GRAMS = 1 << 20
 #: Entries (context, byte) of a slice of the tree, on average.
@@ -36,7 +38,6 @@ SLICE_ENTRIES = 100_000
 HEAD = 1 << 20
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_LOWER[0] = 1
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 
@@ -54,7 +55,7 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
 def grams(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """For each byte of each text and its end: the key (preceding bytes, nearest first, then the byte itself), and its row."""
     n = len(offsets) - 1
-    buf = np.zeros(depth + len(data) + n * depth, np.uint8)
+    buf = np.full(depth + len(data) + n * depth, END, np.uint8)
     rows = np.repeat(np.arange(n), np.diff(offsets))
     buf[np.arange(len(data)) + depth * (rows + 1)] = _LOWER[data]
     key = np.zeros(len(buf) - depth, np.uint64)
@@ -113,36 +114,24 @@ class Table:
 class ContextTree:
     """The fixed mixture: built from keys and counts of (context, byte)."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, depth: int, least: int = 0, top: Top | None = None):
-        """With `top`, a slice of the tree: whole subtrees under the contexts that are one byte longer than those of `top`.
-
-        Contexts of over two bytes that were seen less than `least` times are one: a byte 255, which UTF-8 never has.
-        """
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, depth: int, top: Top | None = None):
+        """With `top`, a slice of the tree: whole subtrees under the contexts that are one byte longer than those of `top`."""
         self.depth = depth
         first = top.depth + 1 if top else 0
-        levels = self._levels(keys, counts, depth, first, least)
+        levels = self._levels(keys, counts, depth, first)
         weights, _ = self._weigh(levels, None)
         ones, _ = self._mix(levels, weights, top.below if top else None)
         self.tables = [*(top.tables if top else []), *(Table(levels[d][0], ones[d].astype(np.float32)) for d in range(first, depth + 1))]
 
     @classmethod
-    def _levels(cls, keys: np.ndarray, counts: np.ndarray, depth: int, first: int, least: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def _levels(cls, keys: np.ndarray, counts: np.ndarray, depth: int, first: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """The decisions of the contexts of `first` to `depth` bytes, with the counts of their 0 and 1."""
         order = np.argsort(keys)
         keys, counts = keys[order], counts[order].astype(np.float64)
         levels = {}
         for d in range(depth, first - 1, -1):
             context, byte = keys >> np.uint64(8), keys & np.uint64(255)
-            own = context, byte, counts
-            if least and d > 2 and len(context):
-                new = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
-                rare = np.repeat(np.add.reduceat(counts, new) < least, np.diff(np.append(new, len(context))))
-                names = ((np.where(rare, context | np.uint64(255), context)) << np.uint64(8)) | byte
-                order = np.argsort(names, kind="stable")
-                names = names[order]
-                new = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
-                own = names[new] >> np.uint64(8), names[new] & np.uint64(255), np.add.reduceat(counts[order], new)
-            levels[d] = cls._decisions(*own)
+            levels[d] = cls._decisions(context, byte, counts)
             if d > first:
                 shorter = ((context >> np.uint64(8)) << np.uint64(8)) | byte
                 order = np.argsort(shorter, kind="stable")
@@ -236,7 +225,7 @@ class Top:
     def __init__(self, keys: np.ndarray, counts: np.ndarray, depth: int, under: tuple[np.ndarray, np.ndarray]):
         """`under`: for nodes of the deepest contexts, the log probabilities of all nodes right under them."""
         self.depth = depth
-        levels = ContextTree._levels(keys, counts, depth, 0, 0)
+        levels = ContextTree._levels(keys, counts, depth, 0)
         weights, _ = ContextTree._weigh(levels, under)
         ones, self.below = ContextTree._mix(levels, weights, None)
         self.tables = [Table(levels[d][0], ones[d].astype(np.float32)) for d in range(depth + 1)]
@@ -279,19 +268,6 @@ def _count(depth: int, spill: int = 1_000_000):
     return run
 
 
-def _merge_rare(entries: DataFrame, depth: int, least: int) -> DataFrame:
-    """Contexts of over two bytes that were seen less than `least` times are one under their shorter context."""
-    for d in range(depth, 2, -1):
-        shift = 8 * (depth - d + 1)
-        rest = sum(255 << (8 * k) for k in range(1, depth - d + 2))
-        context = F.shiftright("key", shift)
-        seen = entries.groupBy(context.alias("context")).agg(F.sum("n").alias("seen"))
-        joined = entries.withColumn("context", context).join(seen, "context")
-        name = F.when(F.col("seen") < least, F.col("key").bitwiseOR(F.lit(rest))).otherwise(F.col("key"))
-        entries = joined.select(name.alias("key"), "n").groupBy("key").agg(F.sum("n").alias("n"))
-    return entries
-
-
 def _numbers(column: pa.ChunkedArray) -> np.ndarray:
     return column.to_numpy().astype(np.int64).view(np.uint64)
 
@@ -299,38 +275,38 @@ def _numbers(column: pa.ChunkedArray) -> np.ndarray:
 class Mixtures:
     """The tree in slices: counts of (context, byte) as a table, and the depths above the slices."""
 
-    def __init__(self, entries: DataFrame, n_entries: int, depth: int, least: int):
-        self.entries, self.depth, self.least = entries, depth, least
+    def __init__(self, entries: DataFrame, n_entries: int, depth: int):
+        self.entries, self.depth = entries, depth
         self.split = min(2, depth)
         self.slices = max(1, -(-n_entries // SLICE_ENTRIES))
         split = self.split
 
         def up(part: pa.Table) -> pa.Table:
-            levels = ContextTree._levels(_numbers(part["key"]), part["n"].to_numpy(), depth, split, least)
+            levels = ContextTree._levels(_numbers(part["key"]), part["n"].to_numpy(), depth, split)
             parent, values = ContextTree._weigh(levels, None)[1]
             names, at = np.unique(parent, return_inverse=True)
             return pa.table({"node": pa.array(names.view(np.int64)), "total": pa.array(np.bincount(at, values, len(names)))})
 
         under = self._sliced(entries.select("key", "n")).applyInArrow(up, "node long, total double").groupBy("node").agg(F.sum("total").alias("total")).toArrow()
-        context = F.shiftright("key", 8 * (depth - split + 2))
+        context = F.shiftrightunsigned("key", 8 * (depth - split + 2))
         name = F.shiftleft(context, 8).bitwiseOR(F.col("key").bitwiseAND(F.lit(255)))
         top = entries.select(name.alias("key"), "n").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
         self.top = Top(_numbers(top["key"]), top["n"].to_numpy(), split - 1, (_numbers(under["node"]), under["total"].to_numpy()))
 
     def _sliced(self, rows: DataFrame):
-        subtree = F.shiftright("key", 8 * (self.depth - self.split + 1))
+        subtree = F.shiftrightunsigned("key", 8 * (self.depth - self.split + 1))
         return rows.withColumn("slice", F.pmod(F.xxhash64(subtree), F.lit(self.slices))).repartition(self.slices, "slice").groupBy("slice")
 
     def answers(self, unseen: DataFrame | None = None) -> DataFrame:
         """(key, n, value): the log10 probability of each counted (context, byte), or of those of `unseen` alone."""
-        depth, least, top, alone = self.depth, self.least, self.entries.sparkSession.sparkContext.broadcast(self.top), unseen is not None
+        depth, top, alone = self.depth, self.entries.sparkSession.sparkContext.broadcast(self.top), unseen is not None
 
         def run(part: pa.Table) -> pa.Table:
             keys, n = _numbers(part["key"]), part["n"].to_numpy()
             asked = n == 0 if alone else n > 0
             value = np.zeros(0)
             if asked.any():
-                value = ContextTree(keys[n > 0], n[n > 0], depth, least, top.value).log10(keys[asked])
+                value = ContextTree(keys[n > 0], n[n > 0], depth, top.value).log10(keys[asked])
             return pa.table({"key": pa.array(keys[asked].view(np.int64)), "n": pa.array(n[asked].astype(np.int64)), "value": pa.array(value.astype(np.float32))})
 
         rows = self.entries.select("key", "n")
@@ -346,24 +322,16 @@ class Model:
         self.tree, self.known, self.rest, self.head, self.total, self.distinct, self.ends, self.tail = tree, known, rest, head, total, distinct, ends, tail
 
 
-def train(docs: DataFrame, depth: int = DEPTH, max_entries: int | None = None, head: int = HEAD, text: str = "text", head_grams: int = HEAD_GRAMS) -> Model:
-    """Count all of `docs` and build the model. Null texts are empty; an empty table gives a model that knows nothing.
-
-    The tree grows with the contexts of `docs`; only if `max_entries` is given, rare contexts are merged to keep it below.
-    """
+def train(docs: DataFrame, depth: int = DEPTH, head: int = HEAD, text: str = "text", head_grams: int = HEAD_GRAMS) -> Model:
+    """Count all of `docs` and build the model. Null texts are empty; an empty table gives a model that knows nothing."""
     counted = docs.select(F.col(text).alias("t")).mapInArrow(_count(depth), "kind int, key long, n long")
     counts = common.table(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")))
     sums = {r["kind"]: r for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).collect()}
     ends = int(sums[2]["n"]) if 2 in sums else 0
     total, distinct = (int(sums[1]["n"]) if 1 in sums else 0) + ends, (int(sums[1]["rows"]) if 1 in sums else 0) + (ends > 0)
-    entries, least = counts.where("kind = 0").select("key", "n"), 0
+    entries = counts.where("kind = 0").select("key", "n")
     n_bytes, n_entries = (int(sums[0]["n"]), int(sums[0]["rows"])) if 0 in sums else (0, 0)
-    if max_entries is not None and n_entries > max_entries:
-        least = max(2, n_bytes // (8 * max_entries))
-        grams_ = entries
-        while (n_entries := (entries := common.cut(_merge_rare(grams_, depth, least))).count()) > max_entries and least < n_bytes:
-            least *= 2
-    tree = Mixtures(entries, n_entries, depth, least)
+    tree = Mixtures(entries, n_entries, depth)
     answers = tree.answers()
     # the frequent ones that fit into the head, by a bound on their part of all bytes
     parts = [n_bytes / 2.0**b for b in range(64)]
@@ -408,22 +376,25 @@ def _score(shared, depth: int, total: int, distinct: int, ends: int, names: list
     return run
 
 
-def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", trained: Column | None = None) -> DataFrame:
     """`keep` columns, n_tokens, n_known, train_tokens, base_score and score (log10 of the text's probability) for each row.
 
-    Null and empty texts are an end alone. Repeated rows are scored alike; texts of any length are scored whole.
+    trained: rows that the model learned from; all their contexts are known, so only the others' are looked for among those
+    it has not seen. Null and empty texts are an end alone. Repeated rows are scored alike; texts of any length are scored
+    whole.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((model.known, model.head))
-    chosen = docs.select(*keep, F.col(text).alias("__text"))
-    schema = "".join(f"`{c}` {t}, " for c, t in docs.select(*keep).dtypes) + "__row long, n_tokens long, __known long, __base double, __score double, __rare array<long>, __grams array<long>"
-    told = common.table(chosen.mapInArrow(_score(shared, model.tree.depth, model.total, model.distinct, model.ends, [*keep]), schema))
+    chosen = docs.select(*keep, F.coalesce(F.lit(False) if trained is None else trained, F.lit(False)).alias("__trained"), F.col(text).alias("__text"))
+    schema = "".join(f"`{c}` {t}, " for c, t in docs.select(*keep).dtypes) + "__trained boolean, __row long, n_tokens long, __known long, __base double, __score double, __rare array<long>, __grams array<long>"
+    told = common.table(chosen.mapInArrow(_score(shared, model.tree.depth, model.total, model.distinct, model.ends, [*keep, "__trained"]), schema))
     norm = float(np.log10(model.total + 0.1 * (model.distinct + 1)))
     each = told.select("__row", F.explode("__rare").alias("key")).join(model.tail, "key", "left")
     seen = F.coalesce(F.col("n"), F.lit(0))
     sums = each.groupBy("__row").agg(F.sum(F.log10(seen + 0.1) - norm).alias("__more"), F.count("n").alias("__seen"))
     asked = told.select("__row", F.explode("__grams").alias("key"))
-    unseen = common.table(asked.select("key").distinct().join(model.rest, "key", "left_anti"))
+    new = told.where(~F.col("__trained")).select(F.explode("__grams").alias("key")).distinct()
+    unseen = common.table(new.join(model.rest, "key", "left_anti"))
     rest = model.rest if unseen.isEmpty() else model.rest.unionAll(model.tree.answers(unseen).select("key", "value"))
     more = asked.join(rest, "key").groupBy("__row").agg(F.sum("value").alias("__others"))
     out = told.drop("__rare", "__grams").join(sums, "__row", "left").join(more, "__row", "left")

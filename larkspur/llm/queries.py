@@ -29,7 +29,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", (remainder(10) == 0).alias("held_out"))
-    return language_model.score(docs, language_model.train(docs.where(~F.col("held_out"))), ["doc_id", "held_out"])
+    return language_model.score(docs, language_model.train(docs.where(~F.col("held_out"))), ["doc_id", "held_out"], trained=~F.col("held_out"))
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ def naive_ctw(texts, depth):
     """The same mixture by recursion over dictionaries."""
     counts = Counter()
     for t in texts:
-        b = [0] * depth + [x + 32 if 65 <= x <= 90 else x for x in t.encode()] + [0]
+        b = [65] * depth + [x + 32 if 65 <= x <= 90 else x for x in t.encode()] + [65]
         for i in range(depth, len(b)):
             context = tuple(b[i - d] for d in range(1, depth + 1))
             for k in range(8):
@@ -50,7 +50,7 @@ def naive_ctw(texts, depth):
         return best
 
     def log10(t):
-        b, out = [0] * depth + [x + 32 if 65 <= x <= 90 else x for x in t.encode()] + [0], 0.0
+        b, out = [65] * depth + [x + 32 if 65 <= x <= 90 else x for x in t.encode()] + [65], 0.0
         for i in range(depth, len(b)):
             c = tuple(b[i - d] for d in range(1, depth + 1))
             for k in range(8):
@@ -97,12 +97,14 @@ def test_base_scores_and_counts(spark):
             assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(tokens), sum(counts[t] > 0 for t in tokens), n)
 
 
-def test_a_bounded_tree_still_scores(spark):
-    texts = [" ".join(words(i, 200)) for i in range(20)]
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    full, small = (L.score(df, L.train(df, max_entries=m), ["doc_id"]).agg(F.sum("score")).first()[0] for m in (10**6, 300))
-    uniform = -sum(len(t) + 1 for t in texts) * math.log10(256)
-    assert uniform * 0.5 < small <= full < 0
+def test_the_end_is_no_byte_of_a_text(spark):
+    texts = ["abab", "abab\0", "abab\1", "abab\0\0", "ABAB"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").withColumns({"__row": F.lit(1), "__text": F.lit("x"), "key": F.lit(2)})
+    model = L.train(df.where("doc_id = 0"), depth=3, head_grams=0)
+    got = {r["doc_id"]: r["score"] for r in L.score(df, model, ["doc_id"]).collect()}
+    assert len({round(v, 6) for i, v in got.items() if i < 4}) == 4 and got[4] == got[0]
+    told = {r["doc_id"]: r["score"] for r in L.score(df, model, ["doc_id"], trained=F.col("doc_id") == 0).collect()}
+    assert told == got
 
 
 def test_awkward_rows(spark):
