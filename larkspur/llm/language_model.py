@@ -31,7 +31,7 @@ DEPTH = 6
 #: The symbol around texts: no lower-cased text has it.
 END = 65
 #: Mixtures (context, byte) that are broadcast, at most; the others are joined.
-HEAD_GRAMS = 1 << 20
+HEAD_GRAMS = 1 << 21
 #: Entries (context, byte) of a slice of the tree, on average.
 SLICE_ENTRIES = 100_000
 #: A token is in the broadcast head if it is at least one in so many of all tokens; so the head has no more tokens.
@@ -72,7 +72,7 @@ class Table:
     """uint64 -> float64 in open addressing, looked up for whole arrays."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 2.5))))
+        self.bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 1.6))))
         size = 1 << self.bits
         self.keys = np.full(size, np.uint64((1 << 64) - 1))
         self.values = np.zeros(size, values.dtype)

