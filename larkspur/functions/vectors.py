@@ -49,6 +49,11 @@ def diagnostics(a: Column) -> Column:
     return F.struct(F.size(a).alias("dim"), norm(a).alias("norm"), F.array_min(a).alias("min"), F.array_max(a).alias("max"), nan.alias("has_nan"), inf.alias("has_inf"), F.slice(a, 1, 8).alias("first8"))
 
 
+def hash_prefix(content: Column, digits: int = 64) -> Column:
+    """The first hex digits of the sha256 of bytes (a vector's blob, a model file); all 64 by default."""
+    return F.substring(F.sha2(content, 256), 1, digits)
+
+
 def average_hash(pixels: Column) -> Column:
     """64 values as 64 bits, the first the highest: 1 where a value is at least their mean."""
     mean = F.aggregate(pixels, F.lit(0.0), lambda s, x: s + x.cast("double")) / F.size(pixels)

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from .ranking import limit_per_group, running_total
+
 
 def source_coverage(rows: DataFrame, card: str, group: Column, source: str, primary: str, first: str = "tcgplayer", second: str = "cardmarket", cards: DataFrame | None = None) -> DataFrame:
     """Per group eleven counters of cards with either, both, one or no source, primaries and rows.
@@ -75,17 +77,29 @@ def price_totals(rows: DataFrame) -> DataFrame:
 
 
 def label_map(df: DataFrame, column: str) -> DataFrame:
-    """Distinct values with a dense index from 0 in their order. Distinct values are ranked by one sorted pass."""
-    from pyspark.sql import Window as W
-
+    """Distinct values with a dense index from 0 in their order; no task holds all values."""
     distinct = df.select(column).where(F.col(column).isNotNull()).distinct()
-    return distinct.withColumn("label", F.row_number().over(W.orderBy(column)) - 1)
+    return running_total(distinct, [column], F.lit(1), "label").withColumn("label", F.col("label").cast("int"))
+
 
+def flagged(df: DataFrame, key: str, flags: dict[str, Column], most: int = 1000) -> DataFrame:
+    """For each flag its count and the first `most` keys that have it, in order; the keys are an excerpt by definition."""
+    each = df.select(F.col(key).cast("string").alias("key"), F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in flags.items()]))).alias("flag"))
+    counts = each.groupBy("flag").agg(F.count("*").alias("n"))
+    keys = limit_per_group(each, ["flag"], [F.col("key")], most).groupBy("flag").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    return counts.join(keys, "flag")
 
-def skip_report(df: DataFrame, locale: str, reason: str) -> DataFrame:
-    """Skips by locale and by reason."""
+
+def skip_report(df: DataFrame, locale: str, reason: str, example: str | None = None, examples: int = 20) -> DataFrame:
+    """Skips by locale and by reason; with `example` (a name of rows) also the first `examples` of them, n their place."""
     grouped = df.groupingSets([[locale], [reason]], locale, reason).agg(F.grouping_id().alias("g"), F.count("*").alias("n"))
-    return grouped.select(F.when(F.col("g") == 1, "locale").otherwise("reason").alias("dimension"), F.coalesce(locale, reason).alias("value"), "n")
+    out = grouped.select(F.when(F.col("g") == 1, "locale").otherwise("reason").alias("dimension"), F.coalesce(locale, reason).alias("value"), "n")
+    if example is None:
+        return out
+    from pyspark.sql import Window as W
+
+    first = df.select(F.col(example).alias("__x")).orderBy("__x").limit(examples)
+    return out.union(first.select(F.lit("example"), F.col("__x").cast("string"), F.row_number().over(W.orderBy("__x")).cast("long")))
 
 
 def line_hash(df: DataFrame, line: Column, keys: Sequence[str], digits: int = 3) -> DataFrame:

@@ -7,19 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes under which a side is hinted for broadcast when the caller states its size; AQE decides otherwise.
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A broadcast hint only where a count shows at most `limit` rows."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
 def pick_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column], columns: Sequence[str] | None = None) -> DataFrame:
-    """One row per key: the smallest by `order`. An aggregate, so a key with many rows is combined before the shuffle."""
+    """One row per key: the smallest by `order`, of equal ones the smallest by its columns, so that arrival decides nothing.
+
+    An aggregate, so a key with many rows is combined before the shuffle.
+    """
     names = [c for c in (columns or df.columns) if c not in keys]
-    rank = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
+    kinds = dict(df.dtypes)
+    last = [F.col(c) for c in names if not any(k in kinds[c] for k in ("map<", "variant"))]  # those have no order
+    rank = F.struct(*[o.alias(f"o{i}") for i, o in enumerate([*order, *last])])
     best = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in names]), rank).alias("__row"))
     return best.select(*keys, *[F.col("__row")[c].alias(c) for c in names])
 

@@ -1,7 +1,7 @@
 """Rankings: stratified samples, budgets, circuit breaker, retention, splits.
 
 A global running total is computed over per-row costs after the rows have been reduced to what it needs (sets, not cards);
-where rows are many, `running_total` sums range partitions first, so no task holds all rows.
+where rows are many, `running_total` sums ranges first, so no task holds all rows.
 """
 
 from __future__ import annotations
@@ -13,13 +13,25 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def running_total(df: DataFrame, order: Sequence[str], value: Column, name: str, groups: int = 256) -> DataFrame:
+def running_total(df: DataFrame, order: Sequence[str], value: Column, name: str, groups: int = 128) -> DataFrame:
     """`name`: the sum of `value` over all earlier rows by `order` (0 for the first), without a single-partition window.
 
-    Rows are dealt by range into partitions; each is summed, the sums (one a partition) are accumulated, and the offset is
-    added to the running sum within the partition. `order` must be total.
+    Rows are dealt to ranges by bounds that are read once, from a sample by hash of about 16 rows a range, and then stand in
+    the plan as values; so both uses of a range (its sum, the running sum within it) mean the same rows. Each range is
+    summed, the sums (one a range) are accumulated, and the offset is added to the running sum within the range. `order`
+    must be total; nulls come first.
     """
-    dealt = df.repartitionByRange(groups, *order).withColumn("__part", F.spark_partition_id()).withColumn("__value", value)
+    key = F.struct(*[F.col(c) for c in order])
+    rows = df.count()
+    sampled = df.select(*order).where(F.pmod(F.xxhash64(*order), F.lit(max(1, rows // (16 * groups)))) == 0).distinct().orderBy(*order).collect()
+    bounds = sampled[:: max(1, len(sampled) // groups)][1:]
+    dealt = df.withColumn("__value", value)
+    if not bounds:
+        dealt = dealt.withColumn("__part", F.lit(0))
+    else:
+        types = df.select(*order).schema
+        held = df.sparkSession.createDataFrame(bounds, types).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("__bounds"))
+        dealt = dealt.crossJoin(F.broadcast(held)).withColumn("__part", F.size(F.filter("__bounds", lambda b: b <= key))).drop("__bounds")  # one row on that side
     sums = dealt.groupBy("__part").agg(F.sum("__value").alias("__sum"))
     before = sums.withColumn("__offset", F.coalesce(F.sum("__sum").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("__part", "__offset")
     inside = F.coalesce(F.sum("__value").over(W.partitionBy("__part").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
@@ -76,8 +88,22 @@ def circuit_breaker(df: DataFrame, provider: str, order: str, error: Column, hit
     return state.withColumn("attempted", stop.isNull() | (F.col(order) < stop))
 
 
+def breaker_attempts(df: DataFrame, provider: str, order: str, error: Column, hit: Column, threshold: int = 5) -> DataFrame:
+    """`attempted` alone, as circuit_breaker tells it, without ordering a provider's rows: a provider stops after its
+    `threshold`-th error if that comes before its first hit. Both are aggregates, so one provider may hold all rows."""
+    marked = df.select(F.col(provider).alias("__p"), F.col(order).alias("__o"), error.alias("__e"), hit.alias("__h"))
+    errors = limit_per_group(marked.where("__e"), ["__p"], [F.col("__o")], threshold).groupBy("__p").agg(F.count("*").alias("n"), F.max("__o").alias("__last"))
+    hits = marked.where("__h").groupBy("__p").agg(F.min("__o").alias("__first"))
+    stops = errors.where(F.col("n") >= threshold).join(hits, "__p", "left").where("__first is null or __first > __last").select("__p", "__last")
+    out = df.join(stops, F.col(provider).eqNullSafe(F.col("__p")), "left")
+    return out.withColumn("attempted", F.col("__last").isNull() | (F.col(order) <= F.col("__last"))).drop("__p", "__last")
+
+
 def keep_newest(df: DataFrame, keep: int, order: Sequence[Column], by: Sequence[str] = ()) -> DataFrame:
-    """stale: whether a row is beyond the first `keep` by `order` within `by`."""
+    """stale: whether a row is beyond the first `keep` by `order` within `by`.
+
+    Without `by` all rows meet in one task: that is for listings of releases, of which there are dozens.
+    """
     return df.withColumn("stale", F.row_number().over(W.partitionBy(*by).orderBy(*order)) > keep)
 
 

@@ -59,7 +59,7 @@ def fallback_prices(gaps: DataFrame, bulk: DataFrame | None, single: DataFrame |
         fits = T.provider_matches(F.col("set_given"), F.col("no"), F.col("set_name"), F.col("card_number"))
         best = matching.search_match(found, "id", fits & ~F.coalesce("error", F.lit(False)), "pos").select("id", P.bulk_price(F.col("card")).alias("single"))
         asked = lacking.join(best, "id", "left").join(single.groupBy("id").agg(F.max("error").alias("error")), "id", "left").withColumn("provider", F.lit("ppt"))
-        open_ = ranking.circuit_breaker(asked, "provider", "ord", F.coalesce("error", F.lit(False)), F.col("single").isNotNull(), error_threshold)
+        open_ = ranking.breaker_attempts(asked, "provider", "ord", F.coalesce("error", F.lit(False)), F.col("single").isNotNull(), error_threshold)
         out = out.join(open_.where("attempted").select("id", "single"), "id", "left")
     else:
         out = out.withColumn("single", none)
@@ -67,7 +67,7 @@ def fallback_prices(gaps: DataFrame, bulk: DataFrame | None, single: DataFrame |
         rest = out.where("single is null").join(lacking.select("id"), "id", "left_semi").join(slugs.select(F.col("key").alias("set_id"), "slug"), "set_id")
         side = matching.pick_first(other, ["slug", "number"], [F.lit(0)])
         asked = rest.join(side.withColumnRenamed("number", "card_number"), ["slug", "card_number"], "left").withColumn("provider", F.lit("poketrace")).withColumn("other", P.condition_price(F.col("card")))
-        open_ = ranking.circuit_breaker(asked, "provider", "ord", F.coalesce("error", F.lit(False)), F.col("other").isNotNull(), error_threshold)
+        open_ = ranking.breaker_attempts(asked, "provider", "ord", F.coalesce("error", F.lit(False)), F.col("other").isNotNull(), error_threshold)
         out = out.join(open_.where("attempted").select("id", "other"), "id", "left")
     else:
         out = out.withColumn("other", none)

@@ -58,7 +58,13 @@ def load(name: str) -> Fetch:
 
 
 class PagedRest(DataSource):
-    """format("paged_rest"): page int, pos int, item string. Options: url with {page} or {cursor}, fetch, items, page_size, max_pages, cursor (member of the next cursor)."""
+    """format("paged_rest"): page int, pos int, item string. Options: url with {page} or {cursor}, fetch, items, page_size,
+    max_pages, cursor (path of the next cursor, as pagination.nextCursor), more (path of a flag that more pages follow),
+    total (path of the number of all items), select (columns, appended to the url).
+
+    A listing by cursor ends without a further one, where the flag says no, at a cursor met before, and at max_pages; one by
+    pages at an empty or short page, or once it has `total` items.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -71,6 +77,13 @@ class PagedRest(DataSource):
         return _PagedReader(dict(self.options))
 
 
+def _at(payload: object, path: str | None) -> object:
+    """The value at a path of member names; None if any is missing."""
+    for name in (path or "").split("."):
+        payload = payload.get(name) if isinstance(payload, dict) else None
+    return payload
+
+
 class _PagedReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = options
@@ -83,11 +96,16 @@ class _PagedReader(DataSourceReader):
         fetch = load(o.get("fetch", "larkspur.sources.http:get_url"))
         size, most, cursor = int(o.get("page_size", 100)), int(o.get("max_pages", 200)), ""
         seen: set[str] = set()
+        cursors, got = {cursor}, 0
+        listing = partition.value
+        if o.get("select"):
+            listing += ("&" if "?" in listing else "?") + "select=" + o["select"]
         for page in range(1, most + 1):
-            body = with_retries(fetch, partition.value.replace("{page}", str(page)).replace("{cursor}", cursor))
+            body = with_retries(fetch, listing.replace("{page}", str(page)).replace("{cursor}", cursor))
             payload = json.loads(body) if body else None
-            rows = payload.get(o["items"]) if o.get("items") and isinstance(payload, dict) else payload
+            rows = _at(payload, o["items"]) if o.get("items") and isinstance(payload, dict) else payload
             rows = rows if isinstance(rows, list) else []
+            got += len(rows)
             for pos, item in enumerate(rows):
                 key = str(item.get(o.get("id", "id")) or "") if isinstance(item, dict) else ""
                 if key and key in seen:
@@ -95,11 +113,11 @@ class _PagedReader(DataSourceReader):
                 seen.add(key)
                 yield page, pos, json.dumps(item, ensure_ascii=False)
             if o.get("cursor"):
-                following = str((payload or {}).get(o["cursor"]) or "")
-                if not following or following == cursor:
+                cursor = str(_at(payload, o["cursor"]) or "")
+                if cursor in cursors or (o.get("more") and not _at(payload, o["more"])):
                     return
-                cursor = following
-            elif len(rows) < size:
+                cursors.add(cursor)
+            elif not rows or len(rows) < size or (o.get("total") and isinstance(total := _at(payload, o["total"]), int) and got >= total):
                 return
 
 

@@ -28,6 +28,17 @@ def detail_cache(spark: SparkSession, path: str | Sequence[str], key: Sequence[s
     return last_wins_index(keyed, key, "ord").drop("ord")
 
 
+def parse_locales(text: str | None, known: tuple[str, ...] = ("en",)) -> tuple[str, ...]:
+    """A list of locales: parts are trimmed and repeats left out; blank means all `known`. Only commas, or a locale that is
+    not known, is an error."""
+    if not (text or "").strip():
+        return known
+    out = tuple(dict.fromkeys(p.strip().lower() for p in text.split(",") if p.strip()))
+    if not out or not set(out) <= set(known):
+        raise ValueError(f"locales must be among {', '.join(known)}: {text!r}")
+    return out
+
+
 def cached_listing(cache: DataFrame, locale: str, complete: bool = False) -> DataFrame | None:
     """The cached rows of a locale as its listing; only where the caller says that the cache is complete."""
     return cache.where(F.col("locale") == locale) if complete else None

@@ -9,7 +9,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from larkspur.plans import catalog
+from larkspur.plans import catalog, price_queries
 
 SF = "/root/testdata/sf0.001"
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -32,9 +32,12 @@ def tidy(df, cols):
     return sorted(tuple(one(x) for x in row) for row in df[cols].astype(object).itertuples(index=False))
 
 
-@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+ALL, SQL = {**catalog.QUERIES, **price_queries.QUERIES}, {**catalog.ORACLE, **price_queries.ORACLE}
+
+
+@pytest.mark.parametrize("name", sorted(ALL))
 def test_query_equals_sql(spark, con, name):
-    got, want = catalog.QUERIES[name](spark, SF).toPandas(), con.sql(catalog.ORACLE[name]).df()
+    got, want = ALL[name](spark, SF).toPandas(), con.sql(SQL[name]).df()
     cols = sorted(want.columns)
     assert sorted(got.columns) == cols
     assert tidy(got, cols) == tidy(want, cols)

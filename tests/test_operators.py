@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from larkspur.operators import checks, coverage, matching, merging, ranking, retrieval
@@ -176,3 +177,40 @@ def test_metrics_rank_bounds(spark):
     clips = spark.createDataFrame([("a", 0, 9), ("a", 1, 1), ("b", 0, 8)], "c string, f int, r int")
     m = retrieval.clip_metrics(clips, "c", "f", "r").first()
     assert (m["clip_count"], m["clip_topk_success_rate"], m["mean_first_top1_frame"]) == (2, 0.5, 1.0)
+
+
+def test_running_total_of_two_million_rows_with_a_payload(spark):
+    """Ranges of both uses are the same rows, whatever columns each reads."""
+    df = spark.range(2_000_000).selectExpr("cast(id * 7919 % 2000003 as int) as k", "id % 5 as v", "concat('payload ', id) as payload")
+    out = ranking.running_total(df, ["k"], F.col("v"), "before")
+    wrong = out.withColumn("next", F.lead("before").over(W.partitionBy(F.lit(1)).orderBy("k"))).where("next <> before + v or length(payload) < 9").count()
+    ends = out.agg(F.min("before"), F.max(F.col("before") + F.col("v"))).first()
+    assert wrong == 0 and tuple(ends) == (0, 4_000_000)
+
+
+def test_running_total_of_nulls_and_two_keys(spark):
+    rows = [(None, 2, 1), (None, 1, 10), ("a", 1, 100), ("b", None, 1000), ("b", 3, 10000)]
+    df = spark.createDataFrame(rows, "a string, b int, v long")
+    got = {(r["a"], r["b"]): r["t"] for r in ranking.running_total(df, ["a", "b"], F.col("v"), "t", groups=2).collect()}
+    assert got == {(None, 1): 0, (None, 2): 10, ("a", 1): 11, ("b", None): 111, ("b", 3): 1111}
+    assert ranking.running_total(df.limit(0), ["a", "b"], F.col("v"), "t").count() == 0
+
+
+def test_a_breaker_without_order_stops_where_the_ordered_one_does(spark):
+    import random
+
+    draw, rows = random.Random(4), []
+    for p in range(60):
+        rows += [(f"p{p}" if p else None, i, draw.choice(["error", "error", "none", "hit"] if p % 2 else ["error", "none"]), draw.random() < 0.1) for i in range(12)]
+    df = spark.createDataFrame(rows, "p string, i int, k string, both boolean")
+    error, hit = (F.col("k") == "error") | F.col("both"), (F.col("k") == "hit") | F.col("both")
+    a = {(r["p"], r["i"]): r["attempted"] for r in ranking.circuit_breaker(df, "p", "i", error, hit, 3).collect()}
+    b = {(r["p"], r["i"]): r["attempted"] for r in ranking.breaker_attempts(df, "p", "i", error, hit, 3).collect()}
+    assert {k: v for k, v in a.items() if k[0]} == {k: v for k, v in b.items() if k[0]} and False in b.values()
+
+
+def test_equal_ranks_are_settled_by_the_row(spark):
+    rows = [("k", "b", 1), ("k", "a", 2), ("k", "a", 1)]
+    for turn in (rows, rows[::-1]):
+        got = matching.pick_first(spark.createDataFrame(turn, "key string, x string, y int"), ["key"], [F.lit(0)]).first()
+        assert (got["x"], got["y"]) == ("a", 1)

@@ -165,3 +165,31 @@ def test_picture_steps():
         assert one.shape == base.shape and (one == two).all() and (one != base).any()
     assert images.perturb(base, np.random.default_rng(1)).shape == base.shape
     assert images.frame_pixels(a).shape == (64,)
+
+
+def cursor_fetch(url):
+    """Cursors a, b, c and then a again; the flag ends it earlier where it is asked for."""
+    after = {"": "a", "a": "b", "b": "c", "c": "a"}
+    at = url.split("cursor=")[1].split("&")[0]
+    return 200, json.dumps({"data": {"rows": [{"id": f"row{at}"}]}, "pagination": {"nextCursor": after[at], "hasMore": at != "b"}}), {}
+
+
+def total_fetch(url):
+    assert url.endswith("&select=id,number")
+    page = int(url.split("page=")[1].split("&")[0])
+    return 200, json.dumps({"totalCount": 4, "data": [{"id": f"{page}-{i}"} for i in range(2)]}), {}
+
+
+def test_nested_cursors_cycles_and_totals(spark):
+    listing = lambda **o: [json.loads(r["item"])["id"] for r in spark.read.format("paged_rest").options(**o).load().orderBy("page", "pos").collect()]
+    by_cursor = {"url": "http://x?cursor={cursor}", "items": "data.rows", "cursor": "pagination.nextCursor", "fetch": "tests.test_sources:cursor_fetch"}
+    assert listing(**by_cursor) == ["row", "rowa", "rowb", "rowc"]
+    assert listing(**by_cursor, more="pagination.hasMore") == ["row", "rowa", "rowb"]
+    assert listing(url="http://x?page={page}", items="data", page_size="2", total="totalCount", select="id,number", fetch="tests.test_sources:total_fetch") == ["1-0", "1-1", "2-0", "2-1"]
+
+
+def test_locales():
+    assert readers.parse_locales(" ") == readers.parse_locales(None) == ("en",) and readers.parse_locales("ja, en ,ja", ("en", "ja")) == ("ja", "en")
+    for bad in (" , ,", "xx", "en,xx"):
+        with pytest.raises(ValueError):
+            readers.parse_locales(bad)
