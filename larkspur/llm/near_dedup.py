@@ -13,7 +13,8 @@ those to one hub per node, then, for the pairs whose ends are still in different
 neighbours leave open is settled in the end: in a bucket that holds several groups, the texts outside of its largest group
 are held against all texts of other groups. One minus the similarity is a metric, so two texts whose distances from the
 leader differ by more than 1 - threshold are no link, and the join skips them by its key. So the groups are those of all
-pairs that share a band.
+pairs that share a band. Sets travel as 32-bit names; a pair so near to the threshold that a collision could decide it is
+counted again by 64-bit names.
 """
 
 from __future__ import annotations
@@ -154,18 +155,26 @@ def _sketch(width: int, bands: int, rows_per_band: int):
     return run
 
 
-def _shingle_sets(width: int):
+def _shingle_sets(width: int, wide: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, end, data, offsets in common.text_slices(batch.column(1)):
                 elements, rows, counts = weighted_elements(data, offsets, width)
                 bounds = np.concatenate([[0], np.cumsum(np.bincount(rows, counts, end - start))]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(bounds, _signed(units(elements, counts)))
+                names = units(elements, counts)
+                lists = pa.ListArray.from_arrays(bounds, _signed(names) if wide else (names >> np.uint64(32)).astype(np.uint32).view(np.int32))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), lists], names=["__tid", "__set"])
 
     return run
 
 
+def _sets(base: DataFrame, ends: DataFrame, width: int, wide: bool) -> DataFrame:
+    """__tid and __set, the names of all units of weight, of the texts in `ends`."""
+    shown = base.select("__tid", "__text").join(common.broadcast_if_small(ends), "__tid", "left_semi")
+    sets = shown.mapInArrow(_shingle_sets(width, wide), f"__tid binary, __set array<{'long' if wide else 'int'}>")
+    return common.table(sets.groupBy("__tid").agg(F.first("__set").alias("__set")))
+
+
 def _neighbours(reach: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last = None
@@ -183,22 +192,44 @@ def _neighbours(reach: int):
     return run
 
 
-def _similar(x: str, y: str, threshold: float) -> Column:
-    """Whether two multisets have at least this weighted Jaccard similarity; their sizes are looked at first."""
+def _similar(x: str, y: str, threshold: float, doubt: Column | float = 0.0) -> Column:
+    """Whether two multisets have at least this weighted Jaccard similarity, if `doubt` units more were shared; their sizes are looked at first."""
     shared = F.size(F.array_intersect(x, y))
     able = F.least(F.size(x), F.size(y)) >= threshold * F.greatest(F.size(x), F.size(y)) - 1e-9
-    return able & (shared * (1 + threshold) >= threshold * (F.size(x) + F.size(y)) - 1e-9)  # names `shared` once, so it is computed once
+    return able & ((shared + doubt) * (1 + threshold) >= threshold * (F.size(x) + F.size(y)) - 1e-9)  # names `shared` once, so it is computed once
+
+
+def _doubt(x: str, y: str) -> Column:
+    """Units by which 32-bit names may miscount what two texts share: their collisions are a Poisson number of mean n * n / 2 ** 33."""
+    both = (F.size(x) + F.size(y)).cast("double")
+    return 2 + 8 * both * both / 2.0**33
+
+
+def _settled(found: DataFrame, base: DataFrame, threshold: float, width: int) -> DataFrame:
+    """(a, b) of the pairs of `found` that are links: those that are `sure`, and of the others those that 64-bit names confirm."""
+    found = common.cut(found)
+    unsure = found.where("not sure").select("a", "b")
+    if unsure.isEmpty():
+        return found.select("a", "b")
+    ends = common.cut(unsure.select(F.col("a").alias("__tid")).union(unsure.select("b")).distinct())
+    sets = _sets(base, ends, width, wide=True)
+    left, right = (sets.select(F.col("__tid").alias(n), F.col("__set").alias(f"set_{n}")) for n in ("a", "b"))
+    exact = common.cut(unsure.join(left, "a").join(right, "b").where(_similar("set_a", "set_b", threshold)).select("a", "b"))
+    common.forget(sets)
+    return found.where("sure").select("a", "b").union(exact)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose multisets have at least this weighted Jaccard similarity."""
+    """a, b and sure of the pairs whose multisets may have at least this weighted Jaccard similarity."""
     left = sets.select(F.col("__tid").alias("a"), F.col("__set").alias("x"))
     right = sets.select(F.col("__tid").alias("b"), F.col("__set").alias("y"))
-    return pairs.join(left, "a").join(right, "b").where(_similar("x", "y", threshold)).select("a", "b")
+    likely = pairs.join(left, "a").join(right, "b").where(_similar("x", "y", threshold, _doubt("x", "y")))
+    return likely.select("a", "b", _similar("x", "y", threshold, -_doubt("x", "y")).alias("sure"))
 
 
 def _links_across(members: DataFrame, nodes: DataFrame, grouped: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The links (a, b) between texts that share a bucket but are in different groups; a pair is counted in its first bucket.
+    """a, b and sure of likely links between texts that share a bucket but are in different groups; a pair is counted in its
+    first bucket.
 
     Only buckets that hold several groups are looked at. Their texts outside of the largest group (the strangers, b) are
     held against all others (a) whose distance from the leader lies within reach; the test stands in the join, so pairs
@@ -211,25 +242,31 @@ def _links_across(members: DataFrame, nodes: DataFrame, grouped: DataFrame, sets
     mixed = groups.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("groups")).where("groups > 1")
     mixed = common.cut(mixed.select("bucket", F.col("most.root").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
     if mixed.isEmpty():
-        return members.select(F.col("tid").alias("a"), F.col("tid").alias("b")).limit(0)
+        return members.select(F.col("tid").alias("a"), F.col("tid").alias("b"), F.lit(True).alias("sure")).limit(0)
     several = placed.join(common.broadcast_if_small(mixed), "bucket")
     heads = several.select("bucket", F.col("leader").alias("__tid")).distinct().join(sets, "__tid").select("bucket", F.col("__set").alias("head"))
     full = several.join(nodes.select(F.col("__tid").alias("tid"), "__bands"), "tid").join(sets.withColumnRenamed("__tid", "tid"), "tid").join(heads, "bucket")
     shared, x = F.size(F.array_intersect("__set", "head")), F.col("__set")
-    reach = 1 - threshold + 1e-6
+    # distances by 32-bit names are off by what they may miscount
+    reach = 1 - threshold + 0.02
     before = F.slice("__bands", F.lit(1), F.array_position("__bands", F.col("bucket")).cast("int") - 1)
     full = full.select("bucket", "tid", "root", "main", "blocks", before.alias("before"), x, (F.size(x) + F.size("head")).alias("both"), shared.alias("shared"))
     far = 1 - F.col("shared") / (F.col("both") - F.col("shared"))
     full = common.table(full.withColumn("far", far).withColumn("ring", F.floor(F.col("far") / reach).cast("int")).drop("both", "shared"))
     names = ("tid", "root", "far", "before", "__set")
-    left = full.select("bucket", "ring", F.pmod(F.xxhash64("tid"), "blocks").cast("int").alias("block"), "main", *[F.col(c).alias(f"{c}_a") for c in names]).repartition(parts, "bucket", "ring", "block")
+    strangers = full.where("root <> main")
+    rings = common.cut(strangers.select("bucket", F.explode(F.sequence(F.col("ring") - 1, F.col("ring") + 1)).alias("ring")).distinct())
+    reached = full.join(common.broadcast_if_small(rings), ["bucket", "ring"], "left_semi")
+    left = reached.select("bucket", "ring", F.pmod(F.xxhash64("tid"), "blocks").cast("int").alias("block"), "main", *[F.col(c).alias(f"{c}_a") for c in names]).repartition(parts, "bucket", "ring", "block")
     near = F.explode(F.sequence(F.col("ring") - 1, F.col("ring") + 1))
-    right = full.where("root <> main").select(F.col("bucket").alias("bucket_b"), near.alias("ring_b"), "blocks", *[F.col(c).alias(f"{c}_b") for c in names])
+    right = strangers.select(F.col("bucket").alias("bucket_b"), near.alias("ring_b"), "blocks", *[F.col(c).alias(f"{c}_b") for c in names])
     right = right.withColumn("block_b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks").repartition(parts, "bucket_b", "ring_b", "block_b")
     same = (F.col("bucket") == F.col("bucket_b")) & (F.col("ring") == F.col("ring_b")) & (F.col("block") == F.col("block_b"))
     once = (F.col("root_a") == F.col("main")) | (F.col("tid_a") < F.col("tid_b"))
     open_ = once & (F.col("root_a") != F.col("root_b")) & (F.abs(F.col("far_a") - F.col("far_b")) <= reach) & ~F.arrays_overlap("before_a", "before_b")
-    return left.join(right, same & open_ & _similar("__set_a", "__set_b", threshold)).select(F.least("tid_a", "tid_b").alias("a"), F.greatest("tid_a", "tid_b").alias("b"))
+    doubt = _doubt("__set_a", "__set_b")
+    likely = left.join(right, same & open_ & _similar("__set_a", "__set_b", threshold, doubt))
+    return likely.select(F.least("tid_a", "tid_b").alias("a"), F.greatest("tid_a", "tid_b").alias("b"), _similar("__set_a", "__set_b", threshold, -doubt).alias("sure"))
 
 
 def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, width: int = 5, bands: int = BANDS, rows: int = ROWS, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -240,7 +277,7 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, width: int =
     first row by doc_id. Words are runs of ASCII letters, digits and bytes above 127, ASCII case folded; a text of 1 to
     width - 1 words has one shingle of them all; wordless texts equal only themselves, null counts as the empty text. Null
     doc_ids come after all others. Repeated rows are equal texts: of rows with the same doc_id and text all are marked
-    alike, and deduplicate() leaves one of them. Shingles are compared by 64-bit hashes.
+    alike, and deduplicate() leaves one of them. Shingles are compared by 64-bit hashes where 32 bits leave a pair in doubt.
     """
     base = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     base = base.select("doc_id", F.unhex(F.md5("__text")).alias("__tid"), "__text")
@@ -261,20 +298,18 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, width: int =
     pairs = common.cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
 
     ends = common.cut(pairs.select(F.col("a").alias("__tid")).union(pairs.select("b")).distinct())
-    shown = base.select("__tid", "__text").join(common.broadcast_if_small(ends), "__tid", "left_semi")
-    sets = shown.mapInArrow(_shingle_sets(width), "__tid binary, __set array<long>")
-    sets = common.table(sets.groupBy("__tid").agg(F.first("__set").alias("__set")))
+    sets = _sets(base, ends, width, wide=False)
 
     hubs = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = common.cut(_verified(hubs, sets, threshold))
+    links = _settled(_verified(hubs, sets, threshold), base, threshold, width)
     grouped = connected_components(links)
     rest = pairs.join(hubs, ["a", "b"], "left_anti")
     for end in ("a", "b"):
         rest = rest.join(grouped.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
     rest = rest.where("not (coalesce(root_a, a) <=> coalesce(root_b, b))").select("a", "b")
-    links = links.union(common.cut(_verified(rest, sets, threshold)))
+    links = links.union(_settled(_verified(rest, sets, threshold), base, threshold, width))
     grouped = connected_components(links)
-    last = common.cut(_links_across(members, nodes, grouped, sets, threshold))
+    last = common.cut(_settled(_links_across(members, nodes, grouped, sets, threshold), base, threshold, width))
     if not last.isEmpty():
         grouped = connected_components(links.union(last))
 
