@@ -32,7 +32,7 @@ LARGE = 0.002
 #: Equal texts of up to so many times the size of the largest document are never cut.
 COPIES = 8
 #: Rows of a cell that are numbered in one task, on average.
-NUMBERED = 20_000
+NUMBERED = 1_000
 
 
 def _hash(name: str) -> int:
