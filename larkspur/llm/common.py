@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 250_000
 #: Bytes of text that one numpy pass works on.
 SLICE_BYTES = 1 << 20
+#: Bytes of an Arrow batch on its way to a Python worker; by rows alone, 10,000 long texts would be one batch.
+BATCH_BYTES = 1 << 22
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -57,6 +60,14 @@ def forget(*tables: DataFrame) -> None:
                 path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def batched(df: DataFrame) -> DataFrame:
+    """`df`, to be read by a Python function in batches of about BATCH_BYTES, or as the session sets them."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_SETTING, None) is None:
+        conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return df
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only where a count shows at most `limit` rows; a larger side is joined by a shuffle."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

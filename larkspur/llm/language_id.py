@@ -190,7 +190,7 @@ def identify(docs: DataFrame, refs: tuple[tuple[str, bytes], ...], keep: list[st
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes) if keep else ""
     # a kept text is not sent to Python twice
     chosen = docs.select(*keep) if text in keep else docs.select(*keep, F.col(text).alias("__text"))
-    return chosen.mapInArrow(_predict(refs, text if text in keep else "__text"), (schema + ", " if schema else "") + "lang_pred string, score double, bits_per_byte double")
+    return common.batched(chosen).mapInArrow(_predict(refs, text if text in keep else "__text"), (schema + ", " if schema else "") + "lang_pred string, score double, bits_per_byte double")
 
 
 def keep_identified(docs: DataFrame, refs: tuple[tuple[str, bytes], ...], text: str = "text") -> DataFrame:

@@ -324,7 +324,7 @@ class Model:
 
 def train(docs: DataFrame, depth: int = DEPTH, head: int = HEAD, text: str = "text", head_grams: int = HEAD_GRAMS) -> Model:
     """Count all of `docs` and build the model. Null texts are empty; an empty table gives a model that knows nothing."""
-    counted = docs.select(F.col(text).alias("t")).mapInArrow(_count(depth), "kind int, key long, n long")
+    counted = common.batched(docs.select(F.col(text).alias("t"))).mapInArrow(_count(depth), "kind int, key long, n long")
     counts = common.table(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")))
     sums = {r["kind"]: r for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).collect()}
     ends = int(sums[2]["n"]) if 2 in sums else 0
@@ -387,7 +387,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", tr
     shared = spark.sparkContext.broadcast((model.known, model.head))
     chosen = docs.select(*keep, F.coalesce(F.lit(False) if trained is None else trained, F.lit(False)).alias("__trained"), F.col(text).alias("__text"))
     schema = "".join(f"`{c}` {t}, " for c, t in docs.select(*keep).dtypes) + "__trained boolean, __row long, n_tokens long, __known long, __base double, __score double, __rare array<long>, __grams array<long>"
-    told = common.table(chosen.mapInArrow(_score(shared, model.tree.depth, model.total, model.distinct, model.ends, [*keep, "__trained"]), schema))
+    told = common.table(common.batched(chosen).mapInArrow(_score(shared, model.tree.depth, model.total, model.distinct, model.ends, [*keep, "__trained"]), schema))
     norm = float(np.log10(model.total + 0.1 * (model.distinct + 1)))
     each = told.select("__row", F.explode("__rare").alias("key")).join(model.tail, "key", "left")
     seen = F.coalesce(F.col("n"), F.lit(0))

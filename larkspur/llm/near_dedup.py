@@ -171,7 +171,7 @@ def _shingle_sets(width: int, wide: bool):
 def _sets(base: DataFrame, ends: DataFrame, width: int, wide: bool) -> DataFrame:
     """__tid and __set, the names of all units of weight, of the texts in `ends`."""
     shown = base.select("__tid", "__text").join(common.broadcast_if_small(ends), "__tid", "left_semi")
-    sets = shown.mapInArrow(_shingle_sets(width, wide), f"__tid binary, __set array<{'long' if wide else 'int'}>")
+    sets = common.batched(shown).mapInArrow(_shingle_sets(width, wide), f"__tid binary, __set array<{'long' if wide else 'int'}>")
     return common.table(sets.groupBy("__tid").agg(F.first("__set").alias("__set")))
 
 
@@ -282,7 +282,7 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, width: int =
     base = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     base = base.select("doc_id", F.unhex(F.md5("__text")).alias("__tid"), "__text")
     kind = dict(base.dtypes)["doc_id"]
-    signed = base.mapInArrow(_sketch(width, bands, rows), f"doc_id {kind}, __tid binary, __size long, __bands array<long>")
+    signed = common.batched(base).mapInArrow(_sketch(width, bands, rows), f"doc_id {kind}, __tid binary, __size long, __bands array<long>")
     signed = common.table(signed)
     nodes = signed.groupBy("__tid").agg(F.min("doc_id").alias("first_id"), F.max("__size").alias("__size"), F.first("__bands").alias("__bands"))
     nodes = common.table(nodes)

@@ -90,7 +90,7 @@ def _measure(keep: list[str]):
 def measured(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """`keep` columns and STATISTICS for each row; null texts are empty. Repeated rows stay, each with its own."""
     schema = "".join(f"`{c}` {t}, " for c, t in docs.select(*keep).dtypes) + ", ".join(f"{s} double" for s in STATISTICS)
-    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(_measure(keep), schema)
+    return common.batched(docs.select(*keep, F.col(text).alias("__text"))).mapInArrow(_measure(keep), schema)
 
 
 Rule = tuple[tuple[int, bool, float], ...]

@@ -237,4 +237,4 @@ def count_tokens(docs: DataFrame, vocabulary: Vocabulary, keep: list[str], text:
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(tokens), pa.array(scores)], names=[*names, "n_tokens", "best_score"])
 
     schema = "".join(f"`{c}` {t}, " for c, t in docs.select(*keep).dtypes) + "n_tokens long, best_score double"
-    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)
+    return common.batched(docs.select(*keep, F.col(text).alias("__text"))).mapInArrow(run, schema)
