@@ -61,7 +61,7 @@ def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source:
 
 def _share(count: str, total: str, terms: str) -> Column:
     """1 + floor(1000000000 (count + 5) / (total + 5 terms)), in decimals."""
-    return F.expr(f"cast(1 + cast(1000000000 as decimal(10,0)) * cast({count} + 5 as decimal(19,0)) div cast(greatest({total} + 5 * {terms}, 1) as decimal(19,0)) as int)")
+    return F.expr(f"cast(1 + cast(1000000000 as decimal(10,0)) * cast({count} + 5 as decimal(19,0)) div cast(greatest({total} + 5 * {terms}, 5) as decimal(19,0)) as int)")
 
 
 def _packed(ids: np.ndarray, p: np.ndarray) -> bytes:

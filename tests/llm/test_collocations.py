@@ -17,7 +17,7 @@ LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def brute(rows, least, top):
     counts = {}
     for text, lang in rows:
-        f = counts.setdefault(lang or "und", Counter())
+        f = counts.setdefault("und" if lang is None else lang, Counter())
         for piece in re.split("[.,;:!?\x0a-\x0d]", (text or "").translate(LOWER)):
             w = re.findall("[^\x20\x09]+", piece)
             f.update(tuple(w[i : i + k]) for k in (1, 2, 3) for i in range(len(w) - k + 1))

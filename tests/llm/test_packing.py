@@ -25,7 +25,7 @@ def padding(sequences, length=packing.LENGTH):
             at += n
         assert at <= length
         held, paid = held + at, paid + (at if at & (at - 1) == 0 else length)
-    return 1 - held / max(1, paid)
+    return 1 - held / paid if paid else 0.0
 
 
 @settings(max_examples=60, deadline=None)
