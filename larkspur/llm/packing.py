@@ -12,12 +12,15 @@ Documents find their place by rank: a rest has a rank among those of its length,
 from __future__ import annotations
 
 import heapq
+import json
+import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -32,6 +35,8 @@ LEAST_CUT = 8
 NUMBERED = 20_000
 #: Distinct words whose ids a worker remembers.
 REMEMBERED = 1 << 19
+#: Bytes of text whose words are told apart together.
+SLICE = 1 << 22
 #: Words that are turned into ids at once.
 AT_ONCE = 1 << 20
 _RANK_BITS = 48
@@ -158,45 +163,135 @@ def plan(histogram: dict[int, int], length: int = LENGTH, least_cut: int = LEAST
 # -- ids -------------------------------------------------------------------------------------------------------------------
 
 
-class _Ids(dict):
-    """Ids of words by a tokenizer whose normaliser and splitting never look across a space."""
+class _Merges:
+    """The tokenizer's own merges on single words of Latin letters, by tiktoken's core: the same ids for far less time.
+
+    It reads byte-level BPE files with an end of word. The end is a byte that no text holds; it joins the last byte before
+    anything else, as the tokenizer begins with these two as one symbol.
+    """
+
+    END = b"\xff"
+    SIMPLE = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 
     def __init__(self, path: str):
-        import os
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        model, end = file["model"], file["model"].get("end_of_word_suffix")
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printable]
+        byte_of = {chr(b): bytes([b]) for b in printable} | {chr(256 + i): bytes([b]) for i, b in enumerate(others)}
+
+        def raw(token: str) -> bytes:
+            whole = end and token.endswith(end)
+            return b"".join(byte_of[c] for c in (token[: -len(end)] if whole else token)) + (self.END if whole else b"")
+
+        ranks = {bytes([b]) + self.END: b for b in range(255)} | {bytes([b]): 256 + b for b in range(256)}
+        for i, merge in enumerate(model["merges"]):
+            left, right = merge.split(" ") if isinstance(merge, str) else merge
+            ranks.setdefault(raw(left) + raw(right), 512 + i)
+        self.ids = np.zeros(512 + len(model["merges"]), np.int64)
+        for token, i in model["vocab"].items():
+            if (r := ranks.get(raw(token))) is not None:
+                self.ids[r] = i
+        self.core = tiktoken.Encoding("merges", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe
+
+    def word(self, word: str) -> list[int]:
+        return self.core.encode_single_piece(word.lower().encode() + self.END)
+
+    @classmethod
+    def fits(cls, path: str) -> bool:
+        """Whether the file is of this kind: NFC, spaces and lower case, letters split off, bytes, an end of word and no more."""
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        steps = [x["type"] for x in (file["normalizer"] or {}).get("normalizers", [])]
+        split = (file["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        model, pattern = file["model"], split[0].get("pattern", {}).get("Regex", "")
+        plain = model["type"] == "BPE" and model.get("end_of_word_suffix") and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "ignore_merges"))
+        return bool(plain and steps == ["NFC", "Replace", "Lowercase"] and [x.get("type") for x in split] == ["Split", "ByteLevel"] and "[\\p{L}]+" in pattern and not split[1]["add_prefix_space"])
+
+
+class _Ids:
+    """Ids of words by a tokenizer whose normaliser and splitting never look across a space; words met before are remembered."""
 
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.uint16 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
-
-    def words(self, words: list[str]) -> list[np.ndarray]:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > REMEMBERED:
-            self.clear()
+        self.merges = _Merges(path) if _Merges.fits(path) else None
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, self.kind)
+        self.begin = np.zeros(0, np.int64)
+
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> None:
+        simple = [bool(self.merges and self.merges.SIMPLE.fullmatch(w)) for w in words]
+        for of in (True, False):
+            part = [w for w, s in zip(words, simple, strict=True) if s is of]
+            for at in range(0, len(part), 8192):
+                some = part[at : at + 8192]
+                each = [self.merges.word(w) for w in some] if of else self._encode(some)
+                flat = np.fromiter(chain.from_iterable(each), np.int64)
+                flat = (self.merges.ids[flat] if of else flat).astype(self.kind)
+                size = np.fromiter(map(len, each), np.int64, len(each))
+                self.known.update(zip(some, range(len(self.known), len(self.known) + len(some)), strict=True))
+                self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
+                self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
+
+    def places(self, words: list[str]) -> np.ndarray:
+        """The number of each word among those remembered."""
+        new = [w for w in words if w not in self.known]
+        if len(self.known) + len(new) > REMEMBERED:
+            self.forget()
             new = words
-        for at in range(0, len(new), 8192):
-            part = new[at : at + 8192]
-            self.update(zip(part, (np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)), strict=True))
-        return [self[w] for w in words]
+        self._learn(new)
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
     def texts(self, column: pa.Array, end_id: int) -> Iterator[np.ndarray]:
         """The ids of each text, with `end_id` after them."""
-        split = pc.split_pattern(column, " ")
-        words = split.flatten().dictionary_encode()
-        each = self.words(words.dictionary.to_pylist())
-        size = np.array([len(x) for x in each], np.int64)
-        flat, begin = np.concatenate([*each, np.zeros(0, self.kind)]), np.cumsum(size) - size
-        codes, ends = words.indices.to_numpy(), split.offsets.to_numpy() - split.offsets[0].as_py()
-        for a, z in zip(ends[:-1], ends[1:], strict=True):
-            out = []
-            for at in range(a, z, AT_ONCE):
-                code = codes[at : min(z, at + AT_ONCE)]
-                n = size[code]
-                before = np.cumsum(n) - n
-                out.append(flat[np.repeat(begin[code] - before, n) + np.arange(int(n.sum()))])
-            yield np.concatenate([*out, np.array([end_id], self.kind)])
+        for start, end, data, offsets in common.text_slices(column, SLICE):
+            words, row = _cut_words(data, offsets)
+            words = words.dictionary_encode()
+            place = self.places(words.dictionary.to_pylist())[words.indices.to_numpy()]
+            size = self.size[place]
+            ends = np.searchsorted(row, np.arange(end - start), "right")
+            for first, last in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True):
+                out = []
+                for at in range(first, last, AT_ONCE):
+                    p, n = place[at : min(last, at + AT_ONCE)], size[at : min(last, at + AT_ONCE)]
+                    out.append(self.flat[np.repeat(self.begin[p] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))])
+                yield np.concatenate([*out, np.array([end_id], self.kind)])
+
+
+_SPACE = ord(" ")
+_ALNUM = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
+_POINT = np.array([chr(b) in ".,;:!?" for b in range(256)])
+
+
+def _cut_words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """What stands between spaces, cut once more between an ASCII letter or digit and a point after it; and the row of each.
+
+    No step of the tokenizer looks across these places: points are no letters, join none and begin a new run.
+    """
+    inside = data != _SPACE
+    begin = inside.copy()
+    begin[1:] &= ~inside[:-1] | (_POINT[data[1:]] & _ALNUM[data[:-1]])
+    edge = offsets[:-1][offsets[:-1] < len(data)]
+    begin[edge] = inside[edge]
+    starts = np.flatnonzero(begin)
+    if not len(starts):
+        return pa.array([], pa.string()), starts
+    ends = np.cumsum(np.add.reduceat(inside, starts, dtype=np.int32), dtype=np.int32)
+    words = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(np.concatenate([np.zeros(1, np.int32), ends])), pa.py_buffer(data[inside])])
+    return words, np.searchsorted(offsets[1:], starts, "right")
 
 
 _LOADED: dict[str, _Ids] = {}
@@ -218,7 +313,7 @@ def tokenize(docs: DataFrame, tokenizer: str, keep: list[str], text: str = "text
         ids, row = _ids(tokenizer), TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = batch.column(len(keep)).fill_null("").cast(pa.large_string())
-            for start, end, _, _ in common.text_slices(texts):
+            for start, end, _, _ in common.text_slices(texts, SLICE):
                 made = list(ids.texts(texts.slice(start, end - start), end_id))
                 names = np.arange(row, row + len(made))
                 row += len(made)
