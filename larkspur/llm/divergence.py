@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from . import common, words
 
 #: Terms of a slice on average; groups of a block at most, and blocks of a language at least (if it has as many groups).
-SLICE, BLOCK, BLOCKS = 1 << 14, 64, 8
+SLICE, BLOCK, BLOCKS = 1 << 14, 64, 4
 #: Rounds that are written as one table.
 ROUNDS = 8
 
