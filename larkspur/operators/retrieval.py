@@ -1,82 +1,12 @@
-"""Nearest-neighbour retrieval over whole tables, its metrics, and clips of ordered frames.
-
-Similarities are dense matrix products in numpy: references are dealt into blocks and queries into chunks, and one task
-holds one block and one chunk. Each gives the best of its block and how many of its references beat the true one, so
-nothing ever sorts a whole row of similarities.
-"""
+"""Metrics of nearest-neighbour retrieval, and clips of ordered frames."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BLOCK, CHUNK = 16_384, 1_024
-
-
-def _stack(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_list()).astype(np.float64)
-
-
-def knn(queries: DataFrame, references: DataFrame, k: int, query_id: str = "query_id", ref_id: str = "ref_id", vector: str = "vector", true_id: str | None = None, skip_self: bool = False, block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
-    """query_id, rank, ref_id, score of the k best references of each query (ties: the smaller ref_id), and correct_rank.
-
-    correct_rank: the rank of `true_id` (a column of queries) among all references, n + 1 if it is none of them; null
-    without `true_id`. skip_self: a reference with the query's own id is no candidate. Null vectors take no part.
-    """
-    refs = references.select(F.col(ref_id).alias("r"), F.col(vector).alias("rv")).where("r is not null and rv is not null")
-    asked = queries.select(F.col(query_id).alias("q"), F.col(vector).alias("qv"), (F.col(true_id) if true_id else F.lit(None).cast(dict(references.dtypes)[ref_id])).alias("t")).where("qv is not null")
-    truth = refs.select(F.col("r").alias("tr"), F.col("rv").alias("tv"))
-    asked = asked.join(truth, F.col("t") == F.col("tr"), "left").drop("tr")
-    n, m = refs.count(), asked.count()
-    blocks, chunks = max(1, -(-n // block)), max(1, -(-m // chunk))
-    left = refs.withColumn("b", F.pmod(F.xxhash64("r"), F.lit(blocks)).cast("int")).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    right = asked.withColumn("c", F.pmod(F.xxhash64("q", F.lit(1)), F.lit(chunks)).cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    q_type, r_type = dict(asked.dtypes)["q"], dict(refs.dtypes)["r"]
-
-    def best(own: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
-        if not len(own) or not len(ask):
-            return pd.DataFrame({"q": [], "r": [], "score": [], "better": []})
-        own = own.sort_values("r")
-        x, ids = _stack(own["rv"]), own["r"].to_numpy()
-        out = []
-        for at in range(0, len(ask), 256):
-            part = ask.iloc[at : at + 256]
-            near = _stack(part["qv"]) @ x.T
-            for i, (q, t, tv) in enumerate(zip(part["q"], part["t"], part["tv"], strict=True)):
-                row, qv = near[i], np.asarray(part["qv"].iloc[i], np.float64)
-                if skip_self:
-                    row = np.where(ids == q, -np.inf, row)
-                better = None
-                if tv is not None:
-                    due = float((np.asarray(tv, np.float64) * qv).sum())
-                    # products of a block differ in their last bits by place: near ties are summed alike
-                    sure = row > due + 1e-9
-                    close = np.flatnonzero((np.abs(row - due) <= 1e-9) & (ids != t))
-                    exact = (x[close] * qv).sum(axis=1)
-                    better = int(sure.sum() + ((exact > due) | ((exact == due) & (ids[close] < t))).sum() - int(sure[ids == t].sum()))
-                least = np.partition(row, len(row) - k)[len(row) - k] if len(row) > k else -np.inf
-                pick = np.flatnonzero(np.isfinite(row) & (row >= least - 1e-9)) if np.isfinite(least) else np.flatnonzero(np.isfinite(row))
-                exact = (x[pick] * qv).sum(axis=1)
-                top = np.lexsort((np.arange(len(pick)), -exact))[:k]
-                out.append(pd.DataFrame({"q": q, "r": ids[pick][top], "score": exact[top], "better": pd.array([better] * len(top), "Int64")}))
-        return pd.concat(out, ignore_index=True)
-
-    found = left.groupBy("b", "c").cogroup(right.groupBy("b", "c")).applyInPandas(lambda _, own, ask: best(own, ask).assign(b=_[0]), f"q {q_type}, r {r_type}, score double, better long, b int")
-    order = W.partitionBy("q").orderBy(F.desc("score"), "r")
-    per_block = F.max("better").over(W.partitionBy("q", "b"))
-    first = F.row_number().over(W.partitionBy("q", "b").orderBy(F.desc("score"), "r")) == 1
-    counted = found.withColumn("own", F.when(first, per_block))
-    total = F.sum("own").over(W.partitionBy("q"))
-    ranked = counted.withColumns({"rank": F.row_number().over(order), "total": total}).where(F.col("rank") <= k)
-    missing = asked.select("q", F.col("tv").isNull().alias("no_truth"), F.col("t").isNull().alias("no_id"))
-    out = ranked.join(missing, "q")
-    correct = F.when(F.col("no_id"), F.lit(None)).when(F.col("no_truth"), F.lit(n + 1)).otherwise(F.col("total") + 1)
-    return out.select(F.col("q").alias("query_id"), "rank", F.col("r").alias("ref_id"), "score", correct.cast("long").alias("correct_rank"))
-
-
+from .neighbours import knn as knn
 def per_query(top: DataFrame) -> DataFrame:
     """One row a query from knn(): top1_id, top1_score, margin (to the second, or the score itself), correct_rank, top_ids."""
     two = top.groupBy("query_id").agg(

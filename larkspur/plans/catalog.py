@@ -615,8 +615,9 @@ def int8_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _KNN = """
 WITH v AS (SELECT vec_id, label, embedding::double[] AS e FROM embeddings),
-s AS (SELECT q.vec_id AS query_id, q.label AS ql, r.vec_id AS ref_id, r.label AS rl, list_dot_product(q.e, r.e) AS score FROM v q, v r WHERE q.vec_id % 10 = 0 AND q.vec_id <> r.vec_id),
+s AS (SELECT q.vec_id AS query_id, q.label AS ql, r.vec_id AS ref_id, r.label AS rl, list_dot_product(q.e, r.e) AS score FROM v q, v r WHERE {of}q.vec_id <> r.vec_id),
 t AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ref_id) AS rank FROM s)"""
+_TENTH, _EVERY = _KNN.replace("{of}", "q.vec_id % 10 = 0 AND "), _KNN.replace("{of}", "")
 
 
 def _asked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -624,7 +625,7 @@ def _asked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return v.where("vec_id % 10 = 0").withColumnRenamed("vec_id", "query_id"), v.withColumnRenamed("vec_id", "ref_id")
 
 
-@query(_KNN + " SELECT query_id, rank::int AS rank, ref_id, round(score, 5) AS score FROM t WHERE rank <= 5")
+@query(_TENTH + " SELECT query_id, rank::int AS rank, ref_id, round(score, 5) AS score FROM t WHERE rank <= 5")
 def knn_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest other vectors of each tenth vector."""
     top = retrieval.knn(*_asked(spark, sf_dir), 5, skip_self=True)
@@ -647,7 +648,7 @@ def _evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     v = _vectors(spark, sf_dir)
     following = F.coalesce(F.lead("vec_id").over(W.partitionBy("label").orderBy("vec_id")), F.lit(-1))
-    asked = v.withColumn("true_id", following.cast("long")).where("vec_id % 10 = 0").withColumnRenamed("vec_id", "query_id")
+    asked = v.withColumn("true_id", following.cast("long")).withColumnRenamed("vec_id", "query_id")
     refs = v.withColumnRenamed("vec_id", "ref_id")
     rows = retrieval.per_query(retrieval.knn(asked, refs, 5, true_id="true_id", skip_self=True)).join(asked.select("query_id", "true_id", F.col("label").alias("query_group"), F.col("query_id").cast("string").alias("query_name")), "query_id")
     return retrieval.confusions(rows, refs, "ref_id", F.col("label"), F.concat(F.lit("r"), "ref_id"))
@@ -657,19 +658,19 @@ def _rounded(df: DataFrame, keep: list[str]) -> DataFrame:
     return df.select(*keep, *[r4(c).alias(c) for c in df.columns if c not in keep])
 
 
-@query(_KNN + _TRUTH + " SELECT" + _METRICS)
+@query(_EVERY + _TRUTH + " SELECT" + _METRICS)
 def retrieval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recall, ranks, scores and confusion over all queries."""
     return _rounded(retrieval.metrics(_evaluated(spark, sf_dir)), ["sample_count"])
 
 
-@query(_KNN + _TRUTH + " SELECT label AS query_group," + _METRICS + " GROUP BY label")
+@query(_EVERY + _TRUTH + " SELECT label AS query_group," + _METRICS + " GROUP BY label")
 def metrics_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same per group."""
     return _rounded(retrieval.metrics(_evaluated(spark, sf_dir), "query_group"), ["query_group", "sample_count"])
 
 
-@query(_KNN + _TRUTH + " SELECT query_id, top1_id, correct_rank FROM w WHERE top1_id <> true_id AND top1_label = label")
+@query(_EVERY + _TRUTH + " SELECT query_id, top1_id, correct_rank FROM w WHERE top1_id <> true_id AND top1_label = label")
 def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Queries whose nearest vector is another one of the same group."""
     return _evaluated(spark, sf_dir).where("confused").select("query_id", "top1_id", "correct_rank")
