@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .hamming import greedy_dedupe as greedy_dedupe
 from .neighbours import knn as knn
 def per_query(top: DataFrame) -> DataFrame:
     """One row a query from knn(): top1_id, top1_score, margin (to the second, or the score itself), correct_rank, top_ids."""
@@ -53,19 +54,6 @@ def clip_metrics(frames: DataFrame, clip: str, frame: str, rank: str, k: int = 5
     return per.agg(F.count("*").alias("clip_count"), F.avg(F.col("first_topk_frame").isNotNull().cast("double")).alias("clip_topk_success_rate"), F.avg("first_top1_frame").alias("mean_first_top1_frame"), F.avg("first_topk_frame").alias("mean_first_topk_frame"))
 
 
-def greedy_dedupe(frames: DataFrame, by: str, order: str, bits: str, distance: int, max_kept: int = 0) -> DataFrame:
-    """Frames kept by a greedy pass in order: one is kept if it is farther than `distance` from every kept one before it.
-
-    A pass is sequential within `by` (one video), whose hashes are one array; videos are independent. max_kept 0: no limit.
-    """
-    ordered = frames.groupBy(by).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(bits).alias("h")))).alias("all"))
-    far = lambda acc, x: ~F.exists(acc, lambda y: F.bit_count(y["h"].bitwiseXOR(x["h"])) <= distance)
-    room = (lambda acc: F.size(acc) < max_kept) if max_kept else (lambda acc: F.lit(True))
-    kind = f"array<struct<o:{dict(frames.dtypes)[order]},h:{dict(frames.dtypes)[bits]}>>"
-    kept = F.aggregate("all", F.array().cast(kind), lambda acc, x: F.when(far(acc, x) & room(acc), F.concat(acc, F.array(x))).otherwise(acc))
-    return ordered.select(by, F.explode(kept).alias("k")).select(by, F.col("k.o").alias(order), F.col("k.h").alias(bits))
-
-
 def sampled_pairs(vectors: DataFrame, key: str, left: int = 4, right: int = 6) -> DataFrame:
     """Pairs i < j of the first rows by key, i among the first `left` and j among the first `right`, with their inner product."""
     from ..functions.vectors import dot

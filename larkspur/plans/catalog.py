@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import payloads as P
 from ..functions import text as T
 from ..functions import vectors as V
-from ..operators import checks, coverage, matching, merging, ranking, retrieval, selection
+from ..operators import checks, coverage, hamming, matching, merging, ranking, retrieval, selection
 from . import corpus
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -696,6 +696,34 @@ def greedy_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.greedy_dedupe(frames, "label", "vec_id", "bits", 24).select("label", "vec_id")
 
 
+def _size_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with a thermometer code of their size: as many bits are set, so the distance of two codes is that of the sizes."""
+    code = F.expr("shiftleft(1L, p_size) - 1")
+    return read(spark, sf_dir, "part").select("p_brand", "p_partkey", code.alias("bits"))
+
+
+@query("""
+SELECT a.p_brand, a.p_partkey AS left_key, b.p_partkey AS right_key, abs(a.p_size - b.p_size)::int AS distance
+FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey AND abs(a.p_size - b.p_size) <= 2""")
+def hamming_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of one brand whose size codes are at most two bits apart."""
+    c = _size_codes(spark, sf_dir)
+    left = c.select("p_brand", F.col("p_partkey").alias("left_key"), F.col("bits").alias("a"))
+    right = c.select("p_brand", F.col("p_partkey").alias("right_key"), F.col("bits").alias("b"))
+    return hamming.hamming_join(left, right, "p_brand", "a", "b", 2).where("left_key < right_key").select("p_brand", "left_key", "right_key", "distance")
+
+
+@query("""
+WITH RECURSIVE h AS (SELECT p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS i, p_partkey, p_size FROM part),
+r AS (SELECT p_brand, 1::bigint AS i, [p_size] AS kept, [p_partkey] AS ids FROM h WHERE i = 1
+ UNION ALL SELECT r.p_brand, h.i, CASE WHEN len(list_filter(r.kept, lambda y: abs(y - h.p_size) <= 6)) = 0 THEN list_append(r.kept, h.p_size) ELSE r.kept END,
+  CASE WHEN len(list_filter(r.kept, lambda y: abs(y - h.p_size) <= 6)) = 0 THEN list_append(r.ids, h.p_partkey) ELSE r.ids END FROM r JOIN h ON h.p_brand = r.p_brand AND h.i = r.i + 1)
+SELECT p_brand, unnest(ids) AS p_partkey FROM (SELECT p_brand, arg_max(ids, i) AS ids FROM r GROUP BY p_brand)""")
+def greedy_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of each brand, by key, whose size code is more than six bits from every kept one before."""
+    return hamming.greedy_dedupe(_size_codes(spark, sf_dir), "p_brand", "p_partkey", "bits", 6).select("p_brand", "p_partkey")
+
+
 @query("""
 WITH f AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i, 1 + (event_id * 7919) % 12 AS rank FROM events)
 SELECT user_id, min(i) FILTER (rank = 1) AS first_top1_frame, min(i) FILTER (rank <= 5) AS first_topk_frame FROM f GROUP BY user_id""")
