@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,8 @@ from ..functions import payloads as P
 from ..functions import text as T
 from ..functions import vectors as V
 from ..operators import checks, coverage, hamming, matching, merging, ranking, retrieval, selection
+from ..streaming import keyed
+from ..tables import shared_folder
 from . import corpus
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,24 +189,12 @@ def fallback_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH c AS (SELECT user_id, user_id % 5 AS g, max((event_type = 'click')::int) AS a, max((event_type = 'signup')::int) AS b, max((event_type = 'click' AND value > 90)::int) AS pa, max((event_type = 'signup' AND value > 90)::int) AS pb
-  FROM events WHERE value < 5 OR value > 90 GROUP BY 1, 2)
+  FROM events GROUP BY 1, 2)
 SELECT g AS "group", count(*) AS cards_total, count(*) FILTER (a = 1) AS cards_with_click, count(*) FILTER (b = 1) AS cards_with_signup, count(*) FILTER (a = 1 AND b = 1) AS cards_with_both_sources,
  count(*) FILTER (a = 1 AND b = 0) AS cards_with_click_only, count(*) FILTER (a = 0 AND b = 1) AS cards_with_signup_only, count(*) FILTER (a = 0 AND b = 0) AS cards_without_prices,
  count(*) FILTER (pa = 1) AS cards_primary_click, count(*) FILTER (pb = 1) AS cards_primary_signup, count(*) FILTER (a = 1) AS click_rows, count(*) FILTER (b = 1) AS signup_rows FROM c GROUP BY g""")
 def coverage_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users by which of two event types they have, per group of users."""
-    e = read(spark, sf_dir, "events").where("value < 5 or value > 90").withColumn("lead", (F.col("value") > 90).cast("int"))
-    return coverage.source_coverage(e, "user_id", F.col("user_id") % 5, "event_type", "lead", "click", "signup")
-
-
-@query("""
-WITH c AS (SELECT user_id, user_id % 5 AS g, max((event_type = 'click')::int) AS a, max((event_type = 'signup')::int) AS b, max((event_type = 'click' AND value > 90)::int) AS pa, max((event_type = 'signup' AND value > 90)::int) AS pb
-  FROM events GROUP BY 1, 2)
-SELECT g AS "group", count(*) AS cards_total, count(*) FILTER (a = 1) AS cards_with_click, count(*) FILTER (b = 1) AS cards_with_signup, count(*) FILTER (a = 1 AND b = 1) AS cards_with_both_sources,
- count(*) FILTER (a = 1 AND b = 0) AS cards_with_click_only, count(*) FILTER (a = 0 AND b = 1) AS cards_with_signup_only, count(*) FILTER (a = 0 AND b = 0) AS cards_without_prices,
- count(*) FILTER (pa = 1) AS cards_primary_click, count(*) FILTER (pb = 1) AS cards_primary_signup, count(*) FILTER (a = 1) AS click_rows, count(*) FILTER (b = 1) AS signup_rows FROM c GROUP BY g""")
-def coverage_audit_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same over all events."""
     e = read(spark, sf_dir, "events").withColumn("lead", (F.col("value") > 90).cast("int"))
     return coverage.source_coverage(e, "user_id", F.col("user_id") % 5, "event_type", "lead", "click", "signup")
 
@@ -231,7 +222,9 @@ def nested_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.count_range(read(spark, sf_dir, "lineitem"), ["l_orderkey"])
 
 
-@query("SELECT 'X' AS missing, 'N,R' AS unexpected")
+@query("""
+WITH f AS (SELECT DISTINCT l_returnflag AS x FROM lineitem), w AS (SELECT unnest(['A', 'X']) AS x)
+SELECT (SELECT coalesce(string_agg(x, ',' ORDER BY x), '') FROM w WHERE x NOT IN (SELECT x FROM f)) AS missing, (SELECT coalesce(string_agg(x, ',' ORDER BY x), '') FROM f WHERE x NOT IN (SELECT x FROM w)) AS unexpected""")
 def distinct_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Return flags against an expected set."""
     return coverage.set_difference(read(spark, sf_dir, "lineitem"), "l_returnflag", ["A", "X"]).select(F.array_join("missing", ",").alias("missing"), F.array_join("unexpected", ",").alias("unexpected"))
@@ -252,7 +245,7 @@ def one_primary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT 'unique(l_orderkey, l_linenumber)' AS "check", (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1))::varchar AS observed, '0' AS expected, false AS passed
-UNION ALL SELECT 'references(doc_id)', '0', '0', true UNION ALL SELECT 'row_count', (SELECT count(*) FROM labels)::varchar, '>= 10', true""")
+UNION ALL SELECT 'references(doc_id)', n::varchar, '0', n = 0 FROM (SELECT count(*) AS n FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)) UNION ALL SELECT 'row_count', count(*)::varchar, '>= 10', count(*) >= 10 FROM labels""")
 def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table of checks: unique keys, references, row count."""
     lines, labels, docs = (read(spark, sf_dir, t) for t in ("lineitem", "labels", "documents"))
@@ -356,6 +349,17 @@ def circuit_breaker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_id", "errors_before", "hits_before", "attempted")
 
 
+@query("""
+WITH e AS (SELECT event_id, user_id % 7 AS provider, event_type, row_number() OVER (PARTITION BY user_id % 7, event_type ORDER BY event_id) AS nth FROM events),
+s AS (SELECT provider, max(event_id) FILTER (event_type = 'error' AND nth = 5) AS fifth, min(event_id) FILTER (event_type = 'purchase') AS hit FROM e GROUP BY 1)
+SELECT event_id, provider, NOT coalesce(fifth < coalesce(hit, fifth + 1) AND event_id > fifth, false) AS attempted FROM e JOIN s USING (provider)""")
+def breaker_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of seven providers, each attempted until its fifth error if that came before its first purchase."""
+    e = read(spark, sf_dir, "events").select("event_id", (F.col("user_id") % 7).alias("provider"), "event_type")
+    out = ranking.breaker_attempts(e, "provider", "event_id", F.col("event_type") == "error", F.col("event_type") == "purchase", 5)
+    return out.select("event_id", "provider", "attempted")
+
+
 @query("SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) > 3 AS stale FROM orders")
 def keep_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders beyond the newest three of a customer."""
@@ -412,29 +416,6 @@ def subset_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- merging -----------------------------------------------------------------------------------------------------------
 
 
-@query("""
-WITH n AS (SELECT user_id, event_type, arg_max(value, event_id) AS value FROM events WHERE event_id % 3 = 0 GROUP BY 1, 2), o AS (SELECT DISTINCT user_id, event_type, -1.0::double AS value FROM events WHERE user_id < 50)
-SELECT * FROM n UNION ALL SELECT o.* FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.user_id = o.user_id AND n.event_type = o.event_type)""")
-def upsert_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New rows replace old ones by key; the last new row counts."""
-    e = read(spark, sf_dir, "events")
-    old = e.where("user_id < 50").select("user_id", "event_type", F.lit(-1.0).alias("value")).distinct()
-    new = e.where("event_id % 3 = 0").select("user_id", "event_type", "value", "event_id")
-    return merging.upsert_last_wins(old, new, ["user_id", "event_type"], "event_id").select("user_id", "event_type", "value")
-
-
-@query("""
-WITH o AS (SELECT DISTINCT user_id, event_type, -1.0::double AS value FROM events WHERE user_id < 50)
-SELECT * FROM o UNION ALL SELECT user_id, event_type, arg_min(value, event_id) FROM events WHERE event_id % 3 = 0 AND user_id >= 50 GROUP BY 1, 2
-UNION ALL SELECT user_id, event_type, arg_min(value, event_id) FROM events e WHERE event_id % 3 = 0 AND user_id < 50 AND NOT EXISTS (SELECT 1 FROM o WHERE o.user_id = e.user_id AND o.event_type = e.event_type) GROUP BY 1, 2""")
-def insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only new keys come in; the first new row counts."""
-    e = read(spark, sf_dir, "events")
-    old = e.where("user_id < 50").select("user_id", "event_type", F.lit(-1.0).alias("value")).distinct()
-    new = e.where("event_id % 3 = 0").select("user_id", "event_type", "value", "event_id")
-    return merging.insert_ignore(old, new, ["user_id", "event_type"], "event_id")
-
-
 def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """All events: those of even id as old rows, the others as new ones."""
     e = read(spark, sf_dir, "events")
@@ -445,8 +426,8 @@ def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 @query("""
 WITH n AS (SELECT user_id, event_type, arg_max(value, event_id) AS value FROM events WHERE event_id % 2 <> 0 GROUP BY 1, 2), o AS (SELECT DISTINCT user_id, event_type, -1.0::double AS value FROM events WHERE event_id % 2 = 0)
 SELECT * FROM n UNION ALL SELECT o.* FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.user_id = o.user_id AND n.event_type = o.event_type)""")
-def upsert_last_wins_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The upsert with every event on one side."""
+def upsert_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New rows replace old ones by key, the last new row counts; every event is on one side."""
     old, new = _halves(spark, sf_dir)
     return merging.upsert_last_wins(old, new, ["user_id", "event_type"], "event_id").select("user_id", "event_type", "value")
 
@@ -454,12 +435,23 @@ def upsert_last_wins_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 WITH n AS (SELECT user_id, event_type, arg_min(value, event_id) AS value FROM events WHERE event_id % 2 <> 0 GROUP BY 1, 2), o AS (SELECT DISTINCT user_id, event_type, -1.0::double AS value FROM events WHERE event_id % 2 = 0)
 SELECT * FROM o UNION ALL SELECT n.* FROM n WHERE NOT EXISTS (SELECT 1 FROM o WHERE n.user_id = o.user_id AND n.event_type = o.event_type)""")
-def insert_ignore_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The insert with every event on one side."""
+def insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only new keys come in, the first new row counts; every event is on one side."""
     old, new = _halves(spark, sf_dir)
     return merging.insert_ignore(old, new, ["user_id", "event_type"], "event_id")
 
 
+@query("SELECT user_id, event_type, arg_max(value, event_id) AS value, max(event_id) AS event_id FROM events GROUP BY 1, 2")
+def keyed_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as three batches of a keyed table, out of order and one of them twice: the last event of a key stays."""
+    path = f"{shared_folder(spark)}/keyed-{uuid.uuid4().hex}"
+    e = read(spark, sf_dir, "events").select("user_id", "event_type", "value", "event_id")
+    dealt = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for batch_id, part in ((0, 2), (1, 0), (2, 1), (1, 0)):
+        keyed.upsert_batch(e.where(dealt == part), batch_id, path, ["user_id", "event_type"], "event_id", 16)
+    return keyed.read_keyed(spark, path)
+
+
 @query("SELECT DISTINCT k AS value FROM (SELECT c_nationkey AS k FROM customer UNION ALL SELECT s_nationkey FROM supplier)")
 def distinct_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct keys of two tables."""

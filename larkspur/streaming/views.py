@@ -1,32 +1,12 @@
-"""Structured Streaming views of ordered frames and of price batches."""
+"""Structured Streaming views of ordered frames; `keyed` and `breaker` hold what keeps a table or a run's state."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-
-from ..operators.merging import upsert_last_wins
 
 
 def first_hits(frames: DataFrame, clip: str, event_time: str, frame: str, hit: Column, delay: str = "10 minutes", window: str = "1 hour") -> DataFrame:
     """Per clip and window the first frame that qualifies; state goes with the watermark, late frames are dropped."""
     timed = frames.withColumn("__t", F.col(event_time).cast("timestamp")).withWatermark("__t", delay)
     return timed.groupBy(F.window("__t", window), clip).agg(F.min(F.when(hit, F.col(frame))).alias("first_frame"), F.count("*").alias("frames"))
-
-
-def upsert_stream(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: str) -> StreamingQuery:
-    """Keep a keyed table up to date: each micro-batch is merged, last row wins, into a new version of the table.
-
-    Versions are folders named by batch, so a batch that runs again after a failure writes the same version from the same
-    predecessor, and readers see a version only when it is whole.
-    """
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        old = spark.createDataFrame([], batch.schema) if batch_id == 0 else spark.read.parquet(f"{path}/v={batch_id - 1}")
-        upsert_last_wins(old.drop(order), batch, keys, order).select(*[c for c in batch.columns if c != order]).write.mode("overwrite").parquet(f"{path}/v={batch_id}")
-
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
