@@ -62,12 +62,12 @@ def merge_corpus(old: dict[str, DataFrame], cards: DataFrame, embeddings: DataFr
 
 
 def publish_corpus(tables: dict[str, DataFrame], path: str, least: int = 1000, tags: Sequence[str] = images.VARIANTS, identical_limit: int | None = None) -> None:
-    """Every table staged, checked and renamed; cards first, so that the others are checked against what was published."""
+    """Every table written, checked and published; cards first, so that the others are checked against what was published."""
     spark = tables["cards"].sparkSession
     writers.publish(tables["cards"], f"{path}/cards", schemas.EMBEDDINGS_VERSION, lambda t, m: checks.union([checks.version(m, schemas.EMBEDDINGS_VERSION), checks.min_rows(t, least), checks.unique(t, ["id"])]), ["locale"])
-    cards = spark.read.parquet(f"{path}/cards/data")
+    cards = writers.read_published(spark, f"{path}/cards")[0]
     writers.publish(tables["embeddings"], f"{path}/embeddings", schemas.EMBEDDINGS_VERSION, lambda t, m: checks.union([checks.check_embeddings(t, cards, m, schemas.EMBEDDINGS_VERSION, tags, least, identical_limit), checks.unique(t, ["card_id", "model_name", "variant_idx"]), checks.references_exist(t, "card_id", cards, "id")]))
-    embeddings = spark.read.parquet(f"{path}/embeddings/data")
+    embeddings = writers.read_published(spark, f"{path}/embeddings")[0]
     writers.publish(tables["embeddings_int8"], f"{path}/embeddings_int8", schemas.EMBEDDINGS_VERSION, lambda t, m: checks.check_int8(embeddings, t))
     writers.publish(tables["card_equivalents"], f"{path}/card_equivalents", schemas.EMBEDDINGS_VERSION, lambda t, m: checks.union([checks.unique(t, ["card_id"]), checks.references_exist(t, "card_id", cards, "id")]))
 

@@ -103,7 +103,7 @@ def build_prices(cards: DataFrame, provider: DataFrame, now: dt.datetime, max_ag
 
 
 def publish_prices(build: PriceBuild, path: str, min_rows: int = 1000, cards: DataFrame | None = None) -> None:
-    """Checks on the staged table, then rename."""
+    """Checks on the table as written, then its manifest."""
     writers.publish(build.rows, path, schemas.PRICES_VERSION, lambda t, m: checks.check_prices(t, m, schemas.PRICES_VERSION, min_rows, cards))
 
 

@@ -8,7 +8,6 @@ one that broke off leaves folders that no manifest names, and `vacuum` deletes t
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Sequence
 
@@ -16,41 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-BUCKETS = 64
-
-
-def _fs(spark: SparkSession, path: str):
-    to_path = spark._jvm.org.apache.hadoop.fs.Path
-    return to_path(path).getFileSystem(spark._jsc.hadoopConfiguration()), to_path
-
-
-def _manifests(spark: SparkSession, path: str) -> list[int]:
-    fs, to_path = _fs(spark, path)
-    folder = to_path(f"{path}/manifests")
-    names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
-    return sorted(int(n[:-5]) for n in names if n.endswith(".json"))
-
+from ..sources import manifests
 
-def _load(spark: SparkSession, path: str, batch: int) -> dict:
-    fs, to_path = _fs(spark, path)
-    stream = fs.open(to_path(f"{path}/manifests/{batch}.json"))
-    try:
-        return json.loads(bytes(stream.readAllBytes()).decode())
-    finally:
-        stream.close()
-
-
-def _commit(spark: SparkSession, path: str, batch: int, manifest: dict) -> bool:
-    """Put the manifest in place; False if another writer was first."""
-    fs, to_path = _fs(spark, path)
-    hidden, final = to_path(f"{path}/manifests/.{batch}-{uuid.uuid4().hex}"), to_path(f"{path}/manifests/{batch}.json")
-    out = fs.create(hidden, True)
-    out.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
-    out.close()
-    if fs.exists(final) or not fs.rename(hidden, final):
-        fs.delete(hidden, False)
-        return False
-    return True
+BUCKETS = 64
 
 
 def upsert_batch(batch: DataFrame, batch_id: int, path: str, keys: Sequence[str], order: str, buckets: int = BUCKETS) -> list[int]:
@@ -60,11 +27,11 @@ def upsert_batch(batch: DataFrame, batch_id: int, path: str, keys: Sequence[str]
     later batch, and within a batch one by a hash of the row. Batches have rising numbers; one that is there already is left as it is. `buckets` holds for a new table.
     """
     spark = batch.sparkSession
-    done = _manifests(spark, path)
+    done = manifests.numbers(spark, path)
     if batch_id in done:
         return []
     before = [b for b in done if b < batch_id]
-    manifest = _load(spark, path, before[-1]) if before else {"buckets": buckets, "folders": {}, "schema": batch.schema.jsonValue()}
+    manifest = manifests.load(spark, path, before[-1]) if before else {"buckets": buckets, "folders": {}, "schema": batch.schema.jsonValue()}
     n = manifest["buckets"]
     own = lambda df, new: df.select(*batch.columns).withColumns({"__bucket": F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int"), "__new": F.lit(new)})
     new = own(batch, 1).persist()
@@ -82,7 +49,7 @@ def upsert_batch(batch: DataFrame, batch_id: int, path: str, keys: Sequence[str]
     finally:
         new.unpersist()
     named = manifest["folders"] | {str(b): f"{version}/__bucket={b}" for b in touched}
-    return touched if _commit(spark, path, batch_id, manifest | {"folders": named}) else []
+    return touched if manifests.commit(spark, path, batch_id, manifest | {"folders": named}) else []
 
 
 def upsert_stream(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: str, buckets: int = BUCKETS) -> StreamingQuery:
@@ -98,10 +65,10 @@ def read_keyed(spark: SparkSession, path: str, batch: int | None = None) -> Data
     """The table after the last batch, or after `batch`."""
     from pyspark.sql.types import StructType
 
-    done = [b for b in _manifests(spark, path) if batch is None or b <= batch]
+    done = [b for b in manifests.numbers(spark, path) if batch is None or b <= batch]
     if not done:
         raise FileNotFoundError(f"no batch of {path} is complete")
-    manifest = _load(spark, path, done[-1])
+    manifest = manifests.load(spark, path, done[-1])
     schema = StructType.fromJson(manifest["schema"])
     folders = [f"{path}/{f}" for f in manifest["folders"].values()]
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
@@ -109,9 +76,9 @@ def read_keyed(spark: SparkSession, path: str, batch: int | None = None) -> Data
 
 def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     """Delete all but the last `keep` manifests and what none of these names; not while a batch runs. The folders deleted."""
-    fs, to_path = _fs(spark, path)
-    done = _manifests(spark, path)
-    named = {f for b in done[-keep:] for f in _load(spark, path, b)["folders"].values()}
+    fs, to_path = manifests.file_system(spark, path)
+    done = manifests.numbers(spark, path)
+    named = {f for b in done[-keep:] for f in manifests.load(spark, path, b)["folders"].values()}
     for b in done[:-keep]:
         fs.delete(to_path(f"{path}/manifests/{b}.json"), False)
     gone = []

@@ -8,6 +8,7 @@ from larkspur import schemas
 from larkspur.functions import text as T
 from larkspur.operators import checks, selection
 from larkspur.plans import corpus, gaps, prices
+from larkspur.sources import writers
 
 NOW = dt.datetime(2026, 4, 20)
 CARD = "id string, locale string, set_id string, set_name string, card_number string, name string, pricing string, ord int"
@@ -82,7 +83,7 @@ def test_corpus_tables_are_checked_and_published(spark, tmp_path):
     nothing = {n: spark.createDataFrame([], s) for n, s in (("cards", schemas.CARDS + ", upstream_source string"), ("embeddings", schemas.EMBEDDINGS), ("embeddings_int8", schemas.EMBEDDINGS_INT8), ("card_equivalents", schemas.CARD_EQUIVALENTS))}
     tables = corpus.merge_corpus(nothing, cards, emb)
     corpus.publish_corpus(tables, f"{tmp_path}/c", 12)
-    assert spark.read.parquet(f"{tmp_path}/c/embeddings_int8/data").count() == 12
+    assert writers.read_published(spark, f"{tmp_path}/c/embeddings_int8")[0].count() == 12
     again = corpus.merge_corpus(tables, cards.withColumn("name", F.lit("new")), emb)
     assert again["cards"].where("name = 'new'").count() == 0 and again["embeddings"].count() == 48
     broken = dict(tables, embeddings=emb.where("variant_idx < 3"))

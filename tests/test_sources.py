@@ -109,6 +109,40 @@ def test_publish_is_all_or_nothing(spark, tmp_path):
     assert writers.publish_if_changed("x", "x", lambda: 1 / 0) is False and writers.publish_if_changed("x", None, lambda: None) is True
 
 
+def test_readers_always_find_a_table_and_conflicts_abort(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    rows = lambda *ks: spark.createDataFrame([(k, 1) for k in ks], "k string, v int")
+    keys = lambda: sorted(r["k"] for r in writers.read_published(spark, path)[0].collect())
+    writers.publish(rows("a"), path, 1)
+    reader = writers.read_published(spark, path)[0]
+    commit, seen = writers.manifests.commit, []
+    monkeypatch.setattr(writers.manifests, "commit", lambda *a: (seen.append(keys()), commit(*a))[1])
+    writers.publish(rows("a", "b"), path, 1)
+    assert seen == [["a"]] and keys() == ["a", "b"] and [r["k"] for r in reader.collect()] == ["a"]
+    with pytest.raises(writers.Conflict, match="is there already"):
+        writers.insert(rows("c", "b"), path, ["k"], 1)
+    with pytest.raises(writers.Conflict, match="stands twice"):
+        writers.insert(rows("c", "c"), path, ["k"], 1)
+    assert keys() == ["a", "b"]
+
+    def beaten(*a):  # another writer is first, once
+        monkeypatch.setattr(writers.manifests, "commit", commit)
+        writers.insert(rows("x"), path, ["k"], 1)
+        return commit(*a)
+
+    monkeypatch.setattr(writers.manifests, "commit", beaten)
+    writers.insert(rows("c"), path, ["k"], 1)
+    assert keys() == ["a", "b", "c", "x"]
+    monkeypatch.setattr(writers.manifests, "commit", lambda *a: False)
+    with pytest.raises(writers.Conflict, match="another writer"):
+        writers.publish(rows("z"), path, 1)
+    monkeypatch.setattr(writers.manifests, "commit", commit)
+    assert keys() == ["a", "b", "c", "x"]
+    for _ in range(3):
+        writers.publish(rows("q"), path, 1)
+    assert keys() == ["q"] and len(list((tmp_path / "t" / "versions").iterdir())) == 2
+
+
 def test_files_and_retention(spark, tmp_path):
     df = spark.createDataFrame([("b", ["x", "y"]), ("a", [])], "k string, names array<string>")
     writers.write_csv(df, f"{tmp_path}/c", ["names", "k"], ["k"])

@@ -43,11 +43,11 @@ def test_batches_replayed_broken_off_and_split_otherwise_give_one_state(spark, t
     for i, part in enumerate(parts):
         batch = spark.createDataFrame(part, KEYED)
         if i == 1:  # a writer that dies before its manifest is in place
-            commit, keyed._commit = keyed._commit, lambda *a: False
+            commit, keyed.manifests.commit = keyed.manifests.commit, lambda *a: False
             try:
                 assert keyed.upsert_batch(batch, i, path, ["k"], "o", 16) == []
             finally:
-                keyed._commit = commit
+                keyed.manifests.commit = commit
             before = table(spark, path)
             assert before == table(spark, path, 0)
         touched = keyed.upsert_batch(batch, i, path, ["k"], "o", 16)
