@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .order_statistics import hashed_rank
+
 
 def running_total(df: DataFrame, order: Sequence[str], value: Column, name: str, groups: int = 128) -> DataFrame:
     """`name`: the sum of `value` over all earlier rows by `order` (0 for the first), without a single-partition window.
@@ -108,10 +110,25 @@ def keep_newest(df: DataFrame, keep: int, order: Sequence[Column], by: Sequence[
 
 
 def hash_split(df: DataFrame, stratum: str, key: Column, fraction: float) -> DataFrame:
-    """is_validation: the first max(1, floor(n * fraction)) rows of each stratum by `key`, a hash that names the row."""
-    n = F.count("*").over(W.partitionBy(stratum))
-    rank = F.row_number().over(W.partitionBy(stratum).orderBy(key))
-    return df.withColumn("is_validation", rank <= F.greatest(F.lit(1), F.floor(n * fraction)))
+    """is_validation: the first max(1, floor(n * fraction)) rows of each stratum by `key`, a hexadecimal hash that names the row."""
+    sizes = df.groupBy(F.col(stratum).alias("__stratum")).agg(F.greatest(F.lit(1), F.floor(F.count("*") * fraction)).alias("__most"))
+    ranked = hashed_rank(df, [stratum], key, "__rank").join(sizes, F.col(stratum).eqNullSafe(F.col("__stratum")))
+    return ranked.withColumn("is_validation", F.col("__rank") <= F.col("__most")).drop("__rank", "__most", "__stratum")
+
+
+def random_sample(df: DataFrame, size: int, key: Column, weight: Column | None = None) -> DataFrame:
+    """`size` rows without replacement (all, if there are no more), the same at every run; `key`: a hexadecimal hash with the seed in it.
+
+    Each row has a priority of its own, and the least ones win: a task keeps `size` of its rows at most, and what tasks keep
+    merges in any order. With `weight`, priorities are exponential with that rate, which draws in proportion to what is left;
+    rows of null weight or one not above 0 are never drawn. Ties go to the smaller key.
+    """
+    rows = df.withColumn("__key", key)
+    if weight is None:
+        return rows.orderBy("__key").limit(size).drop("__key")
+    even = (F.conv(F.substring("__key", 1, 13), 16, 10).cast("double") + 0.5) / 2**52
+    rows = rows.withColumns({"__weight": weight.cast("double"), "__even": even}).where("__weight > 0")
+    return rows.withColumn("__due", -F.log("__even") / F.col("__weight")).orderBy("__due", "__key").limit(size).drop("__key", "__weight", "__even", "__due")
 
 
 def limit_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:

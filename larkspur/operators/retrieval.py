@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .hamming import greedy_dedupe as greedy_dedupe
 from .neighbours import knn as knn
+from .order_statistics import exact_median
 def per_query(top: DataFrame) -> DataFrame:
     """One row a query from knn(): top1_id, top1_score, margin (to the second, or the score itself), correct_rank, top_ids."""
     two = top.groupBy("query_id").agg(
@@ -30,11 +31,16 @@ def metrics(rows: DataFrame, *by: str, k: int = 5) -> DataFrame:
     """Recall at 1 and k, reciprocal and mean rank, top-1 score, margin and confusion rate of per-query rows, per group."""
     share = lambda c: F.avg(c.cast("double"))
     grouped = rows.groupBy(*by) if by else rows.groupBy()
-    return grouped.agg(
+    out = grouped.agg(
         F.count("*").alias("sample_count"), share(F.col("correct_rank") == 1).alias("recall_at_1"), share(F.col("correct_rank") <= k).alias(f"recall_at_{k}"),
-        F.avg(1.0 / F.col("correct_rank")).alias("mean_reciprocal_rank"), F.avg("correct_rank").alias("mean_rank"), F.median("top1_score").alias("median_top1_score"),
+        F.avg(1.0 / F.col("correct_rank")).alias("mean_reciprocal_rank"), F.avg("correct_rank").alias("mean_rank"),
         F.avg("top1_score").alias("mean_top1_score"), F.avg("margin").alias("mean_top1_margin"), share(F.col("confused")).alias("same_art_top1_confusion_rate"),
     )
+    median = exact_median(rows, by, "top1_score", "median_top1_score").withColumnsRenamed({b: f"__{b}" for b in by})
+    same = F.lit(True)
+    for b in by:
+        same = same & F.col(b).eqNullSafe(F.col(f"__{b}"))
+    return out.join(median, same, "left").drop(*[f"__{b}" for b in by])  # without `by` one row on either side
 
 
 def failure_examples(rows: DataFrame, k: int = 5, limit: int = 20) -> DataFrame:

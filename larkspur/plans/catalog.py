@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import payloads as P
 from ..functions import text as T
 from ..functions import vectors as V
-from ..operators import checks, coverage, hamming, matching, merging, ranking, retrieval, selection
+from ..operators import checks, coverage, hamming, matching, merging, order_statistics, ranking, retrieval, selection
 from ..streaming import keyed
 from ..tables import shared_folder
 from . import corpus
@@ -230,6 +230,12 @@ def distinct_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.set_difference(read(spark, sf_dir, "lineitem"), "l_returnflag", ["A", "X"]).select(F.array_join("missing", ",").alias("missing"), F.array_join("unexpected", ",").alias("unexpected"))
 
 
+@query("SELECT l_returnflag, l_linestatus, median(l_extendedprice) AS median_price FROM lineitem GROUP BY 1, 2")
+def exact_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Median prices of lines by flag and status, groups of any size."""
+    return order_statistics.exact_median(read(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice", "median_price")
+
+
 @query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def dup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys in more than one row."""
@@ -360,6 +366,20 @@ def breaker_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_id", "provider", "attempted")
 
 
+@query("SELECT o_orderkey FROM orders ORDER BY md5(o_orderkey || '_7') LIMIT 500")
+def random_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """500 orders at random."""
+    return ranking.random_sample(read(spark, sf_dir, "orders").select("o_orderkey"), 500, corpus.row_hash(7, "o_orderkey"))
+
+
+@query("""
+SELECT c_custkey FROM customer WHERE c_acctbal > 0 ORDER BY -ln((('0x' || substr(md5(c_custkey || '_7'), 1, 13))::bigint::double + 0.5) / 4503599627370496) / c_acctbal, md5(c_custkey || '_7') LIMIT 100""")
+def weighted_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """100 customers at random, in proportion to what they have on account."""
+    rows = read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    return ranking.random_sample(rows, 100, corpus.row_hash(7, "c_custkey"), F.col("c_acctbal")).select("c_custkey")
+
+
 @query("SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) > 3 AS stale FROM orders")
 def keep_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders beyond the newest three of a customer."""

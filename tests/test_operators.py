@@ -214,3 +214,14 @@ def test_equal_ranks_are_settled_by_the_row(spark):
     for turn in (rows, rows[::-1]):
         got = matching.pick_first(spark.createDataFrame(turn, "key string, x string, y int"), ["key"], [F.lit(0)]).first()
         assert (got["x"], got["y"]) == ("a", 1)
+
+
+def test_random_samples(spark):
+    """Merges from any partitions alike; weights draw in proportion; what has no weight is never drawn."""
+    df = spark.range(2000).select("id", F.when(F.col("id") % 4 == 0, 9.0).when(F.col("id") % 4 == 1, 1.0).when(F.col("id") % 4 == 2, 0.0).alias("w"))
+    key = lambda seed: F.md5(F.concat_ws("_", "id", F.lit(seed)))
+    one = {r["id"] for r in ranking.random_sample(df, 50, key(1)).collect()}
+    assert one == {r["id"] for r in ranking.random_sample(df.repartition(7, "w"), 50, key(1)).collect()} and len(one) == 50
+    heavy = [r["id"] % 4 for s in range(4) for r in ranking.random_sample(df, 100, key(s), F.col("w")).collect()]
+    assert set(heavy) == {0, 1} and 330 < heavy.count(0) < 385  # 9 in 10 of 400, a little less as the heavy ones run out
+    assert ranking.random_sample(df.limit(3), 50, key(1)).count() == 3
