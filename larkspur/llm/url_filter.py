@@ -22,8 +22,9 @@ from .components import connected_components
 #: (verdict, host, path)
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 _AFTER = r"^[\s\S]*?://"
-#: A tag that may lead elsewhere; quoted values may hold `>`.
-_TAG = r"""(?is)<(?:link|meta|base)\b(?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*>)"""
+#: A tag that may lead elsewhere; quoted values may hold `<` and `>`. What is not quoted ends at the next `<`, so that no part
+#: of a page is read once more for each tag that is never closed.
+_TAG = r"""(?is)<(?:link|meta|base)\b(?:(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>|[^<>]*>)"""
 _REFRESH = re.compile(r"""\s*[\d.]*\s*[;,]?\s*url\s*=\s*(?:"([^"]*)"|'([^']*)'|([^"'].*))""", re.I | re.S)
 
 

@@ -140,3 +140,16 @@ def test_verdicts_equal_an_independent_closure(spark):
     want = {i: own(u.split("://")[1]) or ("block" if root[u.split("://")[1]] in bad else "allow") for i, u, _ in pages}
     got = {r["page_id"]: r["verdict"] for r in U.judge(spark.createDataFrame(pages, "page_id long, url string, html string").withColumns({"host": F.lit("x"), "__url": F.lit("y")})).collect()}
     assert got == want and sum(v == "block" and own(u.split("://")[1]) is None for (_, u, _), v in zip(pages, want.values(), strict=True)) > 5
+
+
+@pytest.mark.parametrize("junk", ["<link ", '<link "', "<meta '\" ", "<link rel=canonical <meta "])
+def test_a_page_of_unclosed_tags_is_read_once(spark, junk):
+    """A megabyte of tags that never close takes no more than its length, and a link after them still counts."""
+    import time
+
+    html = junk * (1_000_000 // len(junk)) + "'\"> <link rel=canonical href='http://shop.com/de/x'>"
+    df = spark.createDataFrame([(1, "http://a.net/p", html), (2, "http://b.net/", "<p>canonical</p>")], "page_id long, url string, html string")
+    U.judge(df.limit(1).withColumn("html", F.lit("x"))).collect()
+    began = time.time()
+    got = {r["page_id"]: r["verdict"] for r in U.judge(df).collect()}
+    assert got == {1: "block", 2: "allow"} and time.time() - began < 60
