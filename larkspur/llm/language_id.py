@@ -12,11 +12,13 @@ language alike.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -111,34 +113,46 @@ def parsers(references: tuple[tuple[str, bytes], ...]) -> list[tuple[str, Parser
     return _PARSERS[references]
 
 
-def _shares(texts: list[bytes], budget: int) -> bytes:
-    """Every text's first bytes, joined by spaces: what short texts leave of an equal part goes to the longer ones."""
-    sizes, left = [0] * len(texts), max(0, budget - len(texts) + 1)
-    order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
+def _shares(texts: list[list[bytes]], budget: int) -> bytes:
+    """Slices of every text, in their order, joined by spaces: what short texts leave of an equal part goes to the longer ones."""
+    joined = [b" ".join(t) for t in texts]
+    sizes, left = [0] * len(joined), max(0, budget - len(joined) + 1)
+    order = sorted(range(len(joined)), key=lambda i: len(joined[i]))
     for k, i in enumerate(order):
-        sizes[i] = min(len(texts[i]), left // (len(order) - k))
+        sizes[i] = min(len(joined[i]), left // (len(order) - k))
         left -= sizes[i]
-    return b" ".join(t[:n] for t, n in zip(texts, sizes, strict=True))
+    return b" ".join(t[:n] for t, n in zip(joined, sizes, strict=True))
 
 
-def references(docs: DataFrame, per_language: int = 64, row_bytes: int = 8_000, lang_bytes: int = 24_000, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> tuple[tuple[str, bytes], ...]:
+def _slices(text: Column, size: int, most: int) -> Column:
+    """Up to `most` distinct slices of about `size` characters from all over a text, cut between words where it has any.
+
+    Those of which letters are at least half come first, each kind in the order of a hash; slices without a letter are none.
+    """
+    every = F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?s)\S.{{0,{size - 1}}}(?!\S)|\S.{{0,{size - 1}}}"), F.lit(0)))
+    count = lambda x, pattern: F.length(F.regexp_replace(x, pattern, ""))
+    wordy = lambda x: 2 * count(x, r"[^\p{L}\p{M}]") >= count(x, r"\s")
+    ranked = F.transform(F.filter(every, lambda x: x.rlike(r"\p{L}")), lambda x: F.struct((~wordy(x)).alias("a"), F.xxhash64(x).alias("h"), x.alias("x")))
+    return F.transform(F.slice(F.sort_array(ranked), 1, most), lambda r: r["x"])
+
+
+def references(docs: DataFrame, per_language: int = 64, row_bytes: int = 8_000, lang_bytes: int = 24_000, slice_chars: int = 400, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> tuple[tuple[str, bytes], ...]:
     """For each language a reference text from a bounded sample of labelled rows.
 
     The sample: of the distinct texts with a letter, the first by the hash of text for each of `per_language` remainders of
-    that hash. A text of over `row_bytes` bytes gives its first `row_bytes` characters from the first letter on. All sampled
-    texts share the `lang_bytes` of their language's reference, however many languages there are.
+    that hash. Each is cut as a whole into slices of `slice_chars` characters, and gives those that come first by a hash,
+    wordy ones (at least half letters) before others, up to `row_bytes` characters; so a text may open with numbers of any
+    length. All sampled texts share the `lang_bytes` of their language's reference, however many languages there are. That
+    and the number of rows are the only bounds; the driver holds one language's slices and the references.
     """
     rows = docs.select(F.col(lang).alias("lang"), F.xxhash64(text).alias("h"), F.col(text).alias("text")).where("lang is not null and text is not null")
     rows = rows.where(F.col("text").rlike(r"\p{L}"))
     # partial aggregation keeps one hash for each salt and language, so no language meets in one task
     first = rows.groupBy("lang", F.pmod("h", F.lit(per_language)).alias("salt")).agg(F.min("h").alias("h"))
     keys = common.cut(first.select("lang", "h"))
-    piece = F.when(F.octet_length("text") <= row_bytes, F.col("text")).otherwise(F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{row_bytes - 1}}}", 0))
-    texts = rows.join(common.broadcast_if_small(keys), ["lang", "h"], "left_semi").select("lang", "h", piece.alias("text")).groupBy("lang", "h").agg(F.first("text").alias("text"))
-    by_lang: dict[str, list[bytes]] = {}
-    for row in texts.orderBy("lang", "h").toLocalIterator():
-        by_lang.setdefault(row["lang"], []).append(row["text"].encode())
-    return tuple((k, _shares(v, lang_bytes)) for k, v in sorted(by_lang.items()))
+    chosen = rows.join(common.broadcast_if_small(keys), ["lang", "h"], "left_semi").select("lang", "h", _slices(F.col("text"), slice_chars, -(-row_bytes // slice_chars)).alias("slices"))
+    found = chosen.groupBy("lang", "h").agg(F.first("slices").alias("slices")).orderBy("lang", "h").toLocalIterator()
+    return tuple((k, _shares([[x.encode() for x in row["slices"]] for row in group], lang_bytes)) for k, group in groupby(found, key=itemgetter("lang")))
 
 
 def _predict(refs: tuple[tuple[str, bytes], ...], source: str):

@@ -81,3 +81,23 @@ def test_references_do_not_shrink_with_the_number_of_languages(spark):
     assert len(refs) == 20 and all(23_900 < len(v) <= 24_000 for _, v in refs)
     # each of the up to 12 sampled texts has its part (12 less those of equal remainder)
     assert all(v.count(k.encode() + b"x") >= 6 for k, v in refs)
+
+
+def test_references_come_from_all_over_a_text(spark):
+    """Long numbers after one letter leave the words that follow them to the reference."""
+    numbers = lambda i: " ".join(str(10**7 + 9_973 * i + 17 * k) for k in range(2_000))
+    rows = [(i, f"a {numbers(i)} " + " ".join(sentence("aa", f"{i}-{k}") for k in range(20)), "aa") for i in range(40)]
+    rows += [(100 + i, sentence("bb", i, 200), "bb") for i in range(40)]
+    refs = L.references(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert all(w.encode() in dict(refs)["aa"] for w in LANGS["aa"])
+    asked = spark.createDataFrame([(i, sentence("aa", f"new{i}", 30)) for i in range(20)], "doc_id long, text string")
+    assert {r["lang_pred"] for r in L.identify(asked, refs, ["doc_id"]).collect()} == {"aa"}
+
+
+def test_slices_without_spaces_and_ties(spark):
+    """A text of one endless word is cut by length; equal references tie, and the first language by code point wins."""
+    rows = [(1, "ab" * 9_000, "xx"), (2, "ab" * 9_000, "yy"), (3, "漢字" * 5_000, "zz")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    refs = L.references(docs)
+    assert [k for k, _ in refs] == ["xx", "yy", "zz"] and refs[0][1] == refs[1][1] and all(0 < len(v) <= 24_000 for _, v in refs)
+    assert {r["doc_id"]: r["lang_pred"] for r in L.identify(docs, refs, ["doc_id"]).collect()} == {1: "xx", 2: "xx", 3: "zz"}
