@@ -10,6 +10,8 @@ document's equal shingles meet before the join, and the join's keys are split by
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,15 +40,17 @@ def shingles(df: DataFrame, keep: list[str], text: str, width: int, spelt: bool
     )
 
 
-def matches(docs: DataFrame, items: DataFrame, threshold: float = 0.8, width: int = 5, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id", item_text: str = "text", broadcast_rows: int = common.BROADCAST_ROWS) -> DataFrame:
+def matches(docs: DataFrame, items: DataFrame, threshold: float = 0.8, width: int = 5, inside: int = 3, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id", item_text: str = "text", broadcast_rows: int = common.BROADCAST_ROWS) -> DataFrame:
     """Pairs of a document and an item of whose distinct shingles it holds at least `threshold`.
 
     Returns __key (see common.row_key), doc_id, item_id, item_shingles, shared, containment. Rows with one doc_id are one
-    document: the shingles of all its rows count together. Null, empty and shorter-than-`width` texts or items have no
-    shingle and match nothing (an item of one to four words would be found in clean texts); items without an id are left
-    out, and repeated item rows count once. An empty table gives no rows.
+    document: the shingles of all its rows count together. An item without a run of `width` words has its whole run of
+    words as its one shingle: with `inside` words or more it is found anywhere in a text, with fewer (it would be found in
+    clean texts) in a text that holds nothing else. Null, empty and wordless texts or items match nothing; items without
+    an id are left out, and repeated item rows count once. An empty table gives no rows.
     """
-    item_rows = shingles(items.select(F.col(item_id).alias("__item"), F.col(item_text).alias("__text")).where("__item is not null"), ["__item"], "__text", width, spelt=True)
+    named = items.select(F.col(item_id).alias("__item"), F.col(item_text).alias("__text")).where("__item is not null")
+    item_rows = shingles(named, ["__item"], "__text", width, spelt=True)
     item_rows = common.cut(item_rows.select("__item", "__h", "__s").distinct())
     sizes = item_rows.groupBy("__item").agg(F.count("*").alias("__size"))
     upper = F.pow(F.lit(2), F.ceil(F.log2("__size")))
@@ -70,7 +74,28 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = 0.8, width: in
         hits = held.distinct().join(asked, ["__h", "__s"])
     shared = hits.groupBy("__key", "doc_id", "__item", "__s").agg(F.lit(1).alias("__one")).groupBy("__key", "doc_id", "__item").agg(F.count("*").alias("shared"))
     kept = shared.join(candidates, ["__key", "__item"], "left_semi").join(common.broadcast_if_small(sizes, broadcast_rows), "__item")
-    return kept.where(F.col("shared") >= F.ceil(F.col("__size") * threshold - 1e-9)).select("__key", "doc_id", F.col("__item").alias("item_id"), F.col("__size").alias("item_shingles"), "shared", (F.col("shared") / F.col("__size")).alias("containment"))
+    brief = _brief(base, named.join(item_rows.select("__item").distinct(), "__item", "left_anti"), width, inside, broadcast_rows)
+    kept = kept.select("__key", "doc_id", "__item", "__size", "shared")
+    every = kept if brief is None else kept.unionByName(brief)
+    return every.where(F.col("shared") >= F.ceil(F.col("__size") * threshold - 1e-9)).select("__key", "doc_id", F.col("__item").alias("item_id"), F.col("__size").alias("item_shingles"), "shared", (F.col("shared") / F.col("__size")).alias("containment"))
+
+
+def _brief(base: DataFrame, items: DataFrame, width: int, inside: int, limit: int) -> DataFrame | None:
+    """Documents and items of fewer than `width` words, with the number of an item's runs and of those found; None if no item is so short."""
+    spelt = items.select("__item", words(F.col("__text")).alias("__w")).where(F.size("__w") > 0)
+    runs = common.cut(spelt.select("__item", F.size("__w").alias("__n"), F.concat_ws(" ", "__w").alias("__s")).distinct())
+    lengths = sorted(r["__n"] for r in runs.select("__n").distinct().collect())  # fewer than `width` numbers
+    if not lengths:
+        return None
+    parts = [shingles(base, ["__key", "doc_id"], "__text", n, spelt=True).select("__key", "doc_id", "__s") for n in lengths if n >= inside]
+    alone = [n for n in lengths if n < inside]
+    if alone:
+        whole = base.select("__key", "doc_id", words(F.col("__text")).alias("__w")).where(F.size("__w").isin(alone))
+        parts.append(whole.select("__key", "doc_id", F.concat_ws(" ", "__w").alias("__s")))
+    held = reduce(DataFrame.unionByName, parts)
+    hits = held.join(F.broadcast(runs), "__s") if _few(runs, limit) else held.distinct().join(runs, "__s")
+    found = hits.groupBy("__key", "doc_id", "__item", "__s").agg(F.lit(1).alias("__one")).groupBy("__key", "doc_id", "__item").agg(F.count("*").alias("shared"))
+    return found.join(common.broadcast_if_small(runs.groupBy("__item").agg(F.count("*").alias("__size")), limit), "__item").select("__key", "doc_id", "__item", "__size", "shared")
 
 
 def _few(df: DataFrame, limit: int) -> bool:

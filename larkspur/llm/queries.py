@@ -98,6 +98,7 @@ QUERIES: dict[str, Query] = {
     )
 }
 
+_WORDS = "SELECT {id} AS id, list_filter(regexp_split_to_array(lower(text), '[\\x00-/:-@\\[-`{{-\\x7F]+'), lambda x: x <> '') AS words FROM {table}"
 _SHINGLES = """
   SELECT DISTINCT id, words[i] || ' ' || words[i+1] || ' ' || words[i+2] || ' ' || words[i+3] || ' ' || words[i+4] AS s
   FROM (SELECT id, words, unnest(range(1, len(words) - 3)) AS i
@@ -109,9 +110,15 @@ ORACLE: dict[str, str] = {
 WITH d AS ({_SHINGLES.format(id="doc_id", table="documents")}),
 b AS ({_SHINGLES.format(id="item_id", table="benchmark")}),
 n AS (SELECT id, count(*) AS item_shingles FROM b GROUP BY id),
-m AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS shared FROM d JOIN b USING (s) GROUP BY 1, 2)
+m AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS shared FROM d JOIN b USING (s) GROUP BY 1, 2),
+w AS ({_WORDS.format(id="doc_id", table="documents")}),
+x AS (SELECT DISTINCT id, array_to_string(words, ' ') AS s FROM ({_WORDS.format(id="item_id", table="benchmark")}) WHERE len(words) > 0 AND id IS NOT NULL AND id NOT IN (SELECT id FROM b WHERE id IS NOT NULL)),
+r AS (SELECT id, unnest(list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i+2], ' '))) AS s FROM w UNION SELECT id, unnest(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i+3], ' '))) FROM w
+  UNION SELECT id, array_to_string(words, ' ') FROM w WHERE len(words) IN (1, 2)),
+y AS (SELECT r.id AS doc_id, x.id AS item_id, count(*) AS shared FROM r JOIN x USING (s) GROUP BY 1, 2),
+z AS (SELECT id, count(*) AS item_shingles FROM x GROUP BY id)
 SELECT doc_id, item_id, item_shingles, shared, shared / item_shingles AS containment
-FROM m JOIN n ON n.id = item_id WHERE shared >= 0.8 * item_shingles - 1e-9""",
+FROM (SELECT * FROM m JOIN n ON n.id = item_id UNION ALL SELECT * FROM y JOIN z ON z.id = item_id) WHERE shared >= 0.8 * item_shingles - 1e-9""",
     # components as a recursive closure over the links of the pages; dot segments, <base> and rarer entities are in the tests alone
     "op5_url_filter": r"""
 WITH RECURSIVE rules(verdict, rhost, rpath) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),

@@ -13,6 +13,8 @@ def brute(docs, items, t=0.8):
             want = set(k for k in shingles(y) if len(k) == 5)
             if want and len(want & own) >= t * len(want) - 1e-9:
                 out.add((i, j, len(want & own)))
+            if not want and f" {' '.join(y.lower().split())} " in f" {' '.join(x.lower().split())} ":  # the item of four words
+                out.add((i, j, 1))
     return out
 
 
@@ -60,3 +62,26 @@ def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g")], "doc_id long, text string")
     plan = D.matches(docs, docs.withColumnRenamed("doc_id", "item_id"))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_items_of_one_to_four_words(spark):
+    """Three and four words are found anywhere, one and two in texts of nothing else; by brute force and by SQL."""
+    import duckdb
+
+    from larkspur.llm import queries
+
+    items = [(1, "Paris"), (2, "blue whale"), (3, "one two three"), (4, "alpha, beta gamma DELTA"), (5, "w1x w2x w3x w4x w5x w6x"), (6, "?!"), (6, None), (7, "one two three"), (7, "red fox runs"), (8, "tail"), (8, "w1x w2x w3x w4x w5x w6x")]
+    far = " ".join(words(3, 500))
+    docs = [(1, "paris!"), (2, "we went to paris"), (3, "Blue  whale"), (4, "a blue whale swam"), (5, f"{far} one, two three {far}"), (6, "alpha beta gamma delta"), (7, f"{far} alpha beta; gamma delta"), (8, "one two"), (9, ""), (10, None), (11, "one two three red fox runs"), (12, "tail"), (13, "w1x w2x w3x w4x w5x w6x"), (6, "alpha beta gamma delta")]
+    want = {(1, 1, 1), (3, 2, 1), (5, 3, 1), (6, 4, 1), (7, 4, 1), (11, 3, 1), (11, 7, 2), (13, 5, 2), (13, 8, 2)}
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for limit in (10**6, 0):
+        got = D.matches(d, b, broadcast_rows=limit).collect()
+        assert {(r["doc_id"], r["item_id"], r["shared"]) for r in got} == want and len(got) == len(want)
+    con = duckdb.connect()
+    con.register("documents", d.toPandas())
+    con.register("benchmark", b.toPandas())
+    assert {r[:2] + (r[3],) for r in con.sql(queries.ORACLE["op1_decontamination"]).fetchall()} == want
+    everywhere = {(r["doc_id"], r["item_id"]) for r in D.matches(d, b, inside=1).collect()}
+    assert everywhere == {x[:2] for x in want} | {(2, 1), (4, 2)}
+    assert {r["doc_id"] for r in D.decontaminate(d, b).collect()} == {2, 4, 8, 9, 10, 12}
