@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import payloads as P
 from ..functions import text as T
 from ..functions import vectors as V
-from ..operators import checks, coverage, hamming, matching, merging, order_statistics, ranking, retrieval, selection
+from ..operators import checks, coverage, hamming, matching, merging, order_statistics, ranking, retrieval, selection, snapshots
 from ..streaming import keyed
 from ..tables import shared_folder
 from . import corpus
@@ -288,6 +288,55 @@ def content_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.line_hash(n.unionByName(c), F.col("line"), ["k"])
 
 
+_VERSIONS = """WITH v1 AS (SELECT o_orderkey AS k, concat_ws('|', o_orderkey, o_custkey, o_orderstatus, cast(round(o_totalprice * 100) AS bigint)) AS line FROM orders),
+v2 AS (SELECT o_orderkey AS k, concat_ws('|', o_orderkey, o_custkey, o_orderstatus, cast(round(o_totalprice * 100) AS bigint) + CASE WHEN o_orderkey % 97 = 0 THEN 1 ELSE 0 END) AS line FROM orders WHERE o_orderkey % 89 <> 3
+ UNION ALL SELECT -o_orderkey, concat_ws('|', -o_orderkey, o_custkey, o_orderstatus, 0) FROM orders WHERE o_orderkey % 83 = 5)"""
+
+
+def _range_sql(version: str) -> str:
+    sums = ", ".join(f"sum(('0x' || substr(sha256(line), {1 + 7 * i}, 7))::bigint)" for i in range(6))
+    depth = "(SELECT greatest(1, ceil(round(ln(count(*) / 64) / ln(16), 9)))::int FROM v1)"
+    return f"SELECT substr(md5(k::varchar), 1, {depth}) AS range, count(*) AS rows, sha256(concat_ws('|', count(*), {sums})) AS digest FROM {version} GROUP BY 1"
+
+
+def _versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The orders' lines, and a later snapshot of them: some prices changed, some orders gone, some new."""
+    orders, cents = read(spark, sf_dir, "orders"), F.round(F.col("o_totalprice") * 100).cast("long")
+    line = lambda k, c: F.concat_ws("|", k, "o_custkey", "o_orderstatus", c).alias("line")
+    k = F.col("o_orderkey")
+    first = orders.select(k.alias("k"), line(k, cents))
+    kept = orders.where(k % 89 != 3).select(k.alias("k"), line(k, cents + (k % 97 == 0).cast("long")))
+    return first, kept.unionByName(orders.where(k % 83 == 5).select((-k).alias("k"), line(-k, F.lit(0))))
+
+
+@query(f"""{_VERSIONS.replace("WITH", "WITH RECURSIVE")}, leaf AS ({_range_sql("v1")}),
+t(level, range, rows, digest) AS (SELECT len(range)::int, range, rows, digest FROM leaf
+ UNION ALL SELECT level - 1, substr(range, 1, level - 1), sum(rows)::bigint, sha256(string_agg(range || ':' || digest, chr(10) ORDER BY range)) FROM t WHERE level > 0 GROUP BY 1, 2)
+SELECT * FROM t""")
+def snapshot_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the hash tree over the orders, the root at level 0."""
+    first, _ = _versions(spark, sf_dir)
+    return snapshots.tree(snapshots.ranges(first, ["k"], F.col("line"), range_rows=64))
+
+
+@query(f"""{_VERSIONS}, a AS ({_range_sql("v1")}), b AS ({_range_sql("v2")})
+SELECT coalesce(a.range, b.range) AS range, coalesce(a.rows, 0) AS left_rows, coalesce(b.rows, 0) AS right_rows FROM a FULL JOIN b ON a.range = b.range WHERE a.digest IS DISTINCT FROM b.digest""")
+def snapshot_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranges in which two snapshots of the orders differ."""
+    first, second = _versions(spark, sf_dir)
+    found = snapshots.ranges(first, ["k"], F.col("line"), range_rows=64)
+    return snapshots.differing(found, snapshots.ranges(second, ["k"], F.col("line"), depth=snapshots.depth_of(found)))
+
+
+@query(f"""{_VERSIONS} SELECT coalesce(v1.k, v2.k) AS k, CASE WHEN v1.k IS NULL THEN 'added' WHEN v2.k IS NULL THEN 'removed' ELSE 'changed' END AS change
+FROM v1 FULL JOIN v2 ON v1.k = v2.k WHERE v1.line IS DISTINCT FROM v2.line""")
+def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders that differ between two snapshots; only ranges whose digests differ are compared row by row."""
+    first, second = _versions(spark, sf_dir)
+    found = snapshots.differing(*(snapshots.ranges(v, ["k"], F.col("line"), range_rows=64) for v in (first, second)))
+    return snapshots.changes(first, second, ["k"], F.col("line"), found)
+
+
 # -- ranking -----------------------------------------------------------------------------------------------------------
 
 
