@@ -29,13 +29,44 @@ def test_each_stage_takes_effect(spark, tmp_path):
     assert set(ids[3]) <= set(ids[2]) and sorted(ids[4]) == sorted(ids[3])
 
 
-@pytest.mark.parametrize("make", [awkward, empty])
-def test_awkward_tables_run_through(spark, tmp_path, make):
+@pytest.mark.parametrize(("make", "kept"), [(awkward, {None, 3, 4, 6}), (empty, set())])
+def test_awkward_tables_run_through(spark, tmp_path, make, kept):
+    """Texts without letters go, one of two equal rows stays; sources of one document each keep it; slots are gapless."""
     docs = make(spark)
     spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, str(tmp_path))
-    assert docs.count() >= 0
+    rows = docs.collect()
+    assert {r["doc_id"] for r in rows} <= kept and bool(rows) == bool(kept)
+    by_shard = {}
+    for r in rows:
+        by_shard.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(x) == list(range(len(x))) for x in by_shard.values())
+
+
+def test_run_leaves_only_the_last_stage_input(spark, tmp_path):
+    """run() equals its stages called one by one, and deletes the folders of the stages before the last but one."""
+    import os
+
+    from larkspur.llm import common
+
+    rows = [(i, " ".join(words(i, 30)), "en", "ab"[i % 2], 1) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, rows[3][1])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    folder = common.shared_dir(spark).removeprefix("file:")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, str(tmp_path))
+    want = sorted(map(str, docs.collect()))
+    written, kept = [], common.table
+    try:
+        common.table = lambda df: written.append(kept(df)) or written[-1]
+        got = corpus_pipeline.run(spark, str(tmp_path))
+        own = [t.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://") for t in written if set(t.columns) == {"doc_id", "text", "lang", "source", "n_chars"}]
+    finally:
+        common.table = kept
+    assert sorted(map(str, got.collect())) == want and all(r["doc_id"] != 3 for r in got.collect())
+    assert all(f.startswith(folder) for f in own) and [os.path.exists(f) for f in own[:-1]] == [False] * (len(own) - 1) and os.path.exists(own[-1])
 
 
 def test_names_and_order():
