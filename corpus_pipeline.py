@@ -46,10 +46,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each one's result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over `documents`; each one's result is written and read again, and goes once the next is written.
+
+    The folder that the last stage reads stays, as the result is read from it.
+    """
+    docs, earlier = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
         if name != STAGES[-1][0]:
             docs = common.table(docs)
+            if earlier is not None:
+                common.forget(earlier)
+            earlier = docs
     return docs
