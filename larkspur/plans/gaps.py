@@ -70,7 +70,7 @@ def evaluate_retrieval(queries: DataFrame, references: DataFrame, k: int = 5) ->
 
     queries: query_id, card_id, vector, name, locale, group_key. references: card_id, vector, name, group_key.
     """
-    top = retrieval.knn(queries, references, k, "query_id", "card_id", "vector", true_id="card_id")
+    top = retrieval.knn(queries, references, k, query_id="query_id", ref_id="card_id", vector="vector", true_id="card_id")
     rows = retrieval.per_query(top).join(queries.select("query_id", F.col("card_id").alias("true_id"), F.col("name").alias("query_raw_name"), T.locale_or_unknown(F.col("locale")).alias("locale"), F.col("group_key").alias("query_group"), T.normalize_text(F.col("name")).alias("query_name")), "query_id")
     rows = retrieval.confusions(rows, references, "card_id", F.col("group_key"), T.normalize_text(F.col("name")))
     return retrieval.metrics(rows, k=k), retrieval.metrics(rows, "locale", k=k), rows, top
