@@ -59,6 +59,32 @@ def test_join_equals_brute_force(spark, distance):
     assert sorted((r["i"], r["j"], r["distance"]) for r in got.collect()) == want
 
 
+@pytest.mark.parametrize("distance", [0, 3, 30])
+def test_classes_equal_brute_force(spark, distance):
+    """Every row has its class and links, copies count, and the pairs of classes with their rows are all pairs of rows."""
+    draw = random.Random(distance)
+    some = walk(draw, 40, 4)
+    rows = [(draw.choice("ab"), i, h) for i, h in enumerate(some + some[:15] + [some[0]] * 5)] + [("a", 98, None), (None, 99, 0)]
+    members, pairs = hamming.hamming_classes(spark.createDataFrame(rows, "g string, i int, h long"), "g", "i", "h", distance)
+    whole = [r for r in rows if r[0] is not None and r[2] is not None]
+    near = {(i, j) for g, i, a in whole for k, j, b in whole if i < j and g == k and apart(a, b) <= distance}
+    first = {i: min(j for k, j, b in whole if (k, b) == (g, h)) for g, i, h in whole}
+    want = sorted((i, first.get(i), sum(i in p for p in near)) for _, i, _ in rows)
+    assert sorted((r["i"], r["class_key"], r["links"]) for r in members.collect()) == want
+    got = {(r["left_key"], r["right_key"]): (r["left_rows"], r["right_rows"]) for r in pairs.collect()}
+    copies = sum(n * (n - 1) // 2 for n in (list(first.values()).count(c) for c in set(first.values())))
+    assert sum(a * b for a, b in got.values()) + copies == len(near)
+    assert set(got) == {tuple(sorted((first[i], first[j]))) for i, j in near if first[i] != first[j]}
+
+
+def test_copies_are_not_expanded_into_pairs(spark):
+    """50,000 copies have 1.25 billion pairs; they are one class."""
+    df = spark.range(50_000).selectExpr("'a' AS g", "id AS i", "if(id < 2, 1L, 0L) AS h")
+    members, pairs = hamming.hamming_classes(df, "g", "i", "h", 1)
+    assert [tuple(r) for r in members.groupBy("class_key", "links").count().orderBy("class_key").collect()] == [(0, 49_999, 2), (2, 49_999, 49_998)]
+    assert [tuple(r) for r in pairs.collect()] == [("a", 0, 2, 2, 49_998, 1)]
+
+
 def test_a_long_film_is_decided_in_few_rounds(spark, monkeypatch):
     """Frames without near ones in other ranges are decided in the first round, whatever the number of ranges."""
     draw, count = random.Random(3), [0]
