@@ -227,8 +227,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return likely.select("a", "b", _similar("x", "y", threshold, -_doubt("x", "y")).alias("sure"))
 
 
-def _links_across(members: DataFrame, nodes: DataFrame, grouped: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """a, b and sure of likely links between texts that share a bucket but are in different groups; a pair is counted in its
+def _links_across(members: DataFrame, nodes: DataFrame, grouped: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFrame, list[DataFrame]]:
+    """a, b and sure of likely links, and the tables that they are read from, between texts that share a bucket but are in different groups; a pair is counted in its
     first bucket.
 
     Only buckets that hold several groups are looked at. Their texts outside of the largest group (the strangers, b) are
@@ -242,17 +242,20 @@ def _links_across(members: DataFrame, nodes: DataFrame, grouped: DataFrame, sets
     mixed = groups.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("groups")).where("groups > 1")
     mixed = common.cut(mixed.select("bucket", F.col("most.root").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
     if mixed.isEmpty():
-        return members.select(F.col("tid").alias("a"), F.col("tid").alias("b"), F.lit(True).alias("sure")).limit(0)
+        return members.select(F.col("tid").alias("a"), F.col("tid").alias("b"), F.lit(True).alias("sure")).limit(0), [placed]
     several = placed.join(common.broadcast_if_small(mixed), "bucket")
     heads = several.select("bucket", F.col("leader").alias("__tid")).distinct().join(sets, "__tid").select("bucket", F.col("__set").alias("head"))
-    full = several.join(nodes.select(F.col("__tid").alias("tid"), "__bands"), "tid").join(sets.withColumnRenamed("__tid", "tid"), "tid").join(heads, "bucket")
+    before = F.slice("__bands", F.lit(1), F.array_position("__bands", F.col("bucket")).cast("int") - 1)
+    several = several.join(nodes.select(F.col("__tid").alias("tid"), "__bands"), "tid").select("bucket", "tid", "root", "main", "blocks", before.alias("before"))
+    full = several.join(sets.withColumnRenamed("__tid", "tid"), "tid").join(heads, "bucket")
     shared, x = F.size(F.array_intersect("__set", "head")), F.col("__set")
     # distances by 32-bit names are off by what they may miscount
     reach = 1 - threshold + 0.02
-    before = F.slice("__bands", F.lit(1), F.array_position("__bands", F.col("bucket")).cast("int") - 1)
-    full = full.select("bucket", "tid", "root", "main", "blocks", before.alias("before"), x, (F.size(x) + F.size("head")).alias("both"), shared.alias("shared"))
+    full = full.select("bucket", "tid", "root", "main", "blocks", "before", x, (F.size(x) + F.size("head")).alias("both"), shared.alias("shared"))
     far = 1 - F.col("shared") / (F.col("both") - F.col("shared"))
     full = common.table(full.withColumn("far", far).withColumn("ring", F.floor(F.col("far") / reach).cast("int")).drop("both", "shared"))
+    common.forget(placed)
+    common.cleaned(full.sparkSession)
     names = ("tid", "root", "far", "before", "__set")
     strangers = full.where("root <> main")
     rings = common.cut(strangers.select("bucket", F.explode(F.sequence(F.col("ring") - 1, F.col("ring") + 1)).alias("ring")).distinct())
@@ -266,7 +269,7 @@ def _links_across(members: DataFrame, nodes: DataFrame, grouped: DataFrame, sets
     open_ = once & (F.col("root_a") != F.col("root_b")) & (F.abs(F.col("far_a") - F.col("far_b")) <= reach) & ~F.arrays_overlap("before_a", "before_b")
     doubt = _doubt("__set_a", "__set_b")
     likely = left.join(right, same & open_ & _similar("__set_a", "__set_b", threshold, doubt))
-    return likely.select(F.least("tid_a", "tid_b").alias("a"), F.greatest("tid_a", "tid_b").alias("b"), _similar("__set_a", "__set_b", threshold, -doubt).alias("sure"))
+    return likely.select(F.least("tid_a", "tid_b").alias("a"), F.greatest("tid_a", "tid_b").alias("b"), _similar("__set_a", "__set_b", threshold, -doubt).alias("sure")), [full]
 
 
 def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, width: int = 5, bands: int = BANDS, rows: int = ROWS, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -286,12 +289,14 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, width: int =
     signed = common.table(signed)
     nodes = signed.groupBy("__tid").agg(F.min("doc_id").alias("first_id"), F.max("__size").alias("__size"), F.first("__bands").alias("__bands"))
     nodes = common.table(nodes)
+    common.cleaned(docs.sparkSession)
 
     marked = nodes.where("__size > 0").select(F.col("__tid").alias("tid"), F.posexplode("__bands").alias("pos", "bucket"), "__bands").select("tid", "bucket", F.element_at("__bands", F.pmod(F.col("pos") + 1, F.lit(bands)) + 1).alias("near"))
     # another leader in each band, so that a text is held against many of its group
     lead = F.min(F.struct(F.xxhash64("bucket", "tid").alias("h"), "tid"))["tid"]
     buckets = marked.groupBy("bucket").agg(F.count("*").alias("n"), lead.alias("leader")).where("n > 1").drop("n")
     members = common.table(marked.join(buckets, "bucket"))
+    common.cleaned(docs.sparkSession)
     beside = members.select("bucket", "near", "tid").repartitionByRange("bucket", "near", "tid").sortWithinPartitions("bucket", "near", "tid")
     beside = beside.select("bucket", "tid").mapInPandas(_neighbours(NEIGHBOURS), "a binary, b binary")
     pairs = members.where("tid <> leader").select(F.col("leader").alias("a"), F.col("tid").alias("b")).union(beside)
@@ -299,6 +304,7 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, width: int =
 
     ends = common.cut(pairs.select(F.col("a").alias("__tid")).union(pairs.select("b")).distinct())
     sets = _sets(base, ends, width, wide=False)
+    common.cleaned(docs.sparkSession)
 
     hubs = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = _settled(_verified(hubs, sets, threshold), base, threshold, width)
@@ -307,9 +313,14 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, width: int =
     for end in ("a", "b"):
         rest = rest.join(grouped.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
     rest = rest.where("not (coalesce(root_a, a) <=> coalesce(root_b, b))").select("a", "b")
+    common.cleaned(docs.sparkSession)
     links = links.union(_settled(_verified(rest, sets, threshold), base, threshold, width))
     grouped = connected_components(links)
-    last = common.cut(_settled(_links_across(members, nodes, grouped, sets, threshold), base, threshold, width))
+    common.cleaned(docs.sparkSession)
+    across, read = _links_across(members, nodes, grouped, sets, threshold)
+    last = common.cut(_settled(across, base, threshold, width))
+    common.forget(*read)
+    common.cleaned(docs.sparkSession)
     if not last.isEmpty():
         grouped = connected_components(links.union(last))
 

@@ -122,3 +122,18 @@ def test_long_words_that_differ_by_an_exchange_have_other_hashes():
         texts += [b"a" * n + b"b" * n, b"b" * n + b"a" * n, (b"ab" * n), (b"ba" * n)]
     data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
     assert len(set(common.word_hashes(data, offsets)[0].tolist())) == len(texts)
+
+
+def test_tables_of_the_last_links_are_deleted(spark):
+    """Of the tables that the groups are found with only the rows' names stay, which the result is read from."""
+    import glob
+
+    from larkspur.llm import common, near_dedup
+
+    folder = common.shared_dir(spark).removeprefix("file:")
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[: 60 - i % 3]) if i < 6 else f"{i} other text of its own {i * i}") for i in range(10)]
+    before = set(glob.glob(f"{folder}/**/table-*", recursive=True))
+    out = near_dedup.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert len({r["class_id"] for r in out.collect()}) == 5
+    assert len(set(glob.glob(f"{folder}/**/table-*", recursive=True)) - before) == 1
