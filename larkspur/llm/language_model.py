@@ -33,7 +33,7 @@ END = 65
 #: Mixtures (context, byte) that are broadcast, at most; the others are joined.
 HEAD_GRAMS = 1 << 21
 #: Entries (context, byte) of a slice of the tree, on average.
-SLICE_ENTRIES = 100_000
+SLICE_ENTRIES = 50_000
 #: A token is in the broadcast head if it is at least one in so many of all tokens; so the head has no more tokens.
 HEAD = 1 << 20
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -263,6 +263,8 @@ def _count(depth: int, spill: int = 1_000_000):
         for kind in (0, 1):
             if held[kind][0]:
                 yield batch_of(kind, *_merged(*held[kind]))
+        held.clear()
+        common.released()
         yield batch_of(2, np.zeros(1, np.uint64), np.array([docs]))
 
     return run
@@ -285,6 +287,8 @@ class Mixtures:
             levels = ContextTree._levels(_numbers(part["key"]), part["n"].to_numpy(), depth, split)
             parent, values = ContextTree._weigh(levels, None)[1]
             names, at = np.unique(parent, return_inverse=True)
+            del levels
+            common.released()
             return pa.table({"node": pa.array(names.view(np.int64)), "total": pa.array(np.bincount(at, values, len(names)))})
 
         under = self._sliced(entries.select("key", "n")).applyInArrow(up, "node long, total double").groupBy("node").agg(F.sum("total").alias("total")).toArrow()
@@ -307,6 +311,7 @@ class Mixtures:
             value = np.zeros(0)
             if asked.any():
                 value = ContextTree(keys[n > 0], n[n > 0], depth, top.value).log10(keys[asked])
+            common.released()
             return pa.table({"key": pa.array(keys[asked].view(np.int64)), "n": pa.array(n[asked].astype(np.int64)), "value": pa.array(value.astype(np.float32))})
 
         rows = self.entries.select("key", "n")
@@ -354,6 +359,7 @@ def _lists(values: np.ndarray, rows: np.ndarray, n: int) -> pa.ListArray:
 def _score(shared, depth: int, total: int, distinct: int, ends: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, head = shared.value
+        common.released()  # of the pickled form
         norm = np.log10(total + 0.1 * (distinct + 1))
         row_id = TaskContext.get().partitionId() << 40
         for batch in batches:
