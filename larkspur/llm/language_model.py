@@ -34,6 +34,8 @@ END = 65
 HEAD_GRAMS = 1 << 21
 #: Entries (context, byte) of a slice of the tree, on average.
 SLICE_ENTRIES = 50_000
+#: Bytes of text that counting and scoring work on at a time, and rows of a batch on its way to Spark.
+PIECE_BYTES, BATCH_ROWS = 1 << 18, 1 << 17
 #: A token is in the broadcast head if it is at least one in so many of all tokens; so the head has no more tokens.
 HEAD = 1 << 20
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -112,34 +114,54 @@ class Table:
 
 
 class ContextTree:
-    """The fixed mixture: built from keys and counts of (context, byte)."""
+    """The fixed mixture: built from keys and counts of (context, byte). Each of a byte's eight decisions has a tree of its own."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, depth: int, top: Top | None = None):
         """With `top`, a slice of the tree: whole subtrees under the contexts that are one byte longer than those of `top`."""
-        self.depth = depth
-        first = top.depth + 1 if top else 0
-        levels = self._levels(keys, counts, depth, first)
-        weights, _ = self._weigh(levels, None)
-        ones, _ = self._mix(levels, weights, top.below if top else None)
-        self.tables = [*(top.tables if top else []), *(Table(levels[d][0], ones[d].astype(np.float32)) for d in range(first, depth + 1))]
+        levels = self._levels(keys, counts, depth, top.depth + 1 if top else 0)
+        self.trees = [self._tree(levels, k, top) for k in range(8)]
+
+    def log10(self, keys: np.ndarray) -> np.ndarray:
+        """log10 probability of the byte of each key after its context; without any training, one in 256."""
+        return sum((self._said(tree, keys, k) for k, tree in enumerate(self.trees)), np.zeros(len(keys)))
+
+    @classmethod
+    def answers(cls, keys: np.ndarray, counts: np.ndarray, depth: int, top: Top, asked: np.ndarray) -> np.ndarray:
+        """What log10 of the same slice says of `asked`; one decision's tree is in memory at a time."""
+        levels = cls._levels(keys, counts, depth, top.depth + 1)
+        return sum((cls._said(cls._tree(levels, k, top), asked, k) for k in range(8)), np.zeros(len(asked)))
 
     @classmethod
-    def _levels(cls, keys: np.ndarray, counts: np.ndarray, depth: int, first: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """The decisions of the contexts of `first` to `depth` bytes, with the counts of their 0 and 1."""
+    def evidence(cls, keys: np.ndarray, counts: np.ndarray, depth: int, first: int) -> tuple[np.ndarray, np.ndarray]:
+        """What the nodes of the contexts of `first` bytes add to their parents: the parents and log probabilities."""
+        levels = cls._levels(keys, counts, depth, first)
+        found = [cls._weigh({d: cls._decisions(*levels[d], k) for d in levels}, None)[1] for k in range(8)]
+        return np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
+
+    @staticmethod
+    def _levels(keys: np.ndarray, counts: np.ndarray, depth: int, first: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """The keys of the contexts of `first` to `depth` bytes, sorted, with their counts."""
         order = np.argsort(keys)
         keys, counts = keys[order], counts[order].astype(np.float64)
         levels = {}
         for d in range(depth, first - 1, -1):
-            context, byte = keys >> np.uint64(8), keys & np.uint64(255)
-            levels[d] = cls._decisions(context, byte, counts)
+            levels[d] = keys, counts
             if d > first:
-                shorter = ((context >> np.uint64(8)) << np.uint64(8)) | byte
+                shorter = ((keys >> np.uint64(16)) << np.uint64(8)) | (keys & np.uint64(255))
                 order = np.argsort(shorter, kind="stable")
                 shorter, counts = shorter[order], counts[order]
                 new = np.flatnonzero(np.append(True, shorter[1:] != shorter[:-1])) if len(shorter) else np.zeros(0, int)
                 keys, counts = shorter[new], np.add.reduceat(counts, new) if len(new) else counts
         return levels
 
+    @classmethod
+    def _tree(cls, levels: dict, k: int, top: Top | None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For the decision after `k` bits, by number of bytes of context: its nodes, sorted, and their mixtures."""
+        counted = {d: cls._decisions(*levels[d], k) for d in levels}
+        weights, _ = cls._weigh(counted, None)
+        ones, _ = cls._mix(counted, weights, top.below[k] if top else None)
+        return [*(top.trees[k] if top else []), *((counted[d][0], ones[d].astype(np.float32)) for d in sorted(levels))]
+
     @staticmethod
     def _weigh(levels: dict, below: tuple[np.ndarray, np.ndarray] | None) -> tuple[dict[int, np.ndarray], tuple[np.ndarray, np.ndarray]]:
         """Each node's own part in its block probability, deepest first, and what the lowest level adds to its parents.
@@ -180,43 +202,34 @@ class ContextTree:
         return ones, above
 
     @staticmethod
-    def _decisions(context: np.ndarray, byte: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(context << 8 | decision), sorted, with the counts of its 0 and 1."""
-        node, n0, n1 = [], [], []
-        for k in range(8):
-            decision = (np.uint64(1) << np.uint64(k)) | (byte >> np.uint64(8 - k))
-            name = (context << np.uint64(8)) | decision
-            if not len(name):
-                continue
-            new = np.flatnonzero(np.append(True, name[1:] != name[:-1]))
-            one = ((byte >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
-            node.append(name[new])
-            n0.append(np.add.reduceat(np.where(one, 0, counts), new).astype(np.float32))
-            n1.append(np.add.reduceat(np.where(one, counts, 0), new).astype(np.float32))
-        if not node:
+    def _decisions(keys: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(context << 8 | decision) of sorted keys after `k` bits of the byte, sorted, with the counts of its 0 and 1."""
+        if not len(keys):
             return np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
-        names = np.concatenate(node)
-        order = np.argsort(names)
-        return names[order], np.concatenate(n0)[order], np.concatenate(n1)[order]
+        byte = keys & np.uint64(255)
+        name = ((keys >> np.uint64(8)) << np.uint64(8)) | (np.uint64(1) << np.uint64(k)) | (byte >> np.uint64(8 - k))
+        new = np.flatnonzero(np.append(True, name[1:] != name[:-1]))
+        one = ((byte >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
+        return name[new], np.add.reduceat(np.where(one, 0, counts), new).astype(np.float32), np.add.reduceat(np.where(one, counts, 0), new).astype(np.float32)
 
-    def log10(self, keys: np.ndarray) -> np.ndarray:
-        """log10 probability of the byte of each key after its context; without any training, one in 256."""
+    @staticmethod
+    def _said(tree: list[tuple[np.ndarray, np.ndarray]], keys: np.ndarray, k: int) -> np.ndarray:
+        """log10 probability of the bit after `k` bits of each key's byte, by the longest context that the tree has."""
         context, byte = keys >> np.uint64(8), keys & np.uint64(255)
-        out = np.zeros(len(keys))
-        for k in range(8):
-            decision = (np.uint64(1) << np.uint64(k)) | (byte >> np.uint64(8 - k))
-            p = np.full(len(keys), 0.5)
-            left = np.arange(len(keys))
-            for d in range(self.depth, -1, -1):
-                name = ((context[left] >> np.uint64(8 * (self.depth - d))) << np.uint64(8)) | decision[left]
-                value, found = self.tables[d].find(name)
-                p[left[found]] = value[found]
-                left = left[~found]
-                if not len(left):
-                    break
-            one = ((byte >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
-            out += np.log10(np.where(one, p, 1 - p))
-        return out
+        decision = (np.uint64(1) << np.uint64(k)) | (byte >> np.uint64(8 - k))
+        p, left = np.full(len(keys), 0.5), np.arange(len(keys))
+        for d in range(len(tree) - 1, -1, -1):
+            names, values = tree[d]
+            name = ((context[left] >> np.uint64(8 * (len(tree) - 1 - d))) << np.uint64(8)) | decision[left]
+            at = np.searchsorted(names, name)
+            found = at < len(names)
+            found[found] = names[at[found]] == name[found]
+            p[left[found]] = values[at[found]]
+            left = left[~found]
+            if not len(left):
+                break
+        one = ((byte >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
+        return np.log10(np.where(one, p, 1 - p))
 
 
 class Top:
@@ -224,48 +237,78 @@ class Top:
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, depth: int, under: tuple[np.ndarray, np.ndarray]):
         """`under`: for nodes of the deepest contexts, the log probabilities of all nodes right under them."""
-        self.depth = depth
+        self.depth, self.trees, self.below = depth, [], []
         levels = ContextTree._levels(keys, counts, depth, 0)
-        weights, _ = ContextTree._weigh(levels, under)
-        ones, self.below = ContextTree._mix(levels, weights, None)
-        self.tables = [Table(levels[d][0], ones[d].astype(np.float32)) for d in range(depth + 1)]
-
-
-def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    key, count = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(key)
-    key, count = key[order], count[order]
-    new = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, int)
-    return key[new], np.add.reduceat(count, new) if len(new) else count
+        for k in range(8):
+            counted = {d: ContextTree._decisions(*levels[d], k) for d in levels}
+            own = ((under[0] & np.uint64(255)) >> np.uint64(k)) == 1
+            weights, _ = ContextTree._weigh(counted, (under[0][own], under[1][own]))
+            ones, below = ContextTree._mix(counted, weights, None)
+            self.below.append(below)
+            self.trees.append([(counted[d][0], ones[d].astype(np.float32)) for d in range(depth + 1)])
+
+
+class Counts:
+    """How often each 64-bit key was added: keys gather as they come, and each full block of them goes into one sorted run."""
+
+    def __init__(self, block: int):
+        self.fresh, self.filled = np.empty(block, np.uint64), 0
+        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, keys: np.ndarray) -> None:
+        at = 0
+        while at < len(keys):
+            n = min(len(keys) - at, len(self.fresh) - self.filled)
+            self.fresh[self.filled : self.filled + n] = keys[at : at + n]
+            self.filled, at = self.filled + n, at + n
+            if self.filled == len(self.fresh):
+                self._merge()
+
+    def _merge(self) -> None:
+        new = self.fresh[: self.filled]
+        new.sort()
+        first = np.flatnonzero(np.append(True, new[1:] != new[:-1])) if len(new) else np.zeros(0, int)
+        keys, counts = new[first], np.diff(np.append(first, len(new)))
+        at = np.searchsorted(self.keys, keys)
+        old = at < len(self.keys)
+        old[old] = self.keys[at[old]] == keys[old]
+        self.counts[at[old]] += counts[old]
+        at = at[~old]
+        self.keys, self.counts = np.insert(self.keys, at, keys[~old]), np.insert(self.counts, at, counts[~old])
+        self.filled = 0
+
+    def taken(self) -> tuple[np.ndarray, np.ndarray]:
+        """All distinct keys, sorted, and their counts; none is left."""
+        self._merge()
+        out = self.keys, self.counts
+        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return out
 
 
-def _count(depth: int, spill: int = 1_000_000):
+def _count(depth: int, spill: int = 3_000_000):
     """(kind, key, n): 0 for contexts with a byte, 1 for tokens, 2 for documents; summed within a task as far as `spill` rows."""
 
-    def batch_of(kind: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], names=["kind", "key", "n"])
+    def batches_of(kind: int, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(keys), BATCH_ROWS):
+            part = keys[at : at + BATCH_ROWS].view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), kind, np.int32)), pa.array(part), pa.array(counts[at : at + BATCH_ROWS].astype(np.int64))], names=["kind", "key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[list[np.ndarray]]] = [[[], []], [[], []]]
+        held = [Counts(min(spill, 1 << 21)), Counts(min(spill, 1 << 19))]
         docs = 0
         for batch in batches:
             docs += batch.num_rows
-            for _, _, data, offsets in common.text_slices(batch.column(0)):
-                for kind, found in ((0, grams(data, offsets, depth)[0]), (1, common.word_hashes(data, offsets, inside=~_SPACE)[0])):
-                    for into, part in zip(held[kind], np.unique(found, return_counts=True), strict=True):
-                        into.append(part)
-                    if sum(map(len, held[kind][0])) > 3 * spill:
-                        keys, counts = _merged(*held[kind])
-                        held[kind] = [[keys], [counts]]
-                        if len(keys) > spill:
-                            yield batch_of(kind, keys, counts)
-                            held[kind] = [[], []]
+            for _, _, data, offsets in common.text_slices(batch.column(0), PIECE_BYTES):
+                held[0].add(grams(data, offsets, depth)[0])
+                held[1].add(common.word_hashes(data, offsets, inside=~_SPACE)[0])
+                for kind in (0, 1):
+                    if len(held[kind].keys) >= spill:
+                        yield from batches_of(kind, *held[kind].taken())
         for kind in (0, 1):
-            if held[kind][0]:
-                yield batch_of(kind, *_merged(*held[kind]))
+            yield from batches_of(kind, *held[kind].taken())
         held.clear()
         common.released()
-        yield batch_of(2, np.zeros(1, np.uint64), np.array([docs]))
+        yield from batches_of(2, np.zeros(1, np.uint64), np.array([docs]))
 
     return run
 
@@ -284,10 +327,8 @@ class Mixtures:
         split = self.split
 
         def up(part: pa.Table) -> pa.Table:
-            levels = ContextTree._levels(_numbers(part["key"]), part["n"].to_numpy(), depth, split)
-            parent, values = ContextTree._weigh(levels, None)[1]
+            parent, values = ContextTree.evidence(_numbers(part["key"]), part["n"].to_numpy(), depth, split)
             names, at = np.unique(parent, return_inverse=True)
-            del levels
             common.released()
             return pa.table({"node": pa.array(names.view(np.int64)), "total": pa.array(np.bincount(at, values, len(names)))})
 
@@ -310,7 +351,7 @@ class Mixtures:
             asked = n == 0 if alone else n > 0
             value = np.zeros(0)
             if asked.any():
-                value = ContextTree(keys[n > 0], n[n > 0], depth, top.value).log10(keys[asked])
+                value = ContextTree.answers(keys[n > 0], n[n > 0], depth, top.value, keys[asked])
             common.released()
             return pa.table({"key": pa.array(keys[asked].view(np.int64)), "n": pa.array(n[asked].astype(np.int64)), "value": pa.array(value.astype(np.float32))})
 
@@ -330,7 +371,8 @@ class Model:
 def train(docs: DataFrame, depth: int = DEPTH, head: int = HEAD, text: str = "text", head_grams: int = HEAD_GRAMS) -> Model:
     """Count all of `docs` and build the model. Null texts are empty; an empty table gives a model that knows nothing."""
     counted = common.batched(docs.select(F.col(text).alias("t"))).mapInArrow(_count(depth), "kind int, key long, n long")
-    counts = common.table(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")))
+    # a task's rows are summed already, so they are dealt out first: Spark's own table of them for each task would hold them all once more
+    counts = common.table(counted.repartition("kind", "key").groupBy("kind", "key").agg(F.sum("n").alias("n")))
     sums = {r["kind"]: r for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).collect()}
     ends = int(sums[2]["n"]) if 2 in sums else 0
     total, distinct = (int(sums[1]["n"]) if 1 in sums else 0) + ends, (int(sums[1]["rows"]) if 1 in sums else 0) + (ends > 0)
@@ -364,7 +406,7 @@ def _score(shared, depth: int, total: int, distinct: int, ends: int, names: list
         row_id = TaskContext.get().partitionId() << 40
         for batch in batches:
             text = batch.column(batch.schema.get_field_index("__text"))
-            for start, end, data, offsets in common.text_slices(text):
+            for start, end, data, offsets in common.text_slices(text, PIECE_BYTES):
                 n = end - start
                 keys, rows = grams(data, offsets, depth)
                 value, found = known.find(keys)

@@ -1,8 +1,10 @@
 import math
+import tracemalloc
 from collections import Counter
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from larkspur.llm import language_model as L
@@ -131,3 +133,36 @@ def test_the_tree_keeps_every_context(spark, monkeypatch):
     for r in L.score(df, model, ["doc_id"]).collect():
         want = tree.log10(L.grams(np.frombuffer(texts[r["doc_id"]].encode(), np.uint8), np.array([0, 3_000]), L.DEPTH)[0]).sum()
         assert abs(r["score"] - want) < 1e-4 * abs(want)
+
+
+def test_a_task_hands_over_each_key_once_in_small_batches():
+    draw = np.random.default_rng(3)
+    texts = ["".join(map(chr, draw.integers(97, 123, 40_000))) for _ in range(20)]
+    told = list(L._count(L.DEPTH)(pa.RecordBatch.from_arrays([pa.array(texts[i : i + 5])], names=["t"]) for i in range(0, 20, 5)))
+    assert max(b.num_rows for b in told) <= 1 << 17
+    kinds, keys, n = (np.concatenate([b.column(i).to_numpy() for b in told]) for i in range(3))
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    want, counts = np.unique(L.grams(data, np.arange(21) * 40_000, L.DEPTH)[0], return_counts=True)
+    order = np.argsort(keys[kinds == 0].view(np.uint64))
+    assert np.array_equal(keys[kinds == 0].view(np.uint64)[order], want) and np.array_equal(n[kinds == 0][order], counts)
+    assert n[kinds == 1].sum() == 20 and n[kinds == 2].sum() == 20
+    # the same where runs are handed over before the end
+    parts = list(L._count(L.DEPTH, spill=50_000)(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["t"])])))
+    summed = Counter()
+    for b in parts:
+        for kind, key, c in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            summed[kind, key] += c
+    assert summed == Counter({(int(k), int(key)): int(c) for k, key, c in zip(kinds, keys, n, strict=True)})
+
+
+def test_a_slice_of_the_tree_takes_little_memory():
+    draw = np.random.default_rng(5)
+    data = draw.integers(97, 123, 200_000).astype(np.uint8)
+    keys, counts = np.unique(L.grams(data, np.array([0, len(data)]), L.DEPTH)[0], return_counts=True)
+    top = L.Top(*(np.zeros(0, t) for t in (np.uint64, np.int64)), -1, (np.zeros(0, np.uint64), np.zeros(0)))
+    tracemalloc.start()
+    told = L.ContextTree.answers(keys, counts, L.DEPTH, top, keys)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 400 * len(keys)  # all eight decisions in hash tables took over 900 bytes an entry
+    assert np.array_equal(told, L.ContextTree(keys, counts, L.DEPTH).log10(keys))
