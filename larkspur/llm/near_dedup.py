@@ -205,17 +205,19 @@ def _doubt(x: str, y: str) -> Column:
     return 2 + 8 * both * both / 2.0**33
 
 
-def _settled(found: DataFrame, base: DataFrame, threshold: float, width: int) -> DataFrame:
-    """(a, b) of the pairs of `found` that are links: those that are `sure`, and of the others those that 64-bit names confirm."""
-    found = common.cut(found)
+def _settled(found: DataFrame, base: DataFrame, threshold: float, width: int, made: list[DataFrame]) -> DataFrame:
+    """(a, b) of the pairs of `found` that are links: those that are `sure`, and of the others those that 64-bit names confirm. `made` gets the tables that it is read from."""
+    found = common.table(found)
+    made.append(found)
     unsure = found.where("not sure").select("a", "b")
     if unsure.isEmpty():
         return found.select("a", "b")
-    ends = common.cut(unsure.select(F.col("a").alias("__tid")).union(unsure.select("b")).distinct())
+    ends = common.table(unsure.select(F.col("a").alias("__tid")).union(unsure.select("b")).distinct())
     sets = _sets(base, ends, width, wide=True)
     left, right = (sets.select(F.col("__tid").alias(n), F.col("__set").alias(f"set_{n}")) for n in ("a", "b"))
-    exact = common.cut(unsure.join(left, "a").join(right, "b").where(_similar("set_a", "set_b", threshold)).select("a", "b"))
-    common.forget(sets)
+    exact = common.table(unsure.join(left, "a").join(right, "b").where(_similar("set_a", "set_b", threshold)).select("a", "b"))
+    common.forget(sets, ends)
+    made.append(exact)
     return found.where("sure").select("a", "b").union(exact)
 
 
@@ -240,9 +242,9 @@ def _links_across(members: DataFrame, nodes: DataFrame, grouped: DataFrame, sets
     placed = common.table(members.select("bucket", "tid", "leader").join(roots, "tid"))
     groups = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     mixed = groups.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("groups")).where("groups > 1")
-    mixed = common.cut(mixed.select("bucket", F.col("most.root").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    mixed = common.table(mixed.select("bucket", F.col("most.root").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
     if mixed.isEmpty():
-        return members.select(F.col("tid").alias("a"), F.col("tid").alias("b"), F.lit(True).alias("sure")).limit(0), [placed]
+        return members.select(F.col("tid").alias("a"), F.col("tid").alias("b"), F.lit(True).alias("sure")).limit(0), [placed, mixed]
     several = placed.join(common.broadcast_if_small(mixed), "bucket")
     heads = several.select("bucket", F.col("leader").alias("__tid")).distinct().join(sets, "__tid").select("bucket", F.col("__set").alias("head"))
     before = F.slice("__bands", F.lit(1), F.array_position("__bands", F.col("bucket")).cast("int") - 1)
@@ -258,7 +260,7 @@ def _links_across(members: DataFrame, nodes: DataFrame, grouped: DataFrame, sets
     common.cleaned(full.sparkSession)
     names = ("tid", "root", "far", "before", "__set")
     strangers = full.where("root <> main")
-    rings = common.cut(strangers.select("bucket", F.explode(F.sequence(F.col("ring") - 1, F.col("ring") + 1)).alias("ring")).distinct())
+    rings = common.table(strangers.select("bucket", F.explode(F.sequence(F.col("ring") - 1, F.col("ring") + 1)).alias("ring")).distinct())
     reached = full.join(common.broadcast_if_small(rings), ["bucket", "ring"], "left_semi")
     left = reached.select("bucket", "ring", F.pmod(F.xxhash64("tid"), "blocks").cast("int").alias("block"), "main", *[F.col(c).alias(f"{c}_a") for c in names]).repartition(parts, "bucket", "ring", "block")
     near = F.explode(F.sequence(F.col("ring") - 1, F.col("ring") + 1))
@@ -269,7 +271,7 @@ def _links_across(members: DataFrame, nodes: DataFrame, grouped: DataFrame, sets
     open_ = once & (F.col("root_a") != F.col("root_b")) & (F.abs(F.col("far_a") - F.col("far_b")) <= reach) & ~F.arrays_overlap("before_a", "before_b")
     doubt = _doubt("__set_a", "__set_b")
     likely = left.join(right, same & open_ & _similar("__set_a", "__set_b", threshold, doubt))
-    return likely.select(F.least("tid_a", "tid_b").alias("a"), F.greatest("tid_a", "tid_b").alias("b"), _similar("__set_a", "__set_b", threshold, -doubt).alias("sure")), [full]
+    return likely.select(F.least("tid_a", "tid_b").alias("a"), F.greatest("tid_a", "tid_b").alias("b"), _similar("__set_a", "__set_b", threshold, -doubt).alias("sure")), [full, mixed, rings]
 
 
 def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, width: int = 5, bands: int = BANDS, rows: int = ROWS, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -300,33 +302,36 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, width: int =
     beside = members.select("bucket", "near", "tid").repartitionByRange("bucket", "near", "tid").sortWithinPartitions("bucket", "near", "tid")
     beside = beside.select("bucket", "tid").mapInPandas(_neighbours(NEIGHBOURS), "a binary, b binary")
     pairs = members.where("tid <> leader").select(F.col("leader").alias("a"), F.col("tid").alias("b")).union(beside)
-    pairs = common.cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+    pairs = common.table(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
 
-    ends = common.cut(pairs.select(F.col("a").alias("__tid")).union(pairs.select("b")).distinct())
+    ends = common.table(pairs.select(F.col("a").alias("__tid")).union(pairs.select("b")).distinct())
+    made = [pairs, ends]
     sets = _sets(base, ends, width, wide=False)
     common.cleaned(docs.sparkSession)
 
     hubs = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = _settled(_verified(hubs, sets, threshold), base, threshold, width)
-    grouped = connected_components(links)
+    grouped = connected_components(_settled(_verified(hubs, sets, threshold), base, threshold, width, made))
     rest = pairs.join(hubs, ["a", "b"], "left_anti")
     for end in ("a", "b"):
         rest = rest.join(grouped.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
     rest = rest.where("not (coalesce(root_a, a) <=> coalesce(root_b, b))").select("a", "b")
     common.cleaned(docs.sparkSession)
-    links = links.union(_settled(_verified(rest, sets, threshold), base, threshold, width))
-    grouped = connected_components(links)
+    made.append(grouped)
+    known = grouped.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    grouped = connected_components(known.union(_settled(_verified(rest, sets, threshold), base, threshold, width, made)))
+    made.append(grouped)
     common.cleaned(docs.sparkSession)
     across, read = _links_across(members, nodes, grouped, sets, threshold)
-    last = common.cut(_settled(across, base, threshold, width))
+    last = _settled(across, base, threshold, width, made)
     common.forget(*read)
     common.cleaned(docs.sparkSession)
     if not last.isEmpty():
-        grouped = connected_components(links.union(last))
+        grouped = connected_components(grouped.select(F.col("node").alias("a"), F.col("root").alias("b")).union(last))
+        made.append(grouped)
 
     roots = nodes.select("__tid", "first_id").join(grouped.select(F.col("node").alias("__tid"), "root"), "__tid", "left")
     roots = common.cut(roots.select("__tid", "first_id", F.coalesce("root", "__tid").alias("root")))
-    common.forget(members, sets, nodes)
+    common.forget(members, sets, nodes, *made)
     heads = roots.groupBy("root").agg(F.min(F.struct(F.col("first_id").isNull(), "first_id", "__tid")).alias("__head")).select("root", F.col("__head.first_id").alias("class_id"), F.col("__head.__tid").alias("__head"))
     classes = roots.join(heads, "root").select("__tid", "class_id", F.lower(F.hex("__head")).alias("class_key"), "first_id", (F.col("__head") == F.col("__tid")).alias("__heads"))
     out = signed.select("doc_id", "__tid").join(classes, "__tid")

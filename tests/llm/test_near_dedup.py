@@ -106,6 +106,15 @@ def test_components_of_a_path_a_star_and_loops(spark):
     assert got == {**{i: 0 for i in range(31)}, **{100 + i: 100 for i in range(50)}}
 
 
+def test_components_that_are_stars_cost_no_round_and_new_edges_join_them(spark):
+    stars = [(i, 100 * (i // 100)) for i in range(1, 400) if i % 100]
+    known = connected_components(spark.createDataFrame(stars, "a long, b long"), max_rounds=1)
+    assert {(r["node"], r["root"]) for r in known.collect()} == {(i, 100 * (i // 100)) for i in range(400)}
+    new = spark.createDataFrame([(399, 150), (7, 500), (None, 3)], "a long, b long")
+    got = {r["node"]: r["root"] for r in connected_components(known.union(new), "node", "root").collect()}
+    assert got == {i: 100 if i >= 300 else 100 * (i // 100) for i in range(400)} | {500: 0}
+
+
 def test_words_do_not_depend_on_pieces():
     text = ("Ab-c d.é 1x\n" * 50).encode() + b"x" * 300
     data, offsets = np.frombuffer(text + text, np.uint8), np.array([0, len(text), 2 * len(text)])
