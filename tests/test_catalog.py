@@ -71,3 +71,26 @@ def test_audits_and_merges_over_all_events(spark):
     assert [got["cards_with_click"].sum(), got["cards_with_signup"].sum()] == users == [1500, 1500]
     keys = con.execute("SELECT count(*) FROM (SELECT DISTINCT user_id, event_type FROM events)").fetchone()[0]
     assert q["upsert_last_wins"](spark, sf).count() == q["insert_ignore"](spark, sf).count() == keys
+
+
+@pytest.fixture(scope="module")
+def searched():
+    """Of every vector of sf0.01 by brute force: label, true id, nearest other vector and the place of the true one."""
+    import numpy as np
+
+    t = duckdb.sql("SELECT vec_id, label, embedding FROM '/root/testdata/sf0.01/embeddings.parquet' ORDER BY vec_id").df()
+    ids, labels, x = t["vec_id"].to_numpy(), t["label"].to_numpy(), np.stack(t["embedding"]).astype(np.float64)
+    out = {}
+    for i in range(len(ids)):
+        score = (x * x[i]).sum(axis=1)
+        order = [j for j in np.lexsort((ids, -score)) if j != i]
+        true = next((j for j in range(i + 1, len(ids)) if labels[j] == labels[i]), None)
+        out[int(ids[i])] = (int(labels[i]), None if true is None else int(ids[true]), int(ids[order[0]]), int(labels[order[0]]), len(ids) + 1 if true is None else order.index(true) + 1)
+    return out
+
+
+def test_metrics_by_label_ask_with_every_vector(spark, searched):
+    """Label 7 of sf0.01 has no vector whose id is divisible by 20."""
+    got = {r["query_group"]: (r["sample_count"], r["mean_rank"]) for r in catalog.metrics_by_label(spark, "/root/testdata/sf0.01").collect()}
+    ranks = {g: [s[4] for s in searched.values() if s[0] == g] for g in {s[0] for s in searched.values()}}
+    assert 7 in got and got == {g: (len(r), pytest.approx(sum(r) / len(r), abs=6e-5)) for g, r in ranks.items()}
