@@ -94,3 +94,9 @@ def test_metrics_by_label_ask_with_every_vector(spark, searched):
     got = {r["query_group"]: (r["sample_count"], r["mean_rank"]) for r in catalog.metrics_by_label(spark, "/root/testdata/sf0.01").collect()}
     ranks = {g: [s[4] for s in searched.values() if s[0] == g] for g in {s[0] for s in searched.values()}}
     assert 7 in got and got == {g: (len(r), pytest.approx(sum(r) / len(r), abs=6e-5)) for g, r in ranks.items()}
+
+
+def test_confusion_asks_with_every_vector(spark, searched):
+    got = {(r["query_id"], r["top1_id"], r["correct_rank"]) for r in catalog.confusion(spark, "/root/testdata/sf0.01").collect()}
+    assert got == {(q, top, rank) for q, (label, true, top, top_label, rank) in searched.items() if top != true and top_label == label}
+    assert any(q % 20 for q, _, _ in got)
