@@ -100,3 +100,11 @@ def test_confusion_asks_with_every_vector(spark, searched):
     got = {(r["query_id"], r["top1_id"], r["correct_rank"]) for r in catalog.confusion(spark, "/root/testdata/sf0.01").collect()}
     assert got == {(q, top, rank) for q, (label, true, top, top_label, rank) in searched.items() if top != true and top_label == label}
     assert any(q % 20 for q, _, _ in got)
+
+
+def test_retrieval_metrics_ask_with_every_vector(spark, searched):
+    got = catalog.retrieval_metrics(spark, "/root/testdata/sf0.01").first()
+    ranks = [s[4] for s in searched.values()]
+    assert got["sample_count"] == len(ranks) == 500
+    assert got["mean_rank"] == pytest.approx(sum(ranks) / 500, abs=6e-5)
+    assert got["mean_reciprocal_rank"] == pytest.approx(sum(1 / r for r in ranks) / 500, abs=6e-5)
